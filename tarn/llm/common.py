@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def only(df: DataFrame, *cols: str) -> DataFrame:
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 3_000_000):
     """Slices of a batch whose texts hold about `limit` bytes; a longer single text is a slice of its own."""
     col = batch.column(batch.schema.get_field_index(column))
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(size.tolist()):
         if total and total + n > limit:
@@ -64,7 +65,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 3_000_000):
 def raw_text(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts in a row, and the offsets of each text (null counts as empty)."""
     if col.null_count:
-        col = pa.compute.fill_null(col, "")
+        col = pc.fill_null(col, "")
     col = col.cast(pa.large_binary())
     off = np.frombuffer(col.buffers()[1], dtype=np.int64, count=len(col) + 1 + col.offset)[col.offset :]
     data = col.buffers()[2]
