@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
@@ -161,15 +161,14 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str, parts: i
     keys = [F.col(c).asc_nulls_first() for c in [*by, *order]]
     at = table(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "numbered")
     at = at.withColumn("_part", F.shiftright("_at", 33))
-    from pyspark.sql import Window
-
     first = at.groupBy("_part", *by).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     w = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1) if by else Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = first.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    on = at["_part"] == first["_part"]
+    first = first.select(F.col("_part").alias("_fp"), "_first", "_before", *[F.col(c).alias(f"_f_{c}") for c in by])
+    on = F.col("_part") == F.col("_fp")
     for c in by:
-        on &= at[c].eqNullSafe(first[c])
-    return at.join(first, on, "left").select(*[at[c] for c in df.columns], (at["_at"] - first["_first"] + first["_before"]).alias(name))
+        on &= F.col(c).eqNullSafe(F.col(f"_f_{c}"))
+    return at.join(first, on, "left").select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
