@@ -7,7 +7,7 @@ Documents with the same set become one class. Classes that share a band are cand
 1. each bucket's smallest class is its pivot, and all members are compared with it; then again with the member
    that has most links. Pairs whose sketches differ in too many bits (XOR population count) are left out, the
    others are confirmed on the full sets, and links are merged into components;
-2. buckets that still hold several components are dealt out in pairs of blocks of bounded size; a task compares
+2. larger buckets that still hold several components are dealt out in pairs of blocks of bounded size; a task compares
    all sketches of its two blocks, confirms on the full sets, and returns a spanning forest only.
 
 So no group is expanded into rows of pairs and none is gathered in one task. With 30 bands of 4 samples a pair at the limit
@@ -140,7 +140,7 @@ def _block_links(percent: int):
             return x
 
         out = []
-        for x in range(len(g)):
+        for x in range(len(g) - 1):
             rest = np.arange(x + 1, len(g))
             if i != j:
                 rest = rest[block[rest] != block[x]]
@@ -162,6 +162,27 @@ def _block_links(percent: int):
     return run
 
 
+def _by_block(links):
+    """Applies links to the rows of each (key, i, j) of sorted rows, whatever batches they come in."""
+
+    def run(batches):
+        held: pd.DataFrame | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            at = rows[["key", "i", "j"]].to_numpy()
+            cut = np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1
+            ends = np.r_[0, cut]
+            for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                yield links(rows.iloc[s:e])
+            held = rows.iloc[ends[-1] :]
+        if held is not None:
+            yield links(held)
+
+    return run
+
+
 def clusters(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row: documents are linked when
     100 * intersection >= percent * union of their sets; a component is named by its smallest doc_id."""
@@ -178,19 +199,19 @@ def clusters(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     comp = C.components(links)
     # once more, with the member of most links as the pivot of each bucket that isn't one component yet
     degree = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").count()
-    at = members.drop("pivot").join(comp, "id", "left").join(degree, "id", "left").select("id", "key", F.coalesce("comp", "id").alias("comp"), F.coalesce("count", F.lit(0)).alias("links"))
+    at = members.join(comp, "id", "left").join(degree, "id", "left").select("id", "key", "pivot", F.coalesce("comp", "id").alias("comp"), F.coalesce("count", F.lit(0)).alias("links"))
     at = C.table(at, "members")
-    pivots = at.groupBy("key").agg(F.max_by("id", "links").alias("pivot"), F.max_by("comp", "links").alias("own"), F.min("comp").alias("_a"), F.max("comp").alias("_b")).filter("_a <> _b").drop("_a", "_b")
-    again = at.join(pivots, "key").filter("comp <> own").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    pivots = at.groupBy("key").agg(F.max_by("id", F.when(F.col("id") != F.col("pivot"), F.col("links"))).alias("second"), F.max_by("comp", F.when(F.col("id") != F.col("pivot"), F.col("links"))).alias("own"), F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("m")).filter("_a <> _b AND m > 2").drop("_a", "_b", "m")
+    again = at.drop("pivot").join(pivots.withColumnRenamed("second", "pivot"), "key").filter("comp <> own").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = C.table(links.unionByName(_confirmed(again, reps, sets, percent)), "links")
     comp = C.components(links)
     # the rest, in pairs of blocks
-    at = C.table(at.drop("comp", "links").join(comp, "id", "left").select("id", "key", F.coalesce("comp", "id").alias("comp")), "members")
-    open_ = at.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("m")).filter("_a <> _b").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    at = C.table(at.drop("comp", "links", "pivot").join(comp, "id", "left").select("id", "key", F.coalesce("comp", "id").alias("comp")), "members")
+    open_ = at.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("m")).filter("_a <> _b AND m > 3").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     rest = at.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("id", "key", "comp", "block", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"))
     rest = rest.join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
-    found = rest.groupBy("key", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
+    found = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInPandas(_by_block(_block_links(percent)), "a long, b long")
     comp = C.components(links.unionByName(found))
     out = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(classes, "set_key", "left").join(comp, "id", "left")
     name = F.coalesce("comp", "id", "doc_id")
