@@ -1 +1,222 @@
 """Queries of the models."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tarn.frame import Frame
+from tarn.functions import aggregates as A
+from tarn.functions import scalar as S
+from tarn.models import arima as AR
+from tarn.models import inference, learners, regression, resample
+from tarn.models.summary import summary
+from tarn.operators.linalg import crossprod, pca, scale
+from tarn.plans.queries import query, sort
+
+
+def table(x: Frame, rows: list[tuple], schema: str):
+    return x.base.sparkSession.createDataFrame([tuple(float(v) if isinstance(v, np.floating) else v for v in r) for r in rows], schema)
+
+
+def coefs(x: Frame, fit, digits: int = 6):
+    return table(x, [(n, round(float(v), digits)) for n, v in fit.named().items()], "name string, value double")
+
+
+@query("crossprod", "SELECT round(sum(l_quantity * l_quantity), 2) AS qq, round(sum(l_quantity * l_tax), 4) AS qt, round(sum(l_tax * l_tax), 6) AS tt FROM lineitem")
+def _(t):
+    x = t("lineitem")
+    m = crossprod(x[["l_quantity", "l_tax"]])
+    return table(x, [(round(m[0, 0], 2), round(m[0, 1], 4), round(m[1, 1], 6))], "qq double, qt double, tt double")
+
+
+@query("scale", "SELECT p_partkey, round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev(p_size) FROM part), 6) AS v FROM part")
+def _(t):
+    x = t("part")
+    z, _s = scale(x[["p_size"]])
+    return x._with([x.cols[0], z.cols[0].__class__("v", F.round(z.cols[0].expr, 6))])
+
+
+@query("pca")
+def _(t):
+    x = t("embeddings")
+    r = pca(x[["embedding"]])
+    return table(x, [(k + 1, round(float(v), 6)) for k, v in enumerate(r["sdev"])], "component int, sdev double")
+
+
+@query("lm_coef", "SELECT '(Intercept)' AS name, round(regr_intercept(l_extendedprice, l_quantity), 4) AS value FROM lineitem UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 4) FROM lineitem")
+def _(t):
+    x = t("lineitem")
+    return coefs(x, regression.lm("l_extendedprice ~ l_quantity", x), 4)
+
+
+@query("lm_r2", "SELECT round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, count(*) AS n FROM lineitem")
+def _(t):
+    x = t("lineitem")
+    f = regression.lm("l_extendedprice ~ l_quantity", x)
+    return table(x, [(round(f.r2, 6), f.n)], "r2 double, n long")
+
+
+@query("lm_grouped", "SELECT l_returnflag AS g, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS b0 FROM lineitem GROUP BY 1")
+def _(t):
+    x = t("lineitem")
+    return table(x, [(f.group[0], round(float(f.coef[1]), 4), round(float(f.coef[0]), 3)) for f in regression.lm("l_extendedprice ~ l_quantity | l_returnflag", x)], "g string, slope double, b0 double")
+
+
+_FITTED = "(SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)"
+
+
+@query("lm_predict", f"SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 3) AS v FROM lineitem, {_FITTED}")
+def _(t):
+    x = t("lineitem")
+    p = regression.predict(regression.lm("l_extendedprice ~ l_quantity", x), x)
+    return x[["l_orderkey", "l_linenumber"]].cbind(p._with([p.cols[0].__class__("v", F.round(p.cols[0].expr, 3))]))
+
+
+@query("lm_resid", f"SELECT l_orderkey, l_linenumber, round(l_extendedprice - a - b * l_quantity, 3) + 0 AS v FROM lineitem, {_FITTED}")
+def _(t):
+    x = t("lineitem")
+    p = regression.residuals(regression.lm("l_extendedprice ~ l_quantity", x))
+    return x[["l_orderkey", "l_linenumber"]].cbind(x._with([p.cols[0].__class__("v", F.round(p.cols[0].expr, 3) + 0)]))
+
+
+@query("lm_factor", "SELECT l_linestatus AS level, round(avg(l_extendedprice), 3) AS mean FROM lineitem GROUP BY 1")
+def _(t):
+    x = t("lineitem")
+    f = regression.lm("l_extendedprice ~ l_linestatus", x)
+    b = f.named()
+    base = b["(Intercept)"]
+    ref, others = f.design.factors["l_linestatus"]
+    return table(x, [(ref, round(base, 3))] + [(o, round(base + b[f"l_linestatus{o}"], 3)) for o in others], "level string, mean double")
+
+
+@query("lm_margins", "SELECT 'l_quantity' AS variable, round(regr_slope(l_extendedprice, l_quantity), 4) AS estimate FROM lineitem")
+def _(t):
+    x = t("lineitem")
+    m = inference.margins(regression.lm("l_extendedprice ~ l_quantity", x))
+    return table(x, [(r.variable, round(r.estimate, 4)) for r in m.itertuples()], "variable string, estimate double")
+
+
+@query("logit_factor", "SELECT l_linestatus AS level, round(avg(CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END), 6) AS p FROM lineitem GROUP BY 1")
+def _(t):
+    x = t("lineitem")
+    f = regression.glm("l_quantity > 25 ~ l_linestatus", x, "binomial")
+    b, (ref, others) = f.named(), f.design.factors["l_linestatus"]
+    p = lambda e: round(1 / (1 + np.exp(-e)), 6)
+    return table(x, [(ref, p(b["(Intercept)"]))] + [(o, p(b["(Intercept)"] + b[f"l_linestatus{o}"])) for o in others], "level string, p double")
+
+
+@query("logit_coef")
+def _(t):
+    x = t("lineitem")
+    return coefs(x, regression.glm("l_quantity > 25 ~ l_discount + l_tax", x, "binomial"))
+
+
+@query("poisson_factor", "SELECT l_returnflag AS level, round(avg(l_linenumber), 6) AS mean FROM lineitem GROUP BY 1")
+def _(t):
+    x = t("lineitem")
+    f = regression.glm("l_linenumber ~ l_returnflag", x, "poisson")
+    b, (ref, others) = f.named(), f.design.factors["l_returnflag"]
+    return table(x, [(ref, round(float(np.exp(b["(Intercept)"])), 6))] + [(o, round(float(np.exp(b["(Intercept)"] + b[f"l_returnflag{o}"])), 6)) for o in others], "level string, mean double")
+
+
+@query("gamma_coef")
+def _(t):
+    x = t("part")
+    return coefs(x, regression.glm("p_retailprice ~ p_size", x, "gamma", "log"))
+
+
+@query("elnet_ridge", "SELECT round(covar_pop(p_retailprice, p_size) / stddev_pop(p_size) / (1 + 0.5) / stddev_pop(p_size), 6) AS b FROM part")
+def _(t):
+    x = t("part")
+    e = regression.elnet("p_retailprice ~ p_size", x, alpha=0.0, lambda_=0.5, tolerance=1e-12)
+    return table(x, [(round(float(e.coef[0]), 6),)], "b double")
+
+
+@query("elnet_lasso")
+def _(t):
+    x = t("lineitem")
+    e = regression.elnet("l_extendedprice ~ l_quantity + l_discount + l_tax", x, alpha=1.0, lambda_=100.0)
+    return table(x, [(n, round(float(b), 6)) for n, b in zip(("l_quantity", "l_discount", "l_tax"), e.coef, strict=True)], "name string, value double")
+
+
+_DIST = "list_sum(list_transform(range(1, 65), lambda i: (CAST(a.embedding[i] AS DOUBLE) - CAST(b.embedding[i] AS DOUBLE)) ** 2))"
+
+
+@query("kmeans_assign", f"SELECT vec_id, CAST(arg_min(k, d) AS INTEGER) AS cluster FROM (SELECT a.vec_id, b.vec_id + 1 AS k, {_DIST} AS d FROM embeddings a, embeddings b WHERE b.vec_id < 4) GROUP BY 1")
+def _(t):
+    x = t("embeddings")
+    seeds = x[x["vec_id"] < 4, ["embedding"]]
+    seeds = Frame(sort(x[x["vec_id"] < 4, ["vec_id", "embedding"]], False, "vec_id").df.select("embedding")) if seeds else seeds
+    return learners.kmeans(x[["vec_id", "embedding"]], seeds, "vec_id", max_iter=0).assigned
+
+
+@query("kmeans_fit")
+def _(t):
+    x = t("embeddings")
+    m = learners.kmeans(x[["vec_id", "embedding"]], 5, "vec_id", max_iter=5)
+    return table(x, [(k + 1, int(n), round(float(w), 6)) for k, (n, w) in enumerate(zip(m.size, m.withinss, strict=True))], "cluster int, size long, withinss double")
+
+
+@query("summary", "SELECT 'p_size' AS target_column, count(*) AS row_count, count(DISTINCT p_size) AS distinct_values, round(avg(p_size), 6) AS mean, round(var_samp(p_size), 6) AS variance, CAST(min(p_size) AS DOUBLE) AS min, CAST(max(p_size) AS DOUBLE) AS max, quantile_cont(p_size, 0.25) AS first_quartile, quantile_cont(p_size, 0.5) AS median FROM part")
+def _(t):
+    d = summary(t("part"), ["p_size"]).df
+    return d.select("target_column", "row_count", "distinct_values", F.round("mean", 6).alias("mean"), F.round("variance", 6).alias("variance"), "min", "max", "first_quartile", "median")
+
+
+@query("summary_grouped", "SELECT l_returnflag AS group_by_value, 'l_linestatus' AS target_column, count(*) AS row_count, count(DISTINCT l_linestatus) AS distinct_values FROM lineitem GROUP BY 1")
+def _(t):
+    return summary(t("lineitem"), ["l_linestatus"], ["l_returnflag"]).df.select("group_by_value", "target_column", "row_count", "distinct_values")
+
+
+@query("lda_topics")
+def _(t):
+    x = t("documents")
+    d = Frame(x.base.select("doc_id", F.slice(F.split("text", r"\s+"), 1, 200).alias("words")))
+    m = learners.lda(d, "doc_id", "words", 3, 5.0, 1.1, iter_num=3)
+    return table(x, [(int(r.topic), str(w)) for r in m.topics(5).itertuples() for w in r.words], "topic int, word string")
+
+
+@query("tree_predict")
+def _(t):
+    x = t("orders")
+    return learners.rpart("o_orderstatus ~ o_totalprice + o_custkey", x, "o_orderkey", maxdepth=4).predict(x)
+
+
+@query("forest_predict")
+def _(t):
+    x = t("orders")
+    return learners.random_forest("o_totalprice ~ o_orderstatus + o_custkey", x, "o_orderkey", ntree=5).predict(x)
+
+
+@query("svm_linear")
+def _(t):
+    x = t("lineitem")
+    z = x.assign(q=(x["l_quantity"] - 25) / 15, p=(x["l_extendedprice"] - 38000) / 23000)
+    m = learners.svm("l_quantity > 25 ~ q + p", z, max_iter=15)
+    return table(x, [(n, round(float(v), 6)) for n, v in zip(m.design.names, m.coef, strict=True)], "name string, value double")
+
+
+@query("arima_daily")
+def _(t):
+    x = t("events")
+    y = x.assign(day=S.to_date(x["ts"]))
+    daily = A.by(y, "day", lambda g: A.total(g["value"]).alias("v"))
+    m = AR.arima(daily["v"], daily["day"], (1, 0, 0))
+    return table(x, [(int(r.steps_ahead), round(float(r.forecast_value), 4)) for r in m.forecast(5).itertuples()], "step int, value double")
+
+
+@query("cross_validation")
+def _(t):
+    x = t("part")[["p_retailprice", "p_size"]]
+    r = resample.cross_validate(lambda d: regression.lm("p_retailprice ~ p_size", d), lambda m, d: regression.predict(m, d), lambda p, d: A.mean((p - d["p_retailprice"]) ** 2), x, k=3)
+    return table(x, [(r["err"], r["err.std"])], "err double, err_std double")
+
+
+@query("bagging_predict")
+def _(t):
+    x = t("part")[["p_partkey", "p_retailprice", "p_size"]]
+    b = resample.bagging(lambda d: regression.lm("p_retailprice ~ p_size", d), x, nbags=3)
+    return x[["p_partkey"]].cbind(b.predict(x).alias("v"))
+
+
