@@ -42,7 +42,7 @@ def features(col: pa.Array) -> np.ndarray:
         share = lambda x, of: np.log(x / of + 1e-3)
         own = w[p:q]
         out[i] = (
-            np.log1p(q - p), np.log((size - n[6] - n[8]) / count), share(n[1], size), share(n[2], size), share(n[3], count), share(n[4], count), share(n[5], count), share(n[6], count),
+            np.log1p(q - p), np.log(max(size - n[6] - n[8], 1) / count), share(n[1], size), share(n[2], size), share(n[3], count), share(n[4], count), share(n[5], count), share(n[6], count),
             np.log(len(np.unique(own)) / count + 1e-2), share(same[p + 1 : q].sum(), count), share(n[8] + n[6], size), share(n[7], count), share(n[9], count),
         )
     return out
