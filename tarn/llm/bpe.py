@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from tarn.llm import common as C
 
-CACHE_WORDS = 3_000_000  #: bound of a worker's cache of encoded words
+CACHE_WORDS = 1_000_000  #: bound of a worker's cache of encoded words
+CHUNK = 2_000_000  #: bytes of text that a task encodes at a time
 LONG_WORD = 64  #: words of more bytes contract all disjoint pairs of least rank in a step
 _WORKER: dict = {}
 
@@ -131,7 +132,7 @@ class Coder:
                 a, b = ranks.get(t[:k]), ranks.get(t[k:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(r)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": True})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": True})
         self._put("merges_in", l=np.array(left, np.int32), r=np.array(right, np.int32), m=np.array(merged, np.int32))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         ids = np.array(list(ranks.values()), np.int32)
@@ -263,7 +264,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
 
     def run(batches):
         for batch in batches:
-            for part in C.text_chunks(batch, text, 6_000_000):
+            for part in C.text_chunks(batch, text, CHUNK):
                 flat, off = coder(path).encode(_strings(part, text))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat, pa.int32()))], [*part.schema.names, ids])
 
@@ -296,7 +297,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in C.text_chunks(batch, "text", 6_000_000):
+            for part in C.text_chunks(batch, "text", CHUNK):
                 c = coder(path)
                 ids, off = c.encode(_strings(part, "text"))
                 back = c.decode(ids, off)

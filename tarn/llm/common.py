@@ -48,7 +48,7 @@ def only(df: DataFrame, *cols: str) -> DataFrame:
 # ---------------------------------------------------------------- vectorised words
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 3_000_000):
+def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 1_500_000):
     """Slices of a batch whose texts hold about `limit` bytes; a longer single text is a slice of its own."""
     col = batch.column(batch.schema.get_field_index(column))
     size = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
