@@ -1,10 +1,12 @@
 """Token-ID files: an adaptive context-mixing range coder in independent, checksummed blocks.
 
-An id is coded as four digits of four bits. Each digit has three adaptive distributions, whose contexts are the digits
-before it alone (order 0), with the id before (order 1), and with the two ids before (order 2); they are mixed by
-weights that follow how well each has predicted, and drive a 32-bit range coder. All arithmetic is in integers, so files
-decode alike everywhere. Every block of BLOCK ids starts from fresh distributions and carries a CRC-32; up to
-LANES blocks are coded in step with each other, as vectors.
+Each block keeps three predictors of the next id: the one that last followed the two ids before (order 2), the one that
+last followed the id before (order 1), and the sorted window of its latest ids (order 0). An id is one of four events:
+order 2 is right, order 1 is right, the id is in the window (then the window's counts give its interval), or it is new
+(then all 65536 ids are alike). Each order has adaptive distributions of the events, chosen by its state (how often the
+candidate was right lately; for order 0 the event before); they are mixed by weights that follow how well each has
+predicted, and drive a range coder with 64-bit bounds. All arithmetic is in integers, so files decode alike everywhere.
+Every block of BLOCK ids starts afresh and carries a CRC-32; up to LANES blocks are coded in step with each other, as vectors.
 
 A segment is MAGIC, a header (counts, CRC), the compressed index of its documents, and its blocks. Documents are
 range-partitioned and sorted by doc_id; a task streams its partition into segments of bounded size, and
@@ -27,123 +29,207 @@ from pyspark.sql import functions as F
 
 from tarn.llm import common as C
 
-MAGIC, BLOCK, LANES = b"TRN1", 2048, 512
-HASHED = 2048  #: contexts of orders 1 and 2
-_NODES = (0, 1, 17, 273)  #: first order-0 context of each digit
+MAGIC, BLOCK, LANES = b"TRN2", 2048, 4096
+HASHED = 1024  #: contexts of orders 1 and 2
+FIRST, WINDOW = 32, 1024  #: least and greatest window of order 0
+_ONE, _FIELD = 4096, (1 << 21) - 1  #: total of an order's distribution of events; three bounds of it are packed in fields of 21 bits
+_LEAST = 1 | 2 << 21 | 3 << 42
+_EVEN = 1024 * _LEAST
+_SHIFTED = 0xFF * (1 | 1 << 21 | 1 << 42)
+_GAIN = np.array([128 * sum(1 << 21 * j for j in range(e, 3)) for e in range(4)])  #: what bounds above an event gain
+_NEXT = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7]) << 16  #: hits after a miss, after a hit
+_FULL, _TOP, _BOTTOM = (1 << 64) - 1, np.uint64(1 << 48), np.uint64(1 << 40)
 _WORKER: dict = {}
 
 
-class _Mixer:
-    """Distributions and weights of n blocks that are coded in step."""
+class _Model:
+    """Predictions of n blocks that are coded in step: candidates of orders 2 and 1, the sorted window of order 0,
+    and adaptive distributions of the four events under the state of each order, mixed by weights."""
 
     def __init__(self, n: int):
-        self.n, self.lane = n, np.arange(n)
-        self.tables = [np.ones((n * size, 16), dtype=np.uint16) for size in (4369, HASHED, HASHED)]
-        self.score = np.full((3, 4, n), 1 << 8, dtype=np.int64)
-        self.before = np.zeros((2, n), dtype=np.int64)
-
-    def rows(self, digit: int, prefix: np.ndarray):
-        """Places and values of the three distributions, their totals, and the mixed cumulative one."""
-        node = _NODES[digit] + prefix
-        a, b = self.before
-        h1 = ((a * 0x9E3779B1 + node * 0x85EBCA6B + 1) >> 7) % HASHED
-        h2 = ((a * 0x9E3779B1 + b * 0xC2B2AE35 + node * 0x27D4EB2F + 7) >> 9) % HASHED
-        at = [self.lane * 4369 + node, self.lane * HASHED + h1, self.lane * HASHED + h2]
-        own = [t[p].astype(np.int64) for t, p in zip(self.tables, at, strict=True)]
-        weight = 1 + (self.score[:, digit] >> 9)
-        mixed = own[0] * weight[0, :, None] + own[1] * weight[1, :, None] + own[2] * weight[2, :, None]
-        return at, own, np.cumsum(mixed, axis=1), mixed
-
-    def learn(self, digit: int, at, own, symbol: np.ndarray) -> None:
-        for k, (p, f) in enumerate(zip(at, own, strict=True)):
-            total = f.sum(axis=1)
-            hit = f[self.lane, symbol]
-            s = self.score[k, digit]
-            s += ((hit << 12) // total - s) >> 5
-            f[self.lane, symbol] = hit + 32
-            big = total > 1900
-            if big.any():
-                f[big] = (f[big] + 1) >> 1
-            self.tables[k][p] = f
-
-    def seen(self, ids: np.ndarray) -> None:
-        self.before[1] = self.before[0]
-        self.before[0] = ids
+        self.n, lane = n, np.arange(n, dtype=np.int64)
+        self.hash_base, self.state_base, self.lane = lane * HASHED, lane * 8, lane
+        self.tables = [np.zeros(n * HASHED, np.uint32) for _ in range(2)]  # order 1, order 2: id, hits above it
+        self.events = [np.full(n * 8, _EVEN, np.int64) for _ in range(3)]
+        self.score = [np.full(n, 1024, np.int64) for _ in range(3)]
+        self.one, self.two, self.last = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.bits, self.window, self.spans = 0, None, None
+
+    def rebuild(self, window: np.ndarray) -> None:
+        """Order 0 from the last ids of the blocks (2 ** bits columns): sorted ids, with first place and count of each's run."""
+        n, m = window.shape
+        s = np.sort(window, axis=1, kind="stable")
+        edge = np.ones((n, m + 1), dtype=bool)
+        np.not_equal(s[:, 1:], s[:, :-1], out=edge[:, 1:-1])
+        at = np.flatnonzero(edge[:, :-1])
+        size = np.diff(np.append(at, n * m)).astype(np.uint32)
+        self.spans = np.repeat((size << 16) | (at % m).astype(np.uint32), size)
+        self.window, self.bits = s, m.bit_length() - 1
+
+    def candidates(self):
+        """What is expected next, and the mixed distribution of events (three packed bounds, total)."""
+        mixed = self.one * 0x9E3779B1
+        h1 = self.hash_base + ((mixed >> 12) & (HASHED - 1))
+        h2 = self.hash_base + (((mixed + self.two * 0xC2B2AE35) >> 13) & (HASHED - 1))
+        e1, e2 = self.tables[0][h1], self.tables[1][h2]
+        c1, c2 = (e1 & 0xFFFF).astype(np.int64), (e2 & 0xFFFF).astype(np.int64)
+        k1, k2 = (e1 >> 16).astype(np.int64), (e2 >> 16).astype(np.int64)
+        at = (self.state_base + (self.last * 2 + (c1 == c2)), self.state_base + k1, self.state_base + k2)
+        own = [t[a] for t, a in zip(self.events, at, strict=True)]
+        weight = [1 + ((s * s) >> 17) for s in self.score]
+        total = weight[0] + weight[1] + weight[2]
+        bounds = own[0] * weight[0] + own[1] * weight[1] + own[2] * weight[2] + total * _LEAST
+        return (h1, h2, c1, c2, k1, k2, at, own), bounds, total * (_ONE + 4)
+
+    def learn(self, state, event: np.ndarray, ids: np.ndarray) -> None:
+        h1, h2, c1, c2, k1, k2, at, own = state
+        shift, gain, top = event * 21, _GAIN[event], event == 3
+        for k in range(3):
+            p = own[k]
+            high = np.where(top, _ONE, (p >> shift) & _FIELD)
+            low = np.where(event == 0, 0, (p >> (shift - 21).clip(0)) & _FIELD)
+            s = self.score[k]
+            s += (high - low - s) >> 4
+            self.events[k][at[k]] = p - ((p >> 5) & _SHIFTED) + gain
+        for table, h, c, k in ((self.tables[0], h1, c1, k1), (self.tables[1], h2, c2, k2)):
+            hit = c == ids
+            table[h] = (_NEXT[k + 8 * hit] | np.where(hit | (k > 1), c, ids)).astype(np.uint32)
+        self.two, self.one, self.last = self.one, ids, event
+
+
+def _frames(length: int):
+    """(start, end, window) of the stretches of a block that share one order-0 window: it doubles, then slides."""
+    start, window = 0, 0
+    while start < length:
+        end = FIRST if not start else start * 2 if start < WINDOW else start + WINDOW // 2
+        yield start, min(end, length), window
+        start, window = end, min(end, WINDOW)
+
+
+def _places(model: _Model, own: np.ndarray) -> np.ndarray:
+    """Spans (count, first place) in the window of each of the ids; 0 where absent. Some lanes at a time."""
+    n, m = model.window.shape
+    out = np.zeros(own.shape, np.uint32)
+    table = np.zeros((16, 65536), np.uint32)
+    spans = model.spans.reshape(n, m)
+    for a in range(0, n, 16):
+        row = np.arange(min(16, n - a))[:, None]
+        table[row, model.window[a : a + 16]] = spans[a : a + 16]
+        out[a : a + 16] = table[row, own[a : a + 16]]
+        table[row, model.window[a : a + 16]] = 0
+    return out
+
+
+def _narrow(low: np.ndarray, rng: np.ndarray, bounds: np.ndarray, r: np.ndarray, event: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The interval of the event."""
+    shift = event * 21
+    high = np.where(event == 3, total, (bounds >> shift) & _FIELD)
+    base = np.where(event == 0, 0, (bounds >> (shift - 21).clip(0)) & _FIELD)
+    low += base.astype(np.uint64) * r
+    return (high - base).astype(np.uint64) * r
+
+
+def _due(low: np.ndarray, rng: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
+    """Rows whose first 16 bits are settled; where the range is short across a border it is cut to be settled."""
+    a, b = (low, rng) if rows is None else (low[rows], rng[rows])
+    same = (a ^ (a + b)) < _TOP
+    tight = ~same & (b < _BOTTOM)
+    go = np.flatnonzero(same | tight)
+    if tight.any():
+        t = np.flatnonzero(tight)
+        at = t if rows is None else rows[t]
+        rng[at] = (~low[at] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
+    return go if rows is None else rows[go]
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """ids: a row for each block (padded alike). The code bytes of each block."""
+    ids = ids.astype(np.uint16)
     n, length = ids.shape
-    low, rng = np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
-    out, pos = np.zeros((n, length * 8 + 16), dtype=np.uint8), np.zeros(n, np.int64)
-    model = _Mixer(n)
-    for t in range(length):
-        prefix = np.zeros(n, np.int64)
-        for digit in range(4):
-            symbol = (ids[:, t] >> (12 - 4 * digit)) & 15
-            at, own, cum, mixed = model.rows(digit, prefix)
-            freq = mixed[model.lane, symbol]
-            r = rng // cum[:, 15]
-            low += (cum[model.lane, symbol] - freq) * r
-            rng = freq * r
-            while True:
-                same = (low ^ (low + rng)) < 1 << 24
-                tight = ~same & (rng < 1 << 16)
-                go = np.flatnonzero(same | tight)
-                if not len(go):
-                    break
-                if tight.any():
-                    rng[tight] = -low[tight] & 0xFFFF
-                out[go, pos[go]] = low[go] >> 24
+    low, rng = np.zeros(n, np.uint64), np.full(n, _FULL, np.uint64)
+    out, pos = np.zeros((n, length + 512), dtype=np.uint16), np.zeros(n, np.int64)
+    model = _Model(n)
+    for start, end, window in _frames(length):
+        own = np.ascontiguousarray(ids[:, start:end].T).astype(np.int64)
+        if window:
+            model.rebuild(ids[:, start - window : start])
+            places = np.ascontiguousarray(_places(model, ids[:, start:end]).T)
+        else:
+            places = np.zeros(own.shape, np.uint32)
+        bits = np.array([0, 0, model.bits, 16], np.uint64)
+        for t in range(end - start):
+            sym, span = own[t], places[t]
+            state, bounds, total = model.candidates()
+            event = np.where(sym == state[3], 0, np.where(sym == state[2], 1, np.where(span > 0, 2, 3)))
+            r = rng // total.astype(np.uint64)
+            rng = _narrow(low, rng, bounds, r, event, total)
+            r = rng >> bits[event]
+            inside, fresh = event == 2, event == 3
+            low += np.where(inside, span & 0xFFFF, np.where(fresh, sym, 0)).astype(np.uint64) * r
+            rng = np.where(inside, span >> 16, 1).astype(np.uint64) * r
+            go = _due(low, rng, None)
+            while len(go):
+                out[go, pos[go]] = low[go] >> np.uint64(48)
                 pos[go] += 1
-                low[go] = (low[go] << 8) & 0xFFFFFFFF
-                rng[go] <<= 8
-            model.learn(digit, at, own, symbol)
-            prefix = prefix * 16 + symbol
-        model.seen(ids[:, t])
+                low[go] <<= np.uint64(16)
+                rng[go] <<= np.uint64(16)
+                go = _due(low, rng, go)
+            model.learn(state, event, sym)
+            if t % 32 == 0 and pos.max() + 32 * 8 > out.shape[1] - 8:
+                out = np.concatenate([out, np.zeros((n, length + 512), np.uint16)], axis=1)
     for k in range(4):
-        out[model.lane, pos + k] = (low >> (24 - 8 * k)) & 255
-    return [out[i, : pos[i] + 4].tobytes() for i in range(n)]
+        out[model.lane, pos + k] = (low >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF)
+    return [out[i, : p + 4].astype("<u2").tobytes() for i, p in enumerate(pos.tolist())]
 
 
 def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
     """The ids of blocks, padded to `length` columns."""
     n = len(codes)
-    width = max(map(len, codes)) + 8
-    data = np.zeros((n, width), dtype=np.int64)
+    width = max(map(len, codes)) // 2 + 8
+    data = np.zeros((n, width), dtype=np.uint16)
     for i, c in enumerate(codes):
-        data[i, : len(c)] = np.frombuffer(c, np.uint8)
-    low, rng = np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
-    code = data[:, 0] << 24 | data[:, 1] << 16 | data[:, 2] << 8 | data[:, 3]
+        data[i, : len(c) // 2] = np.frombuffer(c, "<u2", count=len(c) // 2)
+    low, rng, code = np.zeros(n, np.uint64), np.full(n, _FULL, np.uint64), np.zeros(n, np.uint64)
+    for k in range(4):
+        code = code << np.uint64(16) | data[:, k]
     pos = np.full(n, 4, np.int64)
-    model = _Mixer(n)
-    ids = np.zeros((n, length), dtype=np.int64)
-    for t in range(length):
-        prefix = np.zeros(n, np.int64)
-        for digit in range(4):
-            at, own, cum, mixed = model.rows(digit, prefix)
-            r = rng // cum[:, 15]
-            value = np.minimum((code - low) // r, cum[:, 15] - 1)
-            symbol = (cum <= value[:, None]).sum(axis=1)
-            freq = mixed[model.lane, symbol]
-            low += (cum[model.lane, symbol] - freq) * r
-            rng = freq * r
-            while True:
-                same = (low ^ (low + rng)) < 1 << 24
-                tight = ~same & (rng < 1 << 16)
-                go = np.flatnonzero(same | tight)
-                if not len(go):
-                    break
-                if tight.any():
-                    rng[tight] = -low[tight] & 0xFFFF
-                code[go] = (code[go] << 8 | data[go, np.minimum(pos[go], width - 1)]) & 0xFFFFFFFF
+    model = _Model(n)
+    ids = np.zeros((n, length), dtype=np.uint16)
+    for start, end, window in _frames(length):
+        if window:
+            model.rebuild(ids[:, start - window : start])
+            place, flat = model.lane << model.bits, model.window.reshape(-1)
+        bits = np.array([0, 0, model.bits, 16], np.uint64)
+        own = np.zeros((end - start, n), np.uint16)
+        for t in range(end - start):
+            state, bounds, total = model.candidates()
+            r = rng // total.astype(np.uint64)
+            value = np.minimum((code - low) // r, total.astype(np.uint64) - np.uint64(1)).astype(np.int64)
+            event = (value >= bounds & _FIELD).astype(np.int64) + (value >= (bounds >> 21) & _FIELD) + (value >= bounds >> 42)
+            rng = _narrow(low, rng, bounds, r, event, total)
+            b = bits[event]
+            r = rng >> b
+            value = np.minimum((code - low) // r, (np.uint64(1) << b) - np.uint64(1)).astype(np.int64)
+            inside, fresh = event == 2, event == 3
+            sym = np.where(event == 0, state[3], np.where(event == 1, state[2], value))
+            first, count = np.where(fresh, value, 0), 1
+            if window:
+                where = place + np.where(inside, value, 0)
+                sym = np.where(inside, flat[where], sym)
+                span = model.spans[where]
+                first, count = np.where(inside, span & 0xFFFF, first), np.where(inside, span >> 16, 1)
+            low += first.astype(np.uint64) * r
+            rng = count.astype(np.uint64) * r if window else r
+            go = _due(low, rng, None)
+            while len(go):
+                code[go] = code[go] << np.uint64(16) | data[go, np.minimum(pos[go], width - 1)]
                 pos[go] += 1
-                low[go] = (low[go] << 8) & 0xFFFFFFFF
-                rng[go] <<= 8
-            model.learn(digit, at, own, symbol)
-            prefix = prefix * 16 + symbol
-        ids[:, t] = prefix
-        model.seen(prefix)
+                low[go] <<= np.uint64(16)
+                rng[go] <<= np.uint64(16)
+                go = _due(low, rng, go)
+            model.learn(state, event, sym)
+            own[t] = sym
+        ids[:, start:end] = own.T
     return ids
 
 
