@@ -27,73 +27,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarn.llm import bpe
 from tarn.llm import common as C
 
 MAGIC, BLOCK, LANES = b"TRN2", 2048, 4096
 HASHED = 1024  #: contexts of orders 1 and 2
 FIRST, WINDOW = 32, 1024  #: least and greatest window of order 0
-_ONE, _FIELD = 4096, (1 << 21) - 1  #: total of an order's distribution of events; three bounds of it are packed in fields of 21 bits
-_LEAST = 1 | 2 << 21 | 3 << 42
-_EVEN = 1024 * _LEAST
-_SHIFTED = 0xFF * (1 | 1 << 21 | 1 << 42)
-_GAIN = np.array([128 * sum(1 << 21 * j for j in range(e, 3)) for e in range(4)])  #: what bounds above an event gain
-_NEXT = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7]) << 16  #: hits after a miss, after a hit
-_FULL, _TOP, _BOTTOM = (1 << 64) - 1, np.uint64(1 << 48), np.uint64(1 << 40)
+_EVENT = np.array([3, 0, 1, 0, 2, 0, 1, 0])  #: by order 2 right, order 1 right (2), in the window (4)
+_EVEN, _SUM, _FIFTHS, _GAIN = 1024 * 0x0001000100010001, np.uint64(0x0001000100010001), np.uint64(0x00FF00FF00FF00FF), np.uint64(128)
+_NEXT = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7], np.uint32) << 16  #: times right after a miss, after a hit
+_K1, _K2, _ID, _SIXTEEN = np.uint32(0x9E3779B1), np.uint32(0xC2B2AE35), np.uint32(0xFFFF), np.uint32(16)
+_KEEP = np.uint32(33 - HASHED.bit_length())
+_FULL, _WORD, _LOWER = (1 << 64) - 1, np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 _WORKER: dict = {}
 
 
 class _Model:
     """Predictions of n blocks that are coded in step: candidates of orders 2 and 1, the sorted window of order 0,
-    and adaptive distributions of the four events under the state of each order, mixed by weights."""
+    and adaptive distributions of the four events under the state of each order, mixed by weights.
+
+    A distribution is four shares of 16 bits in one number; a product with _SUM gives their running sums."""
 
     def __init__(self, n: int):
-        self.n, lane = n, np.arange(n, dtype=np.int64)
-        self.hash_base, self.state_base, self.lane = lane * HASHED, lane * 8, lane
-        self.tables = [np.zeros(n * HASHED, np.uint32) for _ in range(2)]  # order 1, order 2: id, hits above it
-        self.events = [np.full(n * 8, _EVEN, np.int64) for _ in range(3)]
-        self.score = [np.full(n, 1024, np.int64) for _ in range(3)]
-        self.one, self.two, self.last = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.bits, self.window, self.spans = 0, None, None
+        self.n, self.lane = n, np.arange(n)
+        self.hash_base, self.state_base = self.lane * HASHED, self.lane * 8
+        self.tables = [np.zeros(n * HASHED, np.uint32) for _ in range(2)]  # order 1, order 2: id, and above it how often it was right
+        self.events = [np.full(n * 8, _EVEN, np.uint64) for _ in range(3)]
+        self.score = [np.full(n, 1024, np.uint64) for _ in range(3)]
+        self.weight = [1 + (s >> 10) for s in self.score]
+        self.one, self.two, self.last = np.zeros(n, np.uint32), np.zeros(n, np.uint32), np.zeros(n, np.int64)
+        self.bits = 0
 
     def rebuild(self, window: np.ndarray) -> None:
-        """Order 0 from the last ids of the blocks (2 ** bits columns): sorted ids, with first place and count of each's run."""
+        """Order 0 from the last ids of the blocks (2 ** bits columns), sorted: id, first place and count of its run, packed."""
         n, m = window.shape
         s = np.sort(window, axis=1, kind="stable")
-        edge = np.ones((n, m + 1), dtype=bool)
-        np.not_equal(s[:, 1:], s[:, :-1], out=edge[:, 1:-1])
-        at = np.flatnonzero(edge[:, :-1])
-        size = np.diff(np.append(at, n * m)).astype(np.uint32)
-        self.spans = np.repeat((size << 16) | (at % m).astype(np.uint32), size)
-        self.window, self.bits = s, m.bit_length() - 1
-
-    def candidates(self):
-        """What is expected next, and the mixed distribution of events (three packed bounds, total)."""
-        mixed = self.one * 0x9E3779B1
-        h1 = self.hash_base + ((mixed >> 12) & (HASHED - 1))
-        h2 = self.hash_base + (((mixed + self.two * 0xC2B2AE35) >> 13) & (HASHED - 1))
-        e1, e2 = self.tables[0][h1], self.tables[1][h2]
-        c1, c2 = (e1 & 0xFFFF).astype(np.int64), (e2 & 0xFFFF).astype(np.int64)
-        k1, k2 = (e1 >> 16).astype(np.int64), (e2 >> 16).astype(np.int64)
-        at = (self.state_base + (self.last * 2 + (c1 == c2)), self.state_base + k1, self.state_base + k2)
-        own = [t[a] for t, a in zip(self.events, at, strict=True)]
-        weight = [1 + ((s * s) >> 17) for s in self.score]
-        total = weight[0] + weight[1] + weight[2]
-        bounds = own[0] * weight[0] + own[1] * weight[1] + own[2] * weight[2] + total * _LEAST
-        return (h1, h2, c1, c2, k1, k2, at, own), bounds, total * (_ONE + 4)
-
-    def learn(self, state, event: np.ndarray, ids: np.ndarray) -> None:
-        h1, h2, c1, c2, k1, k2, at, own = state
-        shift, gain, top = event * 21, _GAIN[event], event == 3
-        for k in range(3):
-            p = own[k]
-            high = np.where(top, _ONE, (p >> shift) & _FIELD)
-            low = np.where(event == 0, 0, (p >> (shift - 21).clip(0)) & _FIELD)
-            s = self.score[k]
-            s += (high - low - s) >> 4
-            self.events[k][at[k]] = p - ((p >> 5) & _SHIFTED) + gain
-        for table, h, c, k in ((self.tables[0], h1, c1, k1), (self.tables[1], h2, c2, k2)):
-            hit = c == ids
-            table[h] = (_NEXT[k + 8 * hit] | np.where(hit | (k > 1), c, ids)).astype(np.uint32)
+        edge = np.ones((n, m), dtype=bool)
+        np.not_equal(s[:, 1:], s[:, :-1], out=edge[:, 1:])
+        at = np.flatnonzero(edge)
+        size = np.diff(np.append(at, n * m))
+        run = s.reshape(-1)[at].astype(np.uint64) | (at % m).astype(np.uint64) << 16 | (size - 1).astype(np.uint64) << 32
+        self.sorted, self.spans, self.bits = s, np.repeat(run, size), m.bit_length() - 1
+
+    def expect(self) -> np.ndarray:
+        """The mixed distribution of events."""
+        first = self.one * _K1
+        self.h1, self.h2 = self.hash_base + (first >> _KEEP), self.hash_base + ((first + self.two * _K2) >> _KEEP)
+        self.e1, self.e2 = self.tables[0][self.h1], self.tables[1][self.h2]
+        self.c1, self.c2, self.k1, self.k2 = self.e1 & _ID, self.e2 & _ID, self.e1 >> _SIXTEEN, self.e2 >> _SIXTEEN
+        self.at = (self.state_base + self.last, self.state_base + self.k1, self.state_base + self.k2)
+        self.own = [t[a] for t, a in zip(self.events, self.at, strict=True)]
+        mixed = self.own[0] * self.weight[0]
+        mixed += self.own[1] * self.weight[1]
+        mixed += self.own[2] * self.weight[2]
+        return mixed
+
+    def learn(self, event: np.ndarray, field: np.ndarray, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, weigh: bool) -> None:
+        """field: 16 times the event; weigh: whether scores and weights are to follow this id."""
+        gain = _GAIN << field
+        for t, a, p in zip(self.events, self.at, self.own, strict=True):
+            t[a] = p - ((p >> 5) & _FIFTHS) + gain
+        if weigh:
+            for k, p in enumerate(self.own):
+                s = self.score[k]
+                s += (((p >> field) & 0xFFFF) >> 3) - (s >> 3)
+                self.weight[k] = 1 + (s >> 10)
+        for table, h, c, k, hit in ((self.tables[0], self.h1, self.c1, self.k1, hit1), (self.tables[1], self.h2, self.c2, self.k2, hit2)):
+            keep = hit | (k > 1)
+            table[h] = _NEXT.take(k + (hit.view(np.uint8) << 3)) | (ids ^ ((ids ^ c) * keep))
         self.two, self.one, self.last = self.one, ids, event
 
 
@@ -106,40 +107,38 @@ def _frames(length: int):
         start, window = end, min(end, WINDOW)
 
 
-def _places(model: _Model, own: np.ndarray) -> np.ndarray:
-    """Spans (count, first place) in the window of each of the ids; 0 where absent. Some lanes at a time."""
-    n, m = model.window.shape
-    out = np.zeros(own.shape, np.uint32)
-    table = np.zeros((16, 65536), np.uint32)
-    spans = model.spans.reshape(n, m)
-    for a in range(0, n, 16):
-        row = np.arange(min(16, n - a))[:, None]
-        table[row, model.window[a : a + 16]] = spans[a : a + 16]
-        out[a : a + 16] = table[row, own[a : a + 16]]
-        table[row, model.window[a : a + 16]] = 0
-    return out
-
-
-def _narrow(low: np.ndarray, rng: np.ndarray, bounds: np.ndarray, r: np.ndarray, event: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """The interval of the event."""
-    shift = event * 21
-    high = np.where(event == 3, total, (bounds >> shift) & _FIELD)
-    base = np.where(event == 0, 0, (bounds >> (shift - 21).clip(0)) & _FIELD)
-    low += base.astype(np.uint64) * r
-    return (high - base).astype(np.uint64) * r
-
-
-def _due(low: np.ndarray, rng: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
-    """Rows whose first 16 bits are settled; where the range is short across a border it is cut to be settled."""
-    a, b = (low, rng) if rows is None else (low[rows], rng[rows])
-    same = (a ^ (a + b)) < _TOP
-    tight = ~same & (b < _BOTTOM)
+def _places(model: _Model, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each id (a row for each block): whether the window has it, first place and count less one there; else itself and 0."""
+    first, more, seen = own.astype(np.uint64), np.zeros(own.shape, np.uint64), np.zeros(own.shape, bool)
+    if model.bits:
+        n, m = model.sorted.shape
+        table = np.zeros((16, 65536), np.uint64)
+        spans = model.spans.reshape(n, m)
+        for a in range(0, n, 16):
+            row = np.arange(min(16, n - a))[:, None]
+            table[row, model.sorted[a : a + 16]] = spans[a : a + 16] | 1 << 63
+            got = table[row, own[a : a + 16]]
+            table[row, model.sorted[a : a + 16]] = 0
+            seen[a : a + 16] = found = got > 0
+            np.copyto(first[a : a + 16], (got >> 16) & 0xFFFF, where=found)
+            more[a : a + 16] = (got >> 32) & 0xFFFF
+    return tuple(np.ascontiguousarray(x.T) for x in (seen, first, more))
+
+
+def _settled(low: np.ndarray, rng: np.ndarray, move) -> None:
+    """Moves the first 32 bits out wherever they are settled; a short range across a border is cut to settle them."""
+    same, tight = (low ^ (low + rng)) < _WORD, rng < _WORD
     go = np.flatnonzero(same | tight)
-    if tight.any():
-        t = np.flatnonzero(tight)
-        at = t if rows is None else rows[t]
-        rng[at] = (~low[at] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-    return go if rows is None else rows[go]
+    while len(go):
+        a, b = low[go], rng[go]
+        cut = (a ^ (a + b)) >= _WORD
+        if cut.any():
+            b = np.where(cut, (~a + 1) & _LOWER, b)
+        move(go, a)
+        a <<= 32
+        b <<= 32
+        low[go], rng[go] = a, b
+        go = go[((a ^ (a + b)) < _WORD) | (b < _WORD)]
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
@@ -147,87 +146,97 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     ids = ids.astype(np.uint16)
     n, length = ids.shape
     low, rng = np.zeros(n, np.uint64), np.full(n, _FULL, np.uint64)
-    out, pos = np.zeros((n, length + 512), dtype=np.uint16), np.zeros(n, np.int64)
+    out, pos = np.zeros((n, length // 2 + 256), dtype=np.uint32), np.zeros(n, np.int64)
     model = _Model(n)
+
+    def move(go, a):
+        out[go, pos[go]] = a >> 32
+        pos[go] += 1
+
     for start, end, window in _frames(length):
-        own = np.ascontiguousarray(ids[:, start:end].T).astype(np.int64)
+        own = np.ascontiguousarray(ids[:, start:end].T).astype(np.uint32)
         if window:
             model.rebuild(ids[:, start - window : start])
-            places = np.ascontiguousarray(_places(model, ids[:, start:end]).T)
-        else:
-            places = np.zeros(own.shape, np.uint32)
-        bits = np.array([0, 0, model.bits, 16], np.uint64)
+        seen, first, more = _places(model, ids[:, start:end])
+        width = np.where(seen, np.uint64(model.bits), np.uint64(16))
+        seen = seen.view(np.uint8) << 2
         for t in range(end - start):
-            sym, span = own[t], places[t]
-            state, bounds, total = model.candidates()
-            event = np.where(sym == state[3], 0, np.where(sym == state[2], 1, np.where(span > 0, 2, 3)))
-            r = rng // total.astype(np.uint64)
-            rng = _narrow(low, rng, bounds, r, event, total)
-            r = rng >> bits[event]
-            inside, fresh = event == 2, event == 3
-            low += np.where(inside, span & 0xFFFF, np.where(fresh, sym, 0)).astype(np.uint64) * r
-            rng = np.where(inside, span >> 16, 1).astype(np.uint64) * r
-            go = _due(low, rng, None)
-            while len(go):
-                out[go, pos[go]] = low[go] >> np.uint64(48)
-                pos[go] += 1
-                low[go] <<= np.uint64(16)
-                rng[go] <<= np.uint64(16)
-                go = _due(low, rng, go)
-            model.learn(state, event, sym)
-            if t % 32 == 0 and pos.max() + 32 * 8 > out.shape[1] - 8:
-                out = np.concatenate([out, np.zeros((n, length + 512), np.uint16)], axis=1)
-    for k in range(4):
-        out[model.lane, pos + k] = (low >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF)
-    return [out[i, : p + 4].astype("<u2").tobytes() for i, p in enumerate(pos.tolist())]
+            sym = own[t]
+            mixed = model.expect()
+            hit1, hit2 = model.c1 == sym, model.c2 == sym
+            event = _EVENT.take(seen[t] | hit1.view(np.uint8) << 1 | hit2.view(np.uint8))
+            field = (event << 4).view(np.uint64)
+            sums = mixed * _SUM
+            freq = (mixed >> field) & 0xFFFF
+            r = rng // (sums >> 48)
+            low += (((sums >> field) & 0xFFFF) - freq) * r
+            rng = freq * r
+            miss = (event >> 1).view(np.uint64)
+            r = rng >> (width[t] * miss)
+            low += first[t] * miss * r
+            rng = (more[t] * miss + 1) * r
+            _settled(low, rng, move)
+            model.learn(event, field, sym, hit1, hit2, t % 4 == 0)
+            if t % 32 == 0 and pos.max() + 32 * 4 > out.shape[1]:
+                out = np.concatenate([out, np.zeros((n, length // 2 + 256), np.uint32)], axis=1)
+    for k in range(2):
+        move(model.lane, low << (32 * k))
+    return [out[i, :p].astype("<u4").tobytes() for i, p in enumerate(pos.tolist())]
 
 
 def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
     """The ids of blocks, padded to `length` columns."""
     n = len(codes)
-    width = max(map(len, codes)) // 2 + 8
-    data = np.zeros((n, width), dtype=np.uint16)
+    width = max(map(len, codes)) // 4 + 2
+    data = np.zeros((n, width), dtype=np.uint32)
     for i, c in enumerate(codes):
-        data[i, : len(c) // 2] = np.frombuffer(c, "<u2", count=len(c) // 2)
-    low, rng, code = np.zeros(n, np.uint64), np.full(n, _FULL, np.uint64), np.zeros(n, np.uint64)
-    for k in range(4):
-        code = code << np.uint64(16) | data[:, k]
-    pos = np.full(n, 4, np.int64)
+        data[i, : len(c) // 4] = np.frombuffer(c, "<u4", count=len(c) // 4)
+    low, rng = np.zeros(n, np.uint64), np.full(n, _FULL, np.uint64)
+    code = data[:, 0].astype(np.uint64) << 32 | data[:, 1]
+    pos = np.full(n, 2, np.int64)
     model = _Model(n)
     ids = np.zeros((n, length), dtype=np.uint16)
+
+    def move(go, a):
+        p = pos[go]
+        code[go] = code[go] << 32 | data[go, np.minimum(p, width - 1)]
+        pos[go] = p + 1
+
     for start, end, window in _frames(length):
         if window:
             model.rebuild(ids[:, start - window : start])
-            place, flat = model.lane << model.bits, model.window.reshape(-1)
+            place = model.lane << model.bits
         bits = np.array([0, 0, model.bits, 16], np.uint64)
         own = np.zeros((end - start, n), np.uint16)
         for t in range(end - start):
-            state, bounds, total = model.candidates()
-            r = rng // total.astype(np.uint64)
-            value = np.minimum((code - low) // r, total.astype(np.uint64) - np.uint64(1)).astype(np.int64)
-            event = (value >= bounds & _FIELD).astype(np.int64) + (value >= (bounds >> 21) & _FIELD) + (value >= bounds >> 42)
-            rng = _narrow(low, rng, bounds, r, event, total)
-            b = bits[event]
+            mixed = model.expect()
+            sums = mixed * _SUM
+            total = sums >> 48
+            r = rng // total
+            value = np.minimum((code - low) // r, total - 1)
+            event = ((value >= sums & 0xFFFF).view(np.uint8) + (value >= (sums >> 16) & 0xFFFF) + (value >= (sums >> 32) & 0xFFFF)).astype(np.int64)
+            field = (event << 4).view(np.uint64)
+            freq = (mixed >> field) & 0xFFFF
+            low += (((sums >> field) & 0xFFFF) - freq) * r
+            rng = freq * r
+            b = bits.take(event)
             r = rng >> b
-            value = np.minimum((code - low) // r, (np.uint64(1) << b) - np.uint64(1)).astype(np.int64)
-            inside, fresh = event == 2, event == 3
-            sym = np.where(event == 0, state[3], np.where(event == 1, state[2], value))
-            first, count = np.where(fresh, value, 0), 1
+            value = np.minimum((code - low) // r, (1 << b) - 1)
+            sym = value.astype(np.uint32)
             if window:
-                where = place + np.where(inside, value, 0)
-                sym = np.where(inside, flat[where], sym)
-                span = model.spans[where]
-                first, count = np.where(inside, span & 0xFFFF, first), np.where(inside, span >> 16, 1)
-            low += first.astype(np.uint64) * r
-            rng = count.astype(np.uint64) * r if window else r
-            go = _due(low, rng, None)
-            while len(go):
-                code[go] = code[go] << np.uint64(16) | data[go, np.minimum(pos[go], width - 1)]
-                pos[go] += 1
-                low[go] <<= np.uint64(16)
-                rng[go] <<= np.uint64(16)
-                go = _due(low, rng, go)
-            model.learn(state, event, sym)
+                inside = event == 2
+                span = model.spans[place + (value.view(np.int64) * inside)] * inside
+                np.copyto(value, (span >> 16) & 0xFFFF, where=inside)
+                np.copyto(sym, span & 0xFFFF, where=inside, casting="unsafe")
+                low += value * r
+                rng = ((span >> 32) + 1) * r
+            else:
+                low += value * r
+                rng = r
+            np.copyto(sym, model.c1, where=event == 1)
+            np.copyto(sym, model.c2, where=event == 0)
+            _settled(low, rng, move)
+            model.learn(event, field, sym, model.c1 == sym, model.c2 == sym, t % 4 == 0)
             own[t] = sym
         ids[:, start:end] = own.T
     return ids
@@ -235,20 +244,18 @@ def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], sizes: list[int]) -> bytes:
     """A segment of the documents."""
-    flat = np.asarray(ids, dtype=np.int64)
-    if len(flat) and (flat.min() < 0 or flat.max() >= 65536):
+    if len(ids) and (ids.min() < 0 or ids.max() >= 65536):
         raise ValueError("ids must be from 0 to 65535")
+    flat = np.asarray(ids).astype(np.uint16)
     index = zlib.compress(json.dumps([doc_ids, sizes]).encode())
     blocks = -(-len(flat) // BLOCK)
     body = [MAGIC, struct.pack("<QIII", len(flat), blocks, len(index), zlib.crc32(index)), index]
     for k in range(0, blocks, LANES):
-        lanes = min(LANES, blocks - k)
-        part = np.zeros(lanes * BLOCK, np.int64)
-        own = flat[k * BLOCK : (k + lanes) * BLOCK]
-        part[: len(own)] = own
-        width = min(BLOCK, len(own))
-        for i, code in enumerate(encode_blocks(part.reshape(lanes, BLOCK)[:, :width])):
-            block = flat[(k + i) * BLOCK : (k + i + 1) * BLOCK].astype("<u4")
+        own = flat[k * BLOCK : (k + LANES) * BLOCK]
+        lanes = -(-len(own) // BLOCK)
+        part = np.pad(own, (0, lanes * BLOCK - len(own))).reshape(lanes, BLOCK)
+        for i, code in enumerate(encode_blocks(part[:, : min(BLOCK, len(own))])):
+            block = own[i * BLOCK : (i + 1) * BLOCK].astype("<u4")
             body.append(struct.pack("<III", len(block), len(code), zlib.crc32(block.tobytes())) + code)
     return b"".join(body)
 
@@ -276,7 +283,7 @@ def unpack(segment: bytes) -> tuple[np.ndarray, list[int | None], list[int]]:
             if zlib.crc32(row[:n].astype("<u4").tobytes()) != crc:
                 raise ValueError("a block is damaged")
             out.append(row[:n])
-    ids = np.concatenate(out) if out else np.zeros(0, np.int64)
+    ids = np.concatenate(out) if out else np.zeros(0, np.uint16)
     if len(ids) != total:
         raise ValueError("blocks are missing")
     return ids, doc_ids, sizes
@@ -299,6 +306,30 @@ def _tokenizer(path: str):
     return _WORKER[path]
 
 
+class _Words(bpe.Coder):
+    """Ids of texts by the tokenizers library: it encodes each word of the split pattern that is not in the worker's
+    bounded cache. The library cuts texts by that same pattern and never merges across words, so ids are those of whole texts."""
+
+    def __init__(self, path: str):
+        self.library = _tokenizer(path)
+        self.forget(0)
+
+    def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.library.encode_batch([w.decode() for w in found], add_special_tokens=False)]
+        return np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.int32)
+
+
+def _words(path: str) -> _Words:
+    if ("words", path) not in _WORKER:
+        _WORKER["words", path] = _Words(path)
+    return _WORKER["words", path]
+
+
+def _ended(ids: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with end_id after each document, and sizes with it."""
+    return np.insert(ids, off[1:], end_id), np.diff(off) + 1
+
+
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0) -> None:
     """Writes the ids of the whole texts, each document ended by end_id, as segments in ascending doc_id order."""
     C.ship(docs.sparkSession)
@@ -322,12 +353,10 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             return out
 
         for batch in batches:
-            for chunk in C.text_chunks(batch, "text", 1_000_000):
-                found = _tokenizer(tokenizer).encode_batch([x or "" for x in chunk.column(1).to_pylist()], add_special_tokens=False)
-                for name, e in zip(chunk.column(0).to_pylist(), found, strict=True):
-                    own = np.array([*e.ids, end_id], dtype=np.int32)
-                    ids.append(own), names.append(name), sizes.append(len(own))
-                    held += len(own)
+            for chunk in C.text_chunks(batch, "text", bpe.CHUNK):
+                own, size = _ended(*_words(tokenizer).encode([x or "" for x in chunk.column(1).to_pylist()]), end_id)
+                ids.append(own), names.extend(chunk.column(0).to_pylist()), sizes.extend(size.tolist())
+                held += len(own)
                 if held >= BLOCK * LANES:
                     yield segment()
         if names:
