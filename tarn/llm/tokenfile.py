@@ -32,7 +32,7 @@ from tarn.llm import common as C
 
 MAGIC, BLOCK, LANES = b"TRN2", 2048, 4096
 HASHED = 1024  #: contexts of orders 1 and 2
-FIRST, WINDOW = 32, 1024  #: least and greatest window of order 0
+FIRST, WINDOW = 32, 1024  #: least and greatest window of order 0 (a place takes 10 bits)
 _EVENT = np.array([3, 0, 1, 0, 2, 0, 1, 0])  #: by order 2 right, order 1 right (2), in the window (4)
 _EVEN, _SUM, _FIFTHS, _GAIN = 1024 * 0x0001000100010001, np.uint64(0x0001000100010001), np.uint64(0x00FF00FF00FF00FF), np.uint64(128)
 _NEXT = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7], np.uint32) << 16  #: times right after a miss, after a hit
@@ -59,15 +59,15 @@ class _Model:
         self.bits = 0
 
     def rebuild(self, window: np.ndarray) -> None:
-        """Order 0 from the last ids of the blocks (2 ** bits columns), sorted: id, first place and count of its run, packed."""
+        """Order 0 from the last ids of the blocks (2 ** bits columns), sorted; of each, first place and count less one of its run."""
         n, m = window.shape
         s = np.sort(window, axis=1, kind="stable")
         edge = np.ones((n, m), dtype=bool)
         np.not_equal(s[:, 1:], s[:, :-1], out=edge[:, 1:])
         at = np.flatnonzero(edge)
         size = np.diff(np.append(at, n * m))
-        run = s.reshape(-1)[at].astype(np.uint64) | (at % m).astype(np.uint64) << 16 | (size - 1).astype(np.uint64) << 32
-        self.sorted, self.spans, self.bits = s, np.repeat(run, size), m.bit_length() - 1
+        run = (at % m | (size - 1) << 10).astype(np.uint32)
+        self.sorted, self.spans, self.bits = s, np.repeat(run, size).reshape(n, m), m.bit_length() - 1
 
     def expect(self) -> np.ndarray:
         """The mixed distribution of events."""
@@ -108,21 +108,21 @@ def _frames(length: int):
 
 
 def _places(model: _Model, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each id (a row for each block): whether the window has it, first place and count less one there; else itself and 0."""
-    first, more, seen = own.astype(np.uint64), np.zeros(own.shape, np.uint64), np.zeros(own.shape, bool)
-    if model.bits:
-        n, m = model.sorted.shape
-        table = np.zeros((16, 65536), np.uint64)
-        spans = model.spans.reshape(n, m)
-        for a in range(0, n, 16):
-            row = np.arange(min(16, n - a))[:, None]
-            table[row, model.sorted[a : a + 16]] = spans[a : a + 16] | 1 << 63
-            got = table[row, own[a : a + 16]]
-            table[row, model.sorted[a : a + 16]] = 0
-            seen[a : a + 16] = found = got > 0
-            np.copyto(first[a : a + 16], (got >> 16) & 0xFFFF, where=found)
-            more[a : a + 16] = (got >> 32) & 0xFFFF
-    return tuple(np.ascontiguousarray(x.T) for x in (seen, first, more))
+    """Of each id (a column for each block): whether the window has it, first place and count less one there; else itself and 0."""
+    if not model.bits:
+        return np.zeros(own.shape, bool), own.astype(np.uint64), np.zeros(own.shape, np.uint64)
+    n = own.shape[1]
+    got = np.empty((n, len(own)), np.uint32)
+    table = np.zeros((8, 65536), np.uint32)
+    for a in range(0, n, 8):
+        row = np.arange(min(8, n - a))[:, None]
+        at = model.sorted[a : a + 8]
+        table[row, at] = model.spans[a : a + 8] | 1 << 20
+        got[a : a + 8] = table[row, own[:, a : a + 8].T]
+        table[row, at] = 0
+    got = np.ascontiguousarray(got.T)
+    seen = got > 0
+    return seen, np.where(seen, got & 1023, own).astype(np.uint64), ((got >> 10) & 1023).astype(np.uint64)
 
 
 def _settled(low: np.ndarray, rng: np.ndarray, move) -> None:
@@ -157,7 +157,7 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         own = np.ascontiguousarray(ids[:, start:end].T).astype(np.uint32)
         if window:
             model.rebuild(ids[:, start - window : start])
-        seen, first, more = _places(model, ids[:, start:end])
+        seen, first, more = _places(model, own)
         width = np.where(seen, np.uint64(model.bits), np.uint64(16))
         seen = seen.view(np.uint8) << 2
         for t in range(end - start):
@@ -205,7 +205,7 @@ def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
     for start, end, window in _frames(length):
         if window:
             model.rebuild(ids[:, start - window : start])
-            place = model.lane << model.bits
+            place, flat, spans = model.lane << model.bits, model.sorted.reshape(-1), model.spans.reshape(-1)
         bits = np.array([0, 0, model.bits, 16], np.uint64)
         own = np.zeros((end - start, n), np.uint16)
         for t in range(end - start):
@@ -225,11 +225,12 @@ def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
             sym = value.astype(np.uint32)
             if window:
                 inside = event == 2
-                span = model.spans[place + (value.view(np.int64) * inside)] * inside
-                np.copyto(value, (span >> 16) & 0xFFFF, where=inside)
-                np.copyto(sym, span & 0xFFFF, where=inside, casting="unsafe")
+                at = place + value.view(np.int64) * inside
+                span = spans[at] * inside
+                np.copyto(value, span & 1023, where=inside)
+                np.copyto(sym, flat[at], where=inside)
                 low += value * r
-                rng = ((span >> 32) + 1) * r
+                rng = ((span >> 10) + 1) * r
             else:
                 low += value * r
                 rng = r
