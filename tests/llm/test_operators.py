@@ -136,6 +136,28 @@ def test_exact(docs, empty, monkeypatch):
     assert exact.groups(empty).count() == 0
 
 
+def test_token_coder(monkeypatch):
+    monkeypatch.setattr(tokenfile, "LANES", 3)
+    r = np.random.default_rng(3)
+    cases = [np.zeros(0, int), np.array([65535]), np.full(5000, 7), r.integers(0, 65536, 9000), np.arange(4096), np.tile([1, 2, 3, 65535], 4000), r.zipf(1.4, 20000) % 3000]
+    cases += [r.integers(0, 50, n) for n in (31, 32, 33, 2047, 2048, 2049, 6144, 6145)]
+    for ids in cases:
+        segment = tokenfile.pack(ids, [5], [len(ids)])
+        got, names, sizes = tokenfile.unpack(segment)
+        assert np.array_equal(got, ids) and names == [5] and sizes == [len(ids)]
+    assert len(tokenfile.pack(np.full(40000, 7), [5], [40000])) < 4000  # what repeats costs little
+    assert len(tokenfile.pack(r.integers(0, 65536, 40000), [5], [40000])) < 1.05 * 80000  # what cannot be foretold costs little more than itself
+
+
+def test_words_by_library():
+    texts = ["", "\n\n  x 's 'll''s  \u00a0\u3000 <|endoftext|> \u00e9t\u00e9 123\uff14\u00bd \r\n\t", " ", "'ve'", "  a", "it's we'RE !!'s ?'llama", "x" * 3000, "\U0001f600\u200d e\u0301", "tail \n "]
+    path = tokenfile.default_tokenizer()
+    want = [[*e.ids, 0] for e in tokenfile._tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # unknown words, then cached ones
+        ids, size = tokenfile._ended(*tokenfile._words(path).encode(texts), 0)
+        assert np.array_equal(ids, np.concatenate(want)) and size.tolist() == list(map(len, want))
+
+
 def test_token_file(docs, empty, tmp_path):
     tokenfile.write(docs, f"file://{tmp_path}/t")
     got = tokenfile.read(docs.sparkSession, f"file://{tmp_path}/t").collect()
