@@ -1,13 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test items, then Smith-Waterman
+"""Benchmark decontamination: n-gram seeds join training passages to test items, then Smith-Waterman
 alignment over words scores copies, also paraphrased or edited ones.
 
 Words are runs of bytes other than ASCII white space and punctuation, A-Z folded. A pass over the whole texts
 returns, for each text that holds a run of SEED words of any item, the word hashes around it; texts are
-not shuffled. The corpus frequency of every seed is counted over all documents; of each item those seeds count
-as rare whose frequency is at most RARE times that of the item's lower quartile (so an item copied into
-a third of all documents keeps its seeds). Passages that share a rare seed with an item are aligned with it:
-a match scores 2, a mismatch or gap -1, and the share of the item's highest possible score is compared
-with `least`.
+not shuffled. A passage is aligned with every item it shares a seed with, however frequent the seed is: a match
+scores 2, a mismatch or gap -1, and the share of the item's highest possible score is compared with `least`.
+Left out are only pairs that cannot reach it, as too few of the item's words are in the passage at all; equal
+passages of a batch are aligned once.
 
 Memory on the driver and in tasks is bounded by the test items: BLOCK_ITEMS of them are taken at a time, each
 block in a pass of its own. Null and empty texts and items hold nothing; an item of fewer than SEED words is
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm import common as C
 
-SEED, RARE, LEAST = 4, 8, 0.5
+SEED, LEAST = 4, 0.5
 BLOCK_ITEMS = 50_000  #: items whose seeds a task holds at a time (about 60 MB)
 _APART = np.zeros(256, dtype=bool)
 _APART[[c for c in range(128) if not chr(c).isalnum()]] = True
@@ -85,15 +84,25 @@ def _passages(docs: DataFrame, seeds: np.ndarray, sizes: list[int], reach: int)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, passage long, seeds array<long>, words array<long>")
 
 
-def _aligned(passages: DataFrame, items: dict[int, np.ndarray], rare: dict[int, list[int]]) -> DataFrame:
+def _aligned(passages: DataFrame, items: dict[int, np.ndarray], of: dict[int, list[int]], least: float) -> DataFrame:
+    """doc_id, item_id and score of the passages and items that share a seed and may reach `least`; of: the items of each seed."""
+
+    def found(seeds: list[int], y: np.ndarray) -> list[tuple[int, float]]:
+        near = sorted({i for s in seeds for i in of.get(s, ())})
+        own = [items[i] for i in near]
+        held = np.add.reduceat(np.isin(np.concatenate(own), y), np.cumsum([0, *map(len, own[:-1])]), dtype=np.int64)  # no more words can match
+        return [(i, align(x, y) / (2 * len(x))) for i, x, n in zip(near, own, held.tolist(), strict=True) if 2 * n / (2 * len(x)) >= least]
+
     def run(batches):
         for batch in batches:
-            ids, item, score = [], [], []
+            ids, item, score, known = [], [], [], {}
             for d, seeds, words in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 y = np.array(words, dtype=np.int64)
-                for i in sorted({i for s in seeds for i in rare.get(s, ())}):
-                    x = items[i]
-                    ids.append(d), item.append(i), score.append(align(x, y) / (2 * len(x)))
+                key = y.tobytes()
+                if key not in known:
+                    known[key] = found(seeds, y)
+                for i, v in known[key]:
+                    ids.append(d), item.append(i), score.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["doc_id", "item_id", "score"])
 
     return passages.mapInArrow(run, "doc_id long, item_id long, score double")
@@ -117,17 +126,9 @@ def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataF
                 of.setdefault(s, []).append(i)
         seeds = np.sort(np.array(list(of), dtype=np.int64).view(np.uint64))
         sizes = sorted({min(SEED, len(w)) for w in words.values()})
-        reach = max(map(len, words.values())) * 3 // 2 + SEED
+        reach = int(np.ceil(max(map(len, words.values())) * (3 - 2 * least))) + SEED  # the longest span that still scores `least`
         passages = C.table(_passages(docs, seeds, sizes, reach), "passages")
-        freq = {r.s: r.n for r in passages.select("doc_id", F.explode("seeds").alias("s")).groupBy("s").agg(F.count("*").alias("n")).toLocalIterator()}  # of the items' own seeds only
-        rare: dict[int, list[int]] = {}
-        for i, w in words.items():
-            own = np.unique(C.ngrams(w, SEED)).view(np.int64).tolist()
-            seen = sorted(freq[s] for s in own if s in freq)
-            for s in own:
-                if s in freq and freq[s] <= RARE * seen[len(seen) // 4] + RARE:
-                    rare.setdefault(s, []).append(i)
-        found.append(_aligned(passages, {i: w.view(np.int64) for i, w in words.items()}, rare))
+        found.append(_aligned(passages, {i: w.view(np.int64) for i, w in words.items()}, of, least))
 
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates().filter("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
         block.append((r.item_id, r.text))

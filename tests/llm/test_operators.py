@@ -241,3 +241,16 @@ def test_decontaminate(spark, docs, empty):
     assert got == {(1, 7), (2, 7), (None, 7), (5, 10)}
     assert {x.doc_id for x in decontaminate.decontaminate(d, bench).collect()} >= {3, 4}
     assert decontaminate.scores(empty, bench).count() == 0 and decontaminate.scores(docs, bench.limit(0)).count() == 0
+
+
+def test_decontaminate_large_groups(spark):
+    r = random.Random(11)
+    item = [word(r) + str(k) for k in range(40)]
+    other = [word(r) + str(k + 40) for k in range(40)]
+    edited = [w if k % 6 else "edit" for k, w in enumerate(other)]
+    rows = [(1, " ".join(item))] + [(10 + k, " ".join(item[:24])) for k in range(1000)]
+    rows += [(2000 + k, " ".join(other)) for k in range(3)] + [(3000 + k, " ".join(edited)) for k in range(300)] + [(4000, "clean text of its own words")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(other))], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.scores(d, bench).collect()}
+    assert got == {(i, 7 if i < 2000 else 8) for i, _ in rows if i != 4000}
