@@ -10,8 +10,9 @@ passages of a batch are aligned once.
 
 Memory on the driver and in tasks is bounded by the test items: BLOCK_ITEMS of them are taken at a time, each
 block in a pass of its own. Null and empty texts and items hold nothing; an item of fewer than SEED words is
-its own seed; repeated items (by item_id) count once for each text; rows without doc_id are scanned and
-returned with a null doc_id. Extra columns are ignored by `scores` and passed through by `decontaminate`."""
+its own seed; every distinct text of the items is searched, also those of one item_id or of none, and found under
+its item_id (its best score where several texts have it; null for items without one); rows without doc_id are
+scanned and returned with a null doc_id. Extra columns are ignored by `scores` and passed through by `decontaminate`."""
 
 from __future__ import annotations
 
@@ -84,8 +85,9 @@ def _passages(docs: DataFrame, seeds: np.ndarray, sizes: list[int], reach: int)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, passage long, seeds array<long>, words array<long>")
 
 
-def _aligned(passages: DataFrame, items: dict[int, np.ndarray], of: dict[int, list[int]], least: float) -> DataFrame:
-    """doc_id, item_id and score of the passages and items that share a seed and may reach `least`; of: the items of each seed."""
+def _aligned(passages: DataFrame, items: dict[int, np.ndarray], names: list[list[int | None]], of: dict[int, list[int]], least: float) -> DataFrame:
+    """doc_id, item_id and score of the passages and items that share a seed and may reach `least`.
+    Items are numbered by distinct text; names: the ids of each number, of: the numbers of each seed."""
 
     def found(seeds: list[int], y: np.ndarray) -> list[tuple[int, float]]:
         near = sorted({i for s in seeds for i in of.get(s, ())})
@@ -102,7 +104,8 @@ def _aligned(passages: DataFrame, items: dict[int, np.ndarray], of: dict[int, li
                 if key not in known:
                     known[key] = found(seeds, y)
                 for i, v in known[key]:
-                    ids.append(d), item.append(i), score.append(v)
+                    for name in names[i]:
+                        ids.append(d), item.append(name), score.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["doc_id", "item_id", "score"])
 
     return passages.mapInArrow(run, "doc_id long, item_id long, score double")
@@ -113,10 +116,11 @@ def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataF
     C.ship(docs.sparkSession)
     spark = docs.sparkSession
     found = []
-    block: list[tuple[int, str]] = []
+    block: dict[str, list[int | None]] = {}  # the ids of each text
 
     def flush() -> None:
-        words = {i: w for (i, _), w in zip(block, _item_words([t for _, t in block]), strict=True) if len(w)}
+        words = {i: w for i, w in enumerate(_item_words(list(block))) if len(w)}  # by number of the text
+        names = [list(v) for v in block.values()]
         block.clear()
         if not words:
             return
@@ -128,12 +132,15 @@ def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataF
         sizes = sorted({min(SEED, len(w)) for w in words.values()})
         reach = int(np.ceil(max(map(len, words.values())) * (3 - 2 * least))) + SEED  # the longest span that still scores `least`
         passages = C.table(_passages(docs, seeds, sizes, reach), "passages")
-        found.append(_aligned(passages, {i: w.view(np.int64) for i, w in words.items()}, of, least))
+        found.append(_aligned(passages, {i: w.view(np.int64) for i, w in words.items()}, names, of, least))
 
-    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates().filter("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        block.append((r.item_id, r.text))
-        if len(block) >= BLOCK_ITEMS:
+    taken = 0
+    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates().filter("text IS NOT NULL").toLocalIterator():
+        block.setdefault(r.text, []).append(r.item_id)
+        taken += 1
+        if taken >= BLOCK_ITEMS:
             flush()
+            taken = 0
     flush()
     if not found:
         return spark.createDataFrame([], "doc_id long, item_id long, score double")
@@ -152,5 +159,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Of every document: the items it holds a copy of, and the best score."""
     docs = C.load(spark, sf_dir, "documents")
-    hits = C.table(scores(docs, C.load(spark, sf_dir, "benchmark")), "hits").groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"), F.max("score").alias("score"))
+    hits = C.table(scores(docs, C.load(spark, sf_dir, "benchmark")), "hits").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("item_id"))).getField("item_id").alias("item_ids"), F.max("score").alias("score"))
     return docs.select("doc_id").join(hits, "doc_id", "left").select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("score", F.lit(0.0)).alias("score"))

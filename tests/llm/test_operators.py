@@ -254,3 +254,16 @@ def test_decontaminate_large_groups(spark):
     bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(other))], "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontaminate.scores(d, bench).collect()}
     assert got == {(i, 7 if i < 2000 else 8) for i, _ in rows if i != 4000}
+
+
+def test_decontaminate_item_ids(spark, tmp_path):
+    r = random.Random(12)
+    texts = [" ".join(word(r) + str(k) for k in range(n, n + 20)) for n in (0, 20, 40, 60)]
+    rows = [(k, f"before {t} after") for k, t in enumerate(texts)] + [(9, "clean text of its own words")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (8, texts[3]), (8, None), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    d, bench = spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {(x.doc_id, x.item_id) for x in decontaminate.scores(d, bench).collect()} == {(0, 7), (1, 7), (2, None), (3, None), (3, 8)}
+    got = {x.doc_id: (x.contaminated, x.item_ids) for x in decontaminate.op10_decontaminate(spark, str(tmp_path)).collect()}
+    assert got == {0: (True, [7]), 1: (True, [7]), 2: (True, [None]), 3: (True, [None, 8]), 9: (False, [])}
