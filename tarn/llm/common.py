@@ -171,22 +171,26 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str, parts: i
     return at.join(first, on, "left").select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, comp) of every id in the undirected edges (a, b): the smallest id reachable.
 
-    Each round every id takes the smallest label among its neighbours', then labels jump to the labels of
-    their labels; rounds grow with the logarithm of a component's diameter for the shallow graphs made here."""
-    spark = edges.sparkSession
+    Each round every id hooks to its smallest neighbour if that is smaller, labels jump to the labels of their labels
+    until each names a root, and the edges between roots are what the next round works on, until none is left. An id that
+    stays a root over two rounds has taken in another one, so at most half are left after two: rounds grow with the
+    logarithm of the number of ids, jumps in a round with that of the longest chain of hooks, whatever the shape."""
     e = table(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
-    lab = table(e.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), "labels")
-    for _ in range(rounds):
-        near = e.join(lab.select(F.col("id").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
-        step = lab.join(near.withColumnRenamed("a", "id"), "id").select("id", F.least("comp", "c").alias("comp"), F.col("comp").alias("was"))
-        up = lab.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
-        new = table(step.join(up, "comp", "left").select("id", F.least("comp", F.coalesce("up", "comp")).alias("comp"), "was"), "labels")
-        lab = new.select("id", "comp")
-        if not new.filter("comp <> was").limit(1).count():
-            break
+    lab = e.select(F.col("a").alias("id"), F.col("b").alias("comp"))  # without rows where e has none
+    first = True
+    while not e.isEmpty():
+        up = table(e.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("up")), "hooks")
+        while True:
+            jump = table(up.join(up.select(F.col("a").alias("up"), F.col("up").alias("top")), "up").select("a", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "hooks")
+            up = jump.select("a", "up")
+            if jump.filter("moved").isEmpty():
+                break
+        lab = up.toDF("id", "comp") if first else table(lab.join(up.toDF("comp", "_up"), "comp", "left").select("id", F.coalesce("_up", "comp").alias("comp")), "labels")
+        first = False
+        e = table(e.join(up.toDF("a", "_a"), "a").join(up.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a <> b").distinct(), "edges")
     return lab
 
 

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tarn.llm import bpe, decontaminate, exact, lines, minhash, quality, secrets, shards, tokenfile
+from tarn.llm import bpe, common, decontaminate, exact, lines, minhash, quality, secrets, shards, tokenfile
 from tarn.llm import html as pages_
 
 SCHEMA = "doc_id long, text string, lang string, n long, key string, id long, comp string"
@@ -267,3 +267,15 @@ def test_decontaminate_item_ids(spark, tmp_path):
     assert {(x.doc_id, x.item_id) for x in decontaminate.scores(d, bench).collect()} == {(0, 7), (1, 7), (2, None), (3, None), (3, 8)}
     got = {x.doc_id: (x.contaminated, x.item_ids) for x in decontaminate.op10_decontaminate(spark, str(tmp_path)).collect()}
     assert got == {0: (True, [7]), 1: (True, [7]), 2: (True, [None]), 3: (True, [None, 8]), 9: (False, [])}
+
+
+def test_components_of_chains(spark):
+    r = random.Random(13)
+    names = list(range(500))
+    r.shuffle(names)
+    path = list(zip(names, names[1:], strict=False))
+    comb = [(1000 + i, 1300 + i) for i in range(200)] + [(1300 + i, 1001 + i) for i in range(199)]  # small and large ids in turn
+    star = [(2000 + i, 3000) for i in range(50)]
+    got = {x.id: x.comp for x in common.components(spark.createDataFrame(path + comb + star + [(4000, 4000)], "a long, b long")).collect()}
+    assert got == {i: 0 for i in names} | {i: 1000 for e in comb for i in e} | {i: 2000 for e in star for i in e}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
