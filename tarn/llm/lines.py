@@ -23,43 +23,53 @@ from pyspark.sql import functions as F
 from tarn.llm import common as C
 
 MIN_DOCS, MIN_CHARS = 10, 1
+HELD = 200_000  #: rows of a key that a task holds before they go out as pending
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and two 64-bit hashes of the text. Rows alike in all of them lose the same lines."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return own.select("*", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("second"), "text").alias("t2"))
+
+
 def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """h1, h2, doc_id, pos of every line whose key has at least min_chars code points."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
+    """h1, h2, doc_id, pos, t1, t2 of every line whose key has at least min_chars code points."""
+    lines = _keyed(docs).select("doc_id", "t1", "t2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     key = F.translate(F.btrim("line", F.lit(C.SPACES)), _UP, _LOW)
-    return lines.select("doc_id", "pos", key.alias("key")).filter(F.length("key") >= max(1, min_chars)).select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "pos")
+    return lines.select("doc_id", "pos", "t1", "t2", key.alias("key")).filter(F.length("key") >= max(1, min_chars)).select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc_id", "pos", "t1", "t2")
 
 
 def _stream(min_docs: int):
-    """Reads sorted rows; yields (doc_id, pos, h1, h2, docs): docs is null for rows that are decided (dropped),
-    else the number of the partition's documents with the pending key, on its first row only (0 on others)."""
+    """Reads sorted rows; yields (doc_id, pos, t1, t2, h1, h2, docs): docs is null for rows that are decided (dropped),
+    else a number whose sum over the pending rows of a key is the number of its documents."""
+    most = HELD
 
     def run(batches):
         import itertools
 
         held: list[np.ndarray] = []  # rows of the key that is not complete yet, until its fate is known
         edge_first = True
+        last_doc = None  # of the held key's rows that went out as pending already, if any did
 
         def out(rows: np.ndarray, counts) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(rows["d"], pa.int64(), mask=rows["nil"]), pa.array(rows["p"], pa.int32()), pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), counts if counts is not None else pa.nulls(len(rows), pa.int64())], ["doc_id", "pos", "h1", "h2", "docs"])
+            return pa.RecordBatch.from_arrays([pa.array(rows["d"], pa.int64(), mask=rows["nil"]), pa.array(rows["p"], pa.int32()), *[pa.array(rows[k], pa.int64()) for k in ("t1", "t2", "h1", "h2")], counts if counts is not None else pa.nulls(len(rows), pa.int64())], ["doc_id", "pos", "t1", "t2", "h1", "h2", "docs"])
+
+        def doc(row):
+            return row["d"], row["nil"]
 
-        def emit(rows: np.ndarray, pending: bool):
-            new = np.r_[True, (rows["d"][1:] != rows["d"][:-1]) | (rows["nil"][1:] != rows["nil"][:-1])]
-            if pending:
-                c = np.zeros(len(rows), np.int64)
-                c[0] = new.sum()
-                return out(rows, pa.array(c))
-            return out(rows, None) if new.sum() >= min_docs else None
+        def pending(rows: np.ndarray) -> pa.RecordBatch:
+            new = np.r_[last_doc is None or doc(rows[0]) != last_doc, (rows["d"][1:] != rows["d"][:-1]) | (rows["nil"][1:] != rows["nil"][:-1])]
+            c = np.zeros(len(rows), np.int64)
+            c[0] = new.sum()
+            return out(rows, pa.array(c))
 
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 if not batch.num_rows:
                     continue
-                rows = np.zeros(batch.num_rows, dtype=[("h1", "i8"), ("h2", "i8"), ("d", "i8"), ("nil", "?"), ("p", "i4")])
-                rows["h1"], rows["h2"], rows["p"] = (np.asarray(batch.column(k)) for k in (0, 1, 3))
+                rows = np.zeros(batch.num_rows, dtype=[("h1", "i8"), ("h2", "i8"), ("d", "i8"), ("nil", "?"), ("p", "i4"), ("t1", "i8"), ("t2", "i8")])
+                rows["h1"], rows["h2"], rows["p"], rows["t1"], rows["t2"] = (np.asarray(batch.column(k)) for k in (0, 1, 3, 4, 5))
                 rows["nil"] = np.asarray(batch.column(2).is_null())
                 rows["d"] = np.asarray(batch.column(2).fill_null(0))
                 if held:
@@ -67,12 +77,12 @@ def _stream(min_docs: int):
                     held = []
             else:
                 if held:
-                    yield emit(np.concatenate(held), True)
+                    yield pending(np.concatenate(held))
                 return
             key = np.flatnonzero(np.r_[True, (rows["h1"][1:] != rows["h1"][:-1]) | (rows["h2"][1:] != rows["h2"][:-1])])
-            if edge_first and len(key) > 1:
-                yield emit(rows[: key[1]], True)
-                rows, key, edge_first = rows[key[1] :], key[1:] - key[1], False
+            if len(key) > 1 and (edge_first or last_doc is not None):  # goes on in another partition, or began as pending
+                yield pending(rows[: key[1]])
+                rows, key, edge_first, last_doc = rows[key[1] :], key[1:] - key[1], False, None
             last = key[-1]
             held = [rows[last:].copy()]
             if last:
@@ -84,22 +94,20 @@ def _stream(min_docs: int):
                 often = np.bincount(which, weights=new, minlength=len(starts))[which] >= min_docs
                 if often.any():
                     yield out(done[often], None)
-            elif len(held[0]) > 200_000:  # a very frequent key: what is known of it need not be kept in memory
-                head, tail = held[0], None
-                cut = np.flatnonzero(np.r_[True, (head["d"][1:] != head["d"][:-1])])[-1]
-                if cut:
-                    yield emit(head[:cut], True)
-                    held = [head[cut:].copy()]
+            if len(held[0]) > most:  # a very frequent key: what is known of it need not be kept in memory
+                head = held[0][:-1]
+                yield pending(head)
+                last_doc, held = doc(head[-1]), [held[0][-1:].copy()]
 
     return run
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, pos of each line to be dropped."""
+    """doc_id, t1, t2, pos of each line to be dropped."""
     C.ship(docs.sparkSession)
     order = [F.col(c) for c in ("h1", "h2", "doc_id")]
     rows = line_rows(docs, min_chars).repartitionByRange(C.n_parts(docs), *order).sortWithinPartitions("h1", "h2", "doc_id", "pos")
-    seen = C.table(rows.mapInArrow(_stream(min_docs), "doc_id long, pos int, h1 long, h2 long, docs long"), "lines")
+    seen = C.table(rows.mapInArrow(_stream(min_docs), "doc_id long, pos int, t1 long, t2 long, h1 long, h2 long, docs long"), "lines")
     pending = seen.filter("docs IS NOT NULL")
     often = pending.groupBy("h1", "h2").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("h1", "h2")
     return seen.filter("docs IS NULL").select("doc_id", "pos").unionByName(pending.join(often, ["h1", "h2"], "left_semi").select("doc_id", "pos"))

@@ -279,3 +279,23 @@ def test_components_of_chains(spark):
     got = {x.id: x.comp for x in common.components(spark.createDataFrame(path + comb + star + [(4000, 4000)], "a long, b long")).collect()}
     assert got == {i: 0 for i in names} | {i: 1000 for e in comb for i in e} | {i: 2000 for e in star for i in e}
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_lines_of_a_key_over_many_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "HELD", 5, raising=False)
+    r = random.Random(14)
+    names = ["h1", "h2", "doc_id", "pos", "t1", "t2"]
+    for _ in range(200):
+        docs_of = {h: sorted((r.choice([None, *range(14)]) for _ in range(r.choice([1, 3, 12, 40]))), key=lambda v: (v is not None, v)) for h in range(6)}
+        rows = [(h, 0, d, k, 0, 0) for h, ds in docs_of.items() for k, d in enumerate(ds)]
+        cuts = sorted(r.sample(range(1, len(rows)), min(len(rows) - 1, r.randint(1, 30))))
+        batches = [pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows[a:b], strict=True)], names) for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        out = [x for b in lines._stream(10)(iter(batches)) for x in b.to_pylist()]
+        total = {h: sum(x["docs"] or 0 for x in out if x["h1"] == h) for h in docs_of}
+        for h, ds in docs_of.items():
+            own = [x for x in out if x["h1"] == h]
+            undecided = [x for x in own if x["docs"] is not None]
+            assert not undecided or (len(own) == len(undecided) == len(ds) and total[h] == len(set(ds)))
+            assert undecided or len(own) == (len(ds) if len(set(ds)) >= 10 else 0)
