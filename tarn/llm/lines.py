@@ -4,11 +4,13 @@ Every line becomes a row (two 64-bit hashes of its key, document, position) with
 range-partitioned by hashes and document and sorted within each partition by hashes, document and position. A task
 streams over them; a document's first occurrence of a key counts it. A key that lies within one partition is
 decided there; the first and last key of a partition may go on in others, so their rows are kept as pending
-and decided by the sum of the counts of all partitions (at most two keys for each). Positions of dropped
-lines are gathered by document into compressed bitmaps, which are the result; texts are not returned.
+and decided by the sum of the counts of all partitions, like those of keys of more than HELD rows. Positions of dropped
+lines are gathered by document and text (two 64-bit hashes) into compressed bitmaps, which are the result; texts are
+not returned.
 
 Key: the line without [\\x20\\x09-\\x0D] at both ends, A-Z folded; an empty key is never dropped. A null or
-empty text is one empty line. A null doc_id counts as a document of its own. Rows repeated under one doc_id count as one document.
+empty text is one empty line. A null doc_id counts as a document of its own. Rows repeated under one doc_id count as one
+document; each row loses lines of its own text only.
 Extra columns are ignored; a table without rows gives one without rows."""
 
 from __future__ import annotations
@@ -110,11 +112,12 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
     seen = C.table(rows.mapInArrow(_stream(min_docs), "doc_id long, pos int, t1 long, t2 long, h1 long, h2 long, docs long"), "lines")
     pending = seen.filter("docs IS NOT NULL")
     often = pending.groupBy("h1", "h2").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("h1", "h2")
-    return seen.filter("docs IS NULL").select("doc_id", "pos").unionByName(pending.join(often, ["h1", "h2"], "left_semi").select("doc_id", "pos"))
+    own = ["doc_id", "t1", "t2", "pos"]
+    return seen.filter("docs IS NULL").select(*own).unionByName(pending.join(often, ["h1", "h2"], "left_semi").select(*own))
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, n_dropped, bitmap (zlib, a bit for each line up to the last dropped one: 1 keeps) of each document that loses lines."""
+    """doc_id, t1, t2, n_dropped, bitmap (zlib, a bit for each line up to the last dropped one: 1 keeps) of each document and text that loses lines."""
 
     @F.pandas_udf("binary")
     def pack(pos):
@@ -125,19 +128,21 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
 
         return pos.map(one)
 
-    by = dropped_lines(docs, min_docs, min_chars).groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
-    return by.select("doc_id", F.size("pos").cast("long").alias("n_dropped"), pack("pos").alias("bitmap"))
+    by = dropped_lines(docs, min_docs, min_chars).groupBy("doc_id", "t1", "t2").agg(F.collect_set("pos").alias("pos"))  # at most the lines of a text
+    return by.select("doc_id", "t1", "t2", F.size("pos").cast("long").alias("n_dropped"), pack("pos").alias("bitmap"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (text) of every row of docs. The join has the same plan at every size."""
-    both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(bitmaps.withColumnRenamed("doc_id", "_doc").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    known = bitmaps.toDF("_doc", "_t1", "_t2", "n_dropped", "bitmap").hint("merge")
+    on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
+    both = _keyed(docs).join(known, on, "left").select("doc_id", "text", "bitmap")
 
     def run(batches):
         for batch in batches:
             for part in C.text_chunks(batch, "text"):
                 lines, dropped, kept = [], [], []
-                for t, b in zip(part.column(1).to_pylist(), part.column(3).to_pylist(), strict=True):
+                for t, b in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     own = t.split("\n")
                     lines.append(len(own))
                     if b is None:

@@ -299,3 +299,11 @@ def test_lines_of_a_key_over_many_batches(monkeypatch):
             undecided = [x for x in own if x["docs"] is not None]
             assert not undecided or (len(own) == len(undecided) == len(ds) and total[h] == len(set(ds)))
             assert undecided or len(own) == (len(ds) if len(set(ds)) >= 10 else 0)
+
+
+def test_lines_by_row(spark):
+    rows = [(k, f"Often\nown {k}") for k in range(12)] + [(None, "a\nb\noften"), (None, "c\nd\ne"), (None, "often\nf\ng"), (3, "x\noften"), (3, "y\nz\nend"), (None, "a\nb\noften")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(x.doc_id, x.n_dropped, x.kept) for x in lines.apply_bitmaps(d, lines.keep_bitmaps(d)).collect()]
+    want = [(i, *(lambda a: (len(t.split("\n")) - len(a), "\n".join(a)))([x for x in t.split("\n") if x.lower() != "often"])) for i, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
