@@ -107,7 +107,7 @@ def _term_counts(data: Frame, docid: str, words: str, vocabulary=None):
     from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 
     rows = data.df.select(docid, words)
-    cv = CountVectorizerModel.from_vocabulary(vocabulary, words, "features") if vocabulary else CountVectorizer(inputCol=words, outputCol="features").fit(rows)
+    cv = CountVectorizerModel.from_vocabulary(vocabulary, words, "features") if vocabulary else CountVectorizer(inputCol=words, outputCol="features", vocabSize=2**31 - 1).fit(rows)  # every word
     return cv.transform(rows).select(docid, "features"), cv.vocabulary
 
 

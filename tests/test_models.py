@@ -97,3 +97,10 @@ def test_svm_and_trees(data):
     t = learners.rpart("g ~ a + b", f, "id", maxdepth=3)
     assert t.predict(f).df.count() == len(p) and len(t.get_tree()) > 0
     assert np.allclose(crossprod(f[["a", "b"]]), p[["a", "b"]].T @ p[["a", "b"]])
+
+
+def test_lda_takes_whole_texts_and_every_word(spark, tmp_path):
+    spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(250)) + " tail" * 100) for i in range(6)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert "tail" in {r.word for r in Q.QUERIES["lda_topics"](spark, str(tmp_path)).collect()}
+    wide = spark.range(27).selectExpr("id", "transform(sequence(0, 9999), k -> concat_ws('x', id, k)) AS words")
+    assert len(learners._term_counts(Frame(wide), "id", "words")[1]) == 270_000
