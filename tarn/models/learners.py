@@ -248,35 +248,55 @@ class Svm:
     type: str
     features: object
     labels: list | None
+    group: tuple = ()
 
     def predict(self, newdata: Frame | None = None, id: str | None = None) -> Frame:  # noqa: A002
+        """Of the rows of this model's group."""
         frame = newdata if newdata is not None else self.design.frame
-        rows = _svm_rows(self.design.over(frame), self.features, frame, id)
+        rows = _svm_rows(self.design.over(frame), self.features, frame, id, group=self.group)
         w = F.array(*[F.lit(float(v)) for v in self.coef])
         score = F.aggregate(F.zip_with("f", w, lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
         out = score if self.type == "regression" else (score >= 0) if self.labels is None else F.when(score >= 0, F.lit(self.labels[1])).otherwise(F.lit(self.labels[0]))
         return Frame(rows.select(*([F.col("_id").alias(id)] if id else []), out.alias("prediction"), score.alias("decision_function")))
 
 
-def _svm_rows(d, features, frame: Frame, id_: str | None, label=None) -> DataFrame:
-    src = frame.source.select(*([d.cols[id_].alias("_id")] if id_ else []), F.array(*d.matrix).alias("x"), *([label.cast("double").alias("y")] if label is not None else []))
+class SvmGroups(list):
+    """Models in the order of their group keys."""
+
+    def predict(self, newdata: Frame | None = None, id: str | None = None) -> Frame:  # noqa: A002
+        """Of the rows of every group; rows of no training group have no prediction and are left out."""
+        out = self[0].predict(newdata, id).df
+        for m in self[1:]:
+            out = out.unionByName(m.predict(newdata, id).df)
+        return Frame(out)
+
+
+def _lifted(m: np.ndarray, features) -> np.ndarray:
+    """The random features of the rows of m, and a constant."""
+    kind, w, b = features
+    f = np.sqrt(2 / w.shape[1]) * np.cos(m @ w + b) if kind == "gaussian" else np.prod(np.einsum("np,dpk->dnk", m, w) + b, axis=0) / np.sqrt(w.shape[2])
+    return np.c_[f, np.ones(len(m))]
+
+
+def _svm_rows(d, features, frame: Frame, id_: str | None, label=None, group: tuple = ()) -> DataFrame:
+    src = frame.source
+    for g, v in zip(d.groups, group, strict=True):
+        src = src.filter(d.cols[g].eqNullSafe(F.lit(v)))
+    src = src.select(*([d.cols[id_].alias("_id")] if id_ else []), F.array(*d.matrix).alias("x"), *([label.cast("double").alias("y")] if label is not None else []))
     src = src.filter(~F.exists("x", lambda v: v.isNull()))
     if features is None:
         return src.withColumnRenamed("x", "f")
-    kind, w, b = features
 
     @F.pandas_udf("array<double>")
     def lift(x: pd.Series) -> pd.Series:
-        m = np.stack(x.to_numpy())
-        f = np.sqrt(2 / w.shape[1]) * np.cos(m @ w + b) if kind == "gaussian" else np.prod(m @ w + b, axis=1) / np.sqrt(w.shape[2])
-        return pd.Series(list(np.c_[f, np.ones(len(m))]))
+        return pd.Series(list(_lifted(np.stack(x.to_numpy()), features))) if len(x) else pd.Series([], dtype=object)
 
     return src.withColumn("f", lift("x")).drop("x")
 
 
-def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "linear", degree: int = 3, gamma: float | None = None, coef0: float = 1.0, lambda_: float = 0.01, epsilon: float = 0.1, class_weight: dict | None = None, max_iter: int = 100, init_stepsize: float = 1.0, decay: float = 0.9, tolerance: float = 1e-6, n_components: int = 100, seed: int = 0) -> Svm:  # noqa: A002
+def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "linear", degree: int = 3, gamma: float | None = None, coef0: float = 1.0, lambda_: float = 0.01, epsilon: float = 0.1, class_weight: dict | None = None, max_iter: int = 100, init_stepsize: float = 1.0, decay: float = 0.9, tolerance: float = 1e-6, n_components: int = 100, seed: int = 0) -> Svm | SvmGroups:  # noqa: A002
     """Hinge loss, epsilon-insensitive loss, or novelty detection, by subgradient steps: each is one aggregate over the rows.
-    Gaussian kernels use random Fourier features, polynomial ones random products."""
+    Gaussian kernels use random Fourier features, polynomial ones random products. With groups: a model for each."""
     d = design(formula if type != "one-class" else f"1{formula}" if formula.strip().startswith("~") else formula, data)
     rng, p = np.random.default_rng(seed), len(d.names)
     features = None
@@ -295,40 +315,33 @@ def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "
         y = F.when(d.dep == F.lit(found[1]), 1.0).otherwise(-1.0)
     elif type == "one-class":
         y = F.lit(1.0)
-    if features and features[0] == "polynomial":
-        fp = features
-
-        def _poly(m):
-            return np.prod(np.einsum("np,dpk->dnk", m, fp[1]) + fp[2], axis=0) / np.sqrt(n_components)
-
-        @F.pandas_udf("array<double>")
-        def lift(x: pd.Series) -> pd.Series:
-            m = np.stack(x.to_numpy())
-            return pd.Series(list(np.c_[_poly(m), np.ones(len(m))]))
-
-        rows = data.source.select(F.array(*d.matrix).alias("x"), y.cast("double").alias("y")).filter(~F.exists("x", lambda v: v.isNull())).withColumn("f", lift("x")).drop("x")
-    else:
-        rows = _svm_rows(d, features, data, None, y)
-    rows = keep(rows.filter("y IS NOT NULL"))
-    size = p if features is None else n_components + 1
-    w, step, last, loss, norm = np.zeros(size), init_stepsize, None, 0.0, 0.0
-    weight = F.when(F.col("y") > 0, float((class_weight or {}).get(1, 1))).otherwise(float((class_weight or {}).get(-1, 1)))
-    for it in range(1, max_iter + 1):
-        score = F.aggregate(F.zip_with("f", F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
-        r = rows.withColumn("_s", score)
-        if type == "regression":
-            e = F.col("_s") - F.col("y")
-            g, lo = F.when(F.abs(e) > epsilon, F.signum(e)).otherwise(0.0), F.greatest(F.abs(e) - epsilon, F.lit(0.0))
-        else:
-            m = F.col("y") * F.col("_s")
-            g, lo = F.when(m < 1, -F.col("y") * weight).otherwise(0.0), F.greatest(1 - m, F.lit(0.0)) * weight
-        got = r.withColumn("_g", g).withColumn("_l", lo).agg(F.avg("_l"), *[F.avg(F.col("f")[k] * F.col("_g")) for k in range(size)]).first()
-        grad = np.array(got[1:], dtype=float) + lambda_ * w
-        loss, norm = got[0] + lambda_ / 2 * float(w @ w), float(np.linalg.norm(grad))
-        if last is not None and abs(last - loss) < tolerance * max(abs(last), 1e-12):
-            break
-        if last is not None and loss > last:
-            step *= decay
-        last = loss
-        w = w - step * grad / max(norm, 1.0)
-    return Svm(w, loss, norm, it, d, type, features, labels)
+
+    def fit(group: tuple) -> Svm:
+        rows = keep(_svm_rows(d, features, data, None, y, group).filter("y IS NOT NULL"))
+        size = p if features is None else n_components + 1
+        w, step, last, loss, norm = np.zeros(size), init_stepsize, None, 0.0, 0.0
+        weight = F.when(F.col("y") > 0, float((class_weight or {}).get(1, 1))).otherwise(float((class_weight or {}).get(-1, 1)))
+        for it in range(1, max_iter + 1):
+            score = F.aggregate(F.zip_with("f", F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
+            r = rows.withColumn("_s", score)
+            if type == "regression":
+                e = F.col("_s") - F.col("y")
+                g, lo = F.when(F.abs(e) > epsilon, F.signum(e)).otherwise(0.0), F.greatest(F.abs(e) - epsilon, F.lit(0.0))
+            else:
+                m = F.col("y") * F.col("_s")
+                g, lo = F.when(m < 1, -F.col("y") * weight).otherwise(0.0), F.greatest(1 - m, F.lit(0.0)) * weight
+            got = r.withColumn("_g", g).withColumn("_l", lo).agg(F.avg("_l"), *[F.avg(F.col("f")[k] * F.col("_g")) for k in range(size)]).first()
+            grad = np.array(got[1:], dtype=float) + lambda_ * w
+            loss, norm = got[0] + lambda_ / 2 * float(w @ w), float(np.linalg.norm(grad))
+            if last is not None and abs(last - loss) < tolerance * max(abs(last), 1e-12):
+                break
+            if last is not None and loss > last:
+                step *= decay
+            last = loss
+            w = w - step * grad / max(norm, 1.0)
+        return Svm(w, loss, norm, it, d, type, features, labels, group)
+
+    if not d.groups:
+        return fit(())
+    keys = data.source.select(*[d.cols[g].alias(g) for g in d.groups]).distinct().collect()  # one model each
+    return SvmGroups(fit(k) for k in sorted(map(tuple, keys), key=lambda k: [(v is not None, str(v)) for v in k]))

@@ -104,3 +104,22 @@ def test_lda_takes_whole_texts_and_every_word(spark, tmp_path):
     assert "tail" in {r.word for r in Q.QUERIES["lda_topics"](spark, str(tmp_path)).collect()}
     wide = spark.range(27).selectExpr("id", "transform(sequence(0, 9999), k -> concat_ws('x', id, k)) AS words")
     assert len(learners._term_counts(Frame(wide), "id", "words")[1]) == 270_000
+
+
+def test_svm_groups_and_polynomials(data):
+    p, f = data
+    grouped = learners.svm("y ~ a + b | g", f, type="regression", max_iter=5)
+    assert [m.group for m in grouped] == [("u",), ("v",), ("w",)]
+    for m in grouped:
+        own = learners.svm("y ~ a + b", f[f["g"] == m.group[0], :], type="regression", max_iter=5)
+        assert np.allclose(m.coef, own.coef)
+    got = grouped.predict(f, "id").df.toPandas().set_index("id").prediction
+    x = np.c_[np.ones(len(p)), p.a, p.b]
+    by = {m.group[0]: dict(zip(m.design.names, m.coef, strict=True)) for m in grouped}
+    assert grouped[0].design.names[0] == "(Intercept)"
+    assert np.allclose(got[p.id], [x[i] @ np.array(list(by[g].values())) for i, g in enumerate(p.g)])
+    s = learners.svm("z ~ a + b", f, kernel="polynomial", degree=2, n_components=8, max_iter=3)
+    _, w, b = s.features
+    lifted = np.c_[(x @ w[0] + b[0]) * (x @ w[1] + b[1]) / np.sqrt(8), np.ones(len(p))]
+    got = s.predict(f, "id").df.toPandas().set_index("id").decision_function
+    assert np.allclose(got[p.id], lifted @ s.coef)
