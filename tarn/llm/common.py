@@ -17,20 +17,60 @@ _STATE: dict = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set to a temporary one only where none is named."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where none is named, a local session
+    takes a folder of its own, and one on a cluster is refused."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = "/tmp/checkpoints/" + uuid.uuid4().hex
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder; sweep() knows it."""
+    path = f"{shared_dir(spark)}/tarn-{name}-{uuid.uuid4().hex}"
+    _STATE.setdefault("paths", []).append(path)
+    return path
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and lost executors cost no recompute."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tarn-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """A point in the list of written paths, for sweep()."""
+    return len(_STATE.setdefault("paths", []))
+
+
+def sweep(spark: SparkSession, since: int, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Deletes what was written since mark() gave `since`, but for the files that the frames in keep read."""
+    own = _STATE.setdefault("paths", [])
+    read = [f for d in keep for f in d.inputFiles()]
+    for path in own[since:]:
+        name = path.rsplit("/", 1)[-1]
+        if any(f"/{name}/" in f for f in read):
+            continue
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        own.remove(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_rows(df: DataFrame, name: str) -> DataFrame:
+    """df stored with a number of its own for each row, which stays the same however often it is read."""
+    return table(df.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +81,6 @@ def n_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def only(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*cols)
-
-
 # ---------------------------------------------------------------- vectorised words
 
 
@@ -178,6 +214,7 @@ def components(edges: DataFrame) -> DataFrame:
     until each names a root, and the edges between roots are what the next round works on, until none is left. An id that
     stays a root over two rounds has taken in another one, so at most half are left after two: rounds grow with the
     logarithm of the number of ids, jumps in a round with that of the longest chain of hooks, whatever the shape."""
+    spark, began = edges.sparkSession, mark()
     e = table(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
     lab = e.select(F.col("a").alias("id"), F.col("b").alias("comp"))  # without rows where e has none
     first = True
@@ -191,6 +228,7 @@ def components(edges: DataFrame) -> DataFrame:
         lab = up.toDF("id", "comp") if first else table(lab.join(up.toDF("comp", "_up"), "comp", "left").select("id", F.coalesce("_up", "comp").alias("comp")), "labels")
         first = False
         e = table(e.join(up.toDF("a", "_a"), "a").join(up.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a <> b").distinct(), "edges")
+        sweep(spark, began, (lab, e))
     return lab
 
 

@@ -11,8 +11,9 @@ passages of a batch are aligned once.
 Memory on the driver and in tasks is bounded by the test items: BLOCK_ITEMS of them are taken at a time, each
 block in a pass of its own. Null and empty texts and items hold nothing; an item of fewer than SEED words is
 its own seed; every distinct text of the items is searched, also those of one item_id or of none, and found under
-its item_id (its best score where several texts have it; null for items without one); rows without doc_id are
-scanned and returned with a null doc_id. Extra columns are ignored by `scores` and passed through by `decontaminate`."""
+its item_id (its best score where several texts have it; null for items without one). Every row is a document of its own:
+rows of one doc_id, and rows without, are scanned, reported and kept or dropped each by its own text. Extra columns, also of
+clashing names, are ignored by `scores` and passed through by `decontaminate`; a table without rows gives one."""
 
 from __future__ import annotations
 
@@ -47,8 +48,9 @@ def align(x: np.ndarray, y: np.ndarray, match: int = 2, miss: int = -1, gap: int
     return best
 
 
-def _passages(docs: DataFrame, seeds: np.ndarray, sizes: list[int], reach: int) -> DataFrame:
-    """doc_id, no of the passage, hashes of the seeds in it, hashes of its words."""
+def _passages(docs: DataFrame, seeds: np.ndarray, reach: np.ndarray, sizes: list[int]) -> DataFrame:
+    """row, no of the passage, hashes of the seeds in it, hashes of its words, for (row, text). A passage holds, about each seed,
+    as many words as an alignment with the longest item of that seed can span (reach)."""
 
     def run(batches):
         mask = np.zeros(1 << 22, dtype=bool)
@@ -62,31 +64,31 @@ def _passages(docs: DataFrame, seeds: np.ndarray, sizes: list[int], reach: int)
                         continue
                     g = C.ngrams(w, n)
                     at = np.flatnonzero(mask[(g >> np.uint64(42)).astype(np.int64)])
-                    k = np.searchsorted(seeds, g[at])
-                    at = at[seeds[np.minimum(k, len(seeds) - 1)] == g[at]]
+                    k = np.minimum(np.searchsorted(seeds, g[at]), len(seeds) - 1)
+                    same = seeds[k] == g[at]
+                    at, k = at[same], k[same]
                     doc = np.searchsorted(b, at, side="right")
                     inside = at + n <= b[doc]
-                    hits.append((at[inside], g[at[inside]], doc[inside]))
-                if not hits or not sum(len(x[0]) for x in hits):
+                    hits.append((at[inside], k[inside], doc[inside]))
+                if not sum(len(x[0]) for x in hits):
                     continue
-                at, g, doc = (np.concatenate([x[k] for x in hits]) for k in range(3))
-                order = np.argsort(at, kind="stable")
-                at, g, doc = at[order], g[order], doc[order]
-                new = np.flatnonzero(np.r_[True, (np.diff(at) > 2 * reach) | (np.diff(doc) > 0)])
-                ids = part.column(0).take(pa.array(doc[new]))
-                ends = np.r_[new[1:], len(at)]
-                lo = np.maximum(at[new] - reach, a[doc[new]])
-                hi = np.minimum(at[ends - 1] + reach, b[doc[new]])
+                at, k, doc = (np.concatenate([x[i] for x in hits]) for i in range(3))
+                lo, hi = np.maximum(at - reach[k], a[doc]), np.minimum(at + reach[k], b[doc])
+                order = np.lexsort((at, lo))
+                k, doc, lo, hi = k[order], doc[order], lo[order], hi[order]
+                upto = np.maximum.accumulate(hi)
+                new = np.flatnonzero(np.r_[True, (lo[1:] >= upto[:-1]) | (doc[1:] != doc[:-1])])
+                ends = np.r_[new[1:], len(lo)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(new, pa.int64()), pa.array([np.unique(g[i:j]).view(np.int64).tolist() for i, j in zip(new.tolist(), ends.tolist(), strict=True)], pa.list_(pa.int64())), pa.array([w[i:j].view(np.int64) for i, j in zip(lo.tolist(), hi.tolist(), strict=True)], pa.list_(pa.int64()))],
-                    ["doc_id", "passage", "seeds", "words"],
+                    [part.column(0).take(pa.array(doc[new])), pa.array(new, pa.int64()), pa.array([np.unique(seeds[k[i:j]]).view(np.int64).tolist() for i, j in zip(new.tolist(), ends.tolist(), strict=True)], pa.list_(pa.int64())), pa.array([w[i:j].view(np.int64) for i, j in zip(lo[new].tolist(), upto[ends - 1].tolist(), strict=True)], pa.list_(pa.int64()))],
+                    ["row", "passage", "seeds", "words"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, passage long, seeds array<long>, words array<long>")
+    return docs.select("row", "text").mapInArrow(run, "row long, passage long, seeds array<long>, words array<long>")
 
 
 def _aligned(passages: DataFrame, items: dict[int, np.ndarray], names: list[list[int | None]], of: dict[int, list[int]], least: float) -> DataFrame:
-    """doc_id, item_id and score of the passages and items that share a seed and may reach `least`.
+    """row, item_id and score of the passages and items that share a seed and may reach `least`.
     Items are numbered by distinct text; names: the ids of each number, of: the numbers of each seed."""
 
     def found(seeds: list[int], y: np.ndarray) -> list[tuple[int, float]]:
@@ -106,13 +108,13 @@ def _aligned(passages: DataFrame, items: dict[int, np.ndarray], names: list[list
                 for i, v in known[key]:
                     for name in names[i]:
                         ids.append(d), item.append(name), score.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["doc_id", "item_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["row", "item_id", "score"])
 
-    return passages.mapInArrow(run, "doc_id long, item_id long, score double")
+    return passages.mapInArrow(run, "row long, item_id long, score double")
 
 
-def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, item_id, score of each document and item that align with `least` of the item's full score or more."""
+def _hits(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
+    """row, item_id, score of the rows of the stored table (row, text) and the items that align with `least` of the item's full score or more."""
     C.ship(docs.sparkSession)
     spark = docs.sparkSession
     found = []
@@ -129,9 +131,10 @@ def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataF
             for s in np.unique(C.ngrams(w, SEED)).view(np.int64).tolist():
                 of.setdefault(s, []).append(i)
         seeds = np.sort(np.array(list(of), dtype=np.int64).view(np.uint64))
+        longest = np.array([max(len(words[i]) for i in of[s]) for s in seeds.view(np.int64).tolist()])
+        reach = np.ceil(longest * (3 - 2 * least)).astype(np.int64) + SEED  # the longest span that still scores `least`
         sizes = sorted({min(SEED, len(w)) for w in words.values()})
-        reach = int(np.ceil(max(map(len, words.values())) * (3 - 2 * least))) + SEED  # the longest span that still scores `least`
-        passages = C.table(_passages(docs, seeds, sizes, reach), "passages")
+        passages = C.table(_passages(docs, seeds, reach, sizes), "passages")
         found.append(_aligned(passages, {i: w.view(np.int64) for i, w in words.items()}, names, of, least))
 
     taken = 0
@@ -143,21 +146,38 @@ def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataF
             taken = 0
     flush()
     if not found:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double")
+        return spark.createDataFrame([], "row long, item_id long, score double")
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    return out.filter(F.col("score") >= least).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+    return C.table(out.filter(F.col("score") >= least).groupBy("row", "item_id").agg(F.max("score").alias("score")), "hits")
+
+
+def _stored(docs: DataFrame) -> DataFrame:
+    return C.with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "row")
+
+
+def scores(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id, item_id, score of each row of docs and each item that align with `least` of the item's full score or more."""
+    rows = _stored(docs)
+    return rows.select("doc_id", "row").join(_hits(rows, benchmark, least), "row").select("doc_id", "item_id", "score")
+
+
+def found_in(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id, item_ids (ascending, null first) and the best score of every row of docs; no items and 0 for clean ones."""
+    rows = _stored(docs)
+    hits = _hits(rows, benchmark, least).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("item_id"))).getField("item_id").alias("item_ids"), F.max("score").alias("score"))
+    return rows.select("doc_id", "row").join(C.table(hits, "hits"), "row", "left").select("doc_id", F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """docs without the documents that hold a copy of an item."""
-    hit = C.table(scores(docs, benchmark, least), "hits").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """docs without the rows that hold a copy of an item."""
+    row = C.fresh(docs, "_row")
+    rows = C.with_rows(docs, row)
+    hit = _hits(rows.select(F.col(row).alias("row"), "text"), benchmark, least).select(F.col("row").alias(row)).distinct()
+    return rows.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Of every document: the items it holds a copy of, and the best score."""
-    docs = C.load(spark, sf_dir, "documents")
-    hits = C.table(scores(docs, C.load(spark, sf_dir, "benchmark")), "hits").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("item_id"))).getField("item_id").alias("item_ids"), F.max("score").alias("score"))
-    return docs.select("doc_id").join(hits, "doc_id", "left").select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    return found_in(C.load(spark, sf_dir, "documents"), C.load(spark, sf_dir, "benchmark")).select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "score")

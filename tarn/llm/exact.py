@@ -4,13 +4,16 @@ bytes alone; no digest takes part in it.
 
 A digit has WIDTHS[0] bytes in the first round and more in later ones, so a text of n bytes takes about
 log(n) rounds. A round counts each group (partial sums before the shuffle, so a group that holds a third of
-all rows arrives as one row for each task) and joins the counts back, a join that Spark can split by
-key; rows then carry the bytes that are left. A round's state is written to the shared folder.
+all rows arrives as one row for each task), stores the groups of more than one document with a number of their own, and
+joins them back. As the small side is a stored table, Spark splits the join wherever a group is large. Rows then carry
+the bytes that are left and the number of their group. A round's state is written to the shared folder.
 
 Texts count as equal when they are the same after each run of [\\x20\\x09-\\x0D] became one space; null counts
 as empty. The smallest doc_id of a group stays; a null doc_id is smaller than none: it stays only in a group
-without any other. Rows repeated under one doc_id and text count each in group_size and share one decision.
-Extra columns are ignored by `groups` and passed through by `deduplicate`."""
+without any other. In `groups`, rows repeated under one doc_id and text count each in group_size and share one decision.
+`deduplicate` works by row: of rows repeated under the doc_id that stays (or of null doc_ids alone) one stays, and rows of
+one doc_id and different texts don't touch each other. Extra columns, also of clashing names, are ignored by `groups` and
+passed through by `deduplicate`; a table without rows gives one without rows."""
 
 from __future__ import annotations
 
@@ -20,40 +23,50 @@ from pyspark.sql import functions as F
 from tarn.llm import common as C
 
 WIDTHS = (96, 1024, 16384, 262144, 4194304, 67108864)  #: bytes of a digit, by round; the last is used from then on
-OUT = ("doc_id", "keep_id", "group_size", "text_sha256")
 
 
 def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
-    norm = normalised(F.col("text"))
-    state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(norm, 256).alias("text_sha256"), norm.cast("binary").alias("rest"), F.lit(0).cast("long").alias("g0"), F.lit(0).cast("long").alias("g1"))
-    done = []
-    for k in range(1000):
+def _partition(docs: DataFrame, *carried: F.col) -> DataFrame:
+    """carried (the last is to order rows), group_size and least (the smallest of the last carried column) of every row."""
+    names = [f"c{i}" for i in range(len(carried))]
+    state = docs.select(*[c.alias(n) for c, n in zip(carried, names, strict=True)], normalised(F.col("text")).cast("binary").alias("rest"), F.lit(0).cast("long").alias("g"))
+    done, k = [], 0
+    while True:
         width = WIDTHS[min(k, len(WIDTHS) - 1)]
         state = state.withColumn("digit", F.substring("rest", 1, width))
-        keys = ["g0", "g1", "digit"]
-        count = state.groupBy(*keys).agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
-        more = (F.col("n") > 1) & (F.length("digit") >= width)  # not single and not ended: the rest goes on
-        both = state.join(count, keys).select("doc_id", "text_sha256", *keys, "n", "least", F.when(more, F.expr(f"substring(rest, {width + 1})")).alias("rest"))
-        both = C.table(both.select("doc_id", "text_sha256", "n", "least", "rest", F.coalesce("least", F.lit(-1)).alias("g0"), F.when(F.col("rest").isNotNull(), F.xxhash64("g0", "g1", "digit")).alias("g1")), "radix")
-        done.append(both.filter("rest IS NULL").select("doc_id", F.when(F.col("n") > 1, F.col("least")).otherwise(F.col("doc_id")).alias("keep_id"), F.col("n").alias("group_size"), "text_sha256"))
-        state = both.filter("rest IS NOT NULL").select("doc_id", "text_sha256", "rest", "g0", "g1")
-        if not state.limit(1).count():
+        count = state.groupBy("g", "digit").agg(F.count("*").alias("n"), F.min(names[-1]).alias("least")).filter("n > 1")
+        count = C.table(count.withColumn("to", F.monotonically_increasing_id()), "groups").toDF("_g", "_digit", "n", "least", "to")
+        more = F.col("n").isNotNull() & (F.length("digit") >= width)  # neither single nor ended: the rest goes on
+        both = state.join(count.hint("merge"), (F.col("g") == F.col("_g")) & (F.col("digit") == F.col("_digit")), "left")
+        both = C.table(both.select(*names, "n", "least", F.when(more, F.expr(f"substring(rest, {width + 1})")).alias("rest"), F.col("to").alias("g")), "radix")
+        done.append(both.filter("rest IS NULL").select(*names, F.coalesce("n", F.lit(1).cast("long")).alias("group_size"), F.when(F.col("n").isNull(), F.col(names[-1])).otherwise(F.col("least")).alias("least")))
+        state, k = both.filter("rest IS NOT NULL").select(*names, "rest", "g"), k + 1
+        if state.isEmpty():
             break
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return out
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
+    doc = F.col("doc_id").cast("long")
+    out = _partition(docs, F.sha2(normalised(F.col("text")), 256), doc)
+    return out.select(F.col("c1").alias("doc_id"), F.col("least").alias("keep_id"), "group_size", F.col("c1").eqNullSafe(F.col("least")).alias("kept"), F.col("c0").alias("text_sha256"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs without the documents that equal one of smaller doc_id."""
-    dropped = groups(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each group of equal texts: that of the smallest doc_id (null: the greatest)."""
+    row = C.fresh(docs, "_row")
+    rows = C.with_rows(docs, row)
+    doc = F.col("doc_id").cast("long")
+    out = _partition(rows, F.struct(doc.isNull().alias("none"), doc.alias("id"), F.col(row).alias("row")))
+    dropped = out.filter(F.col("c0.row") != F.col("least.row")).select(F.col("c0.row").alias(row))
+    return rows.join(C.table(dropped, "dropped"), row, "left_anti").select(*docs.columns)
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

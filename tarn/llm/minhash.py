@@ -14,9 +14,11 @@ So no group is expanded into rows of pairs and none is gathered in one task. Wit
 of 0.85 (0.80) shares no band with probability 3e-10 (1.4e-7); the sketch limit lies six deviations of the
 estimate below the similarity asked for. Sets are compared by 64-bit hashes of the runs.
 
-Null and empty texts have the empty set, which is linked with nothing. A row without doc_id is linked with
-nothing and kept. Rows repeated under one doc_id count as that document. Other columns are ignored by
-`clusters` and passed through by `deduplicate`."""
+Null and empty texts have the empty set, which is linked with nothing. Every row is a document of its own: rows of one doc_id
+and different texts are linked by their texts alone, and rows without doc_id take part (they name a component only where
+it has no other: its component_id is then null). `kept` is whether a row bears its component's doc_id; `deduplicate` keeps
+one row of each component, that of the smallest doc_id (null: the greatest; of ties the first stored). Other columns,
+also of clashing names, are ignored by `clusters` and passed through by `deduplicate`; a table without rows gives one."""
 
 from __future__ import annotations
 
@@ -34,7 +36,7 @@ from tarn.llm import common as C
 BANDS, ROWS, BITS = 30, 4, 512
 SAMPLES = BANDS * ROWS
 BLOCK = 1024  #: members of a bucket that a task compares with as many others
-_SIGNATURE = "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
+_SIGNATURE = "doc_id long, row long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
 
 
 def _family() -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,7 @@ def _samples(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size and digest of the set, band hashes, odd sketch, for every row."""
+    """doc_id, row, size and digest of the set, band hashes, odd sketch, for every row of (doc_id, row, text)."""
     C.ship(docs.sparkSession)
 
     def run(batches):
@@ -68,7 +70,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in C.text_chunks(batch, "text"):
-                    sets = shingle_sets(part.column(1), n)
+                    sets = shingle_sets(part.column(2), n)
                     least = np.stack([_samples(s, mul, add) for s in sets])
                     h = np.broadcast_to(band, (len(sets), BANDS)).copy()
                     rows = least.reshape(len(sets), BANDS, ROWS)
@@ -79,11 +81,11 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                     np.add.at(parity, (np.arange(len(sets))[:, None], bit.astype(np.int64)), 1)
                     sketch = np.packbits(parity & 1, axis=1).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), _lists(h.view(np.int64)), _lists(sketch)],
-                        ["doc_id", "n_shingles", "set_key", "bands", "sketch"],
+                        [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), _lists(h.view(np.int64)), _lists(sketch)],
+                        ["doc_id", "row", "n_shingles", "set_key", "bands", "sketch"],
                     )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SIGNATURE)
+    return docs.select("doc_id", "row", "text").mapInArrow(run, _SIGNATURE)
 
 
 def _lists(a: np.ndarray) -> pa.Array:
@@ -91,7 +93,7 @@ def _lists(a: np.ndarray) -> pa.Array:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """id and whole set of the documents named in ids."""
+    """id and whole set of the documents whose rows ids (id, row) names."""
 
     def run(batches):
         for batch in batches:
@@ -100,8 +102,7 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                 off = np.cumsum([0, *map(len, sets)])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64()))], ["id", "members"])
 
-    near = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    return near.mapInArrow(run, "id long, members array<long>")
+    return docs.select("row", "text").join(ids, "row").select("id", "text").mapInArrow(run, "id long, members array<long>")
 
 
 def most_bits(least: float) -> int:
@@ -183,17 +184,17 @@ def _by_block(links):
     return run
 
 
-def clusters(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row: documents are linked when
-    100 * intersection >= percent * union of their sets; a component is named by its smallest doc_id."""
+def _linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, row, n_shingles, cls (a number of the row's set; null for empty ones) and comp (the least cls of its component)
+    of every row of the stored table (doc_id, row, text)."""
+    spark, began = docs.sparkSession, C.mark()
     sig = C.table(signatures(docs, n), "signatures")
-    some = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    reps = C.table(some.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).drop("set_key"), "classes")
+    of_set = sig.filter("n_shingles > 0").groupBy("set_key").agg(F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    reps = C.table(of_set.withColumn("id", F.monotonically_increasing_id()), "classes")
     bucket = reps.select("id", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("_last")).filter("pivot <> _last").drop("_last")
     members = C.table(bucket.join(shared, "key"), "members")
-    ids = members.select("id").distinct()
+    ids = reps.select("id", "row").join(members.select("id").distinct(), "id", "left_semi")
     sets = C.table(_sets(docs, ids, n), "sets")
     links = C.table(_confirmed(members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), reps, sets, percent), "links")
     comp = C.components(links)
@@ -213,15 +214,37 @@ def clusters(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     rest = rest.join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
     found = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInPandas(_by_block(_block_links(percent)), "a long, b long")
     comp = C.components(links.unionByName(found))
-    out = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(classes, "set_key", "left").join(comp, "id", "left")
-    name = F.coalesce("comp", "id", "doc_id")
-    return out.select("doc_id", "n_shingles", name.alias("component_id"), F.coalesce(F.col("doc_id") == name, F.lit(True)).alias("kept"))
+    named = sig.select("doc_id", "row", "n_shingles", "set_key").join(reps.select("set_key", F.col("id").alias("cls")), "set_key", "left")
+    out = C.table(named.join(comp.toDF("cls", "comp"), "cls", "left").select("doc_id", "row", "n_shingles", "cls", F.coalesce("comp", "cls").alias("comp")), "clusters")
+    C.sweep(spark, began, (out,))
+    return out
+
+
+def _stored(docs: DataFrame) -> DataFrame:
+    return C.with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "row")
+
+
+def clusters(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row: documents are linked when
+    100 * intersection >= percent * union of their sets; a component is named by its smallest doc_id."""
+    spark, began = docs.sparkSession, C.mark()
+    out = _linked(_stored(docs), n, percent)
+    C.sweep(spark, began, (out,))
+    names = C.table(out.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("name"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"), "names")
+    name = F.when(F.col("_c").isNull(), F.col("doc_id")).otherwise(F.col("name"))
+    return out.join(names.withColumnRenamed("comp", "_c").hint("merge"), F.col("comp") == F.col("_c"), "left").select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the documents that aren't the smallest of their component."""
-    dropped = clusters(docs, n, percent).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each component of more than one, and all others."""
+    spark, row = docs.sparkSession, C.fresh(docs, "_row")
+    rows = C.with_rows(docs, row)
+    began = C.mark()
+    out = _linked(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"), "text"), n, percent).filter("comp IS NOT NULL")
+    first = out.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias("first"), F.count("*").alias("_n")).filter("_n > 1").select(F.col("comp").alias("_c"), "first")
+    dropped = C.table(out.join(C.table(first, "first").hint("merge"), F.col("comp") == F.col("_c")).filter("row <> first").select(F.col("row").alias(row)), "dropped")
+    C.sweep(spark, began, (dropped,))
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
