@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarn.llm import bpe, common, decontaminate, exact, lines, minhash, quality, secrets, shards, tokenfile
 from tarn.llm import html as pages_
@@ -222,12 +223,43 @@ def test_secrets(docs, empty, tmp_path):
     for i, t in ROWS:
         want[i] = sorted((m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(rules) for m in p.finditer(t or "") if len(m[g]) >= least)
     where = f"file://{tmp_path}/ledger"
+    spark, hits = docs.sparkSession, lambda d: {r.doc_id: [tuple(x) for x in r.findings or []] for r in d.collect() if r.doc_id is not None}
+    want = {i: v for i, v in want.items() if i is not None}
     found, ledger = secrets.scan(docs, ledger_path=where)
-    assert {r.doc_id: [tuple(x) for x in r.findings or []] for r in found.collect() if r.doc_id is not None} == {i: v for i, v in want.items() if i is not None}
-    before = ledger.count()
+    assert hits(found) == want
+    blobs = {hashlib.sha256((t or "").encode()).hexdigest() for _, t in ROWS}
+    assert {r.blob for r in ledger.collect()} == blobs and ledger.count() == len(blobs)  # clean ones too
     again, after = secrets.scan(docs, ledger=ledger, ledger_path=where)
-    assert after.count() == before and again.filter("findings IS NOT NULL").count() == found.filter("findings IS NOT NULL").count()
+    assert after.count() == len(blobs) and hits(again) == want
+    # known blobs of one ledger, written under another path: nothing is scanned again, and nothing found is lost
+    other = f"file://{tmp_path}/other"
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(900, "token: abcdefghijklmnop")], "doc_id long, text string"))
+    found, whole = secrets.scan(more, ledger=ledger, ledger_path=other)
+    assert hits(found) == want | {900: [(0, 0, "assign", 23)]} and whole.count() == len(blobs) + 1
+    assert spark.read.parquet(other).count() == 1
+    found, whole = secrets.scan(more, ledger=whole)
+    assert hits(found) == want | {900: [(0, 0, "assign", 23)]} and whole.count() == len(blobs) + 1
+    # a new rule version scans all again
+    found, whole = secrets.scan(docs, ledger_path=where, rules=secrets.RULES[:1], rule_version="next")
+    assert whole.count() == 2 * len(blobs) and hits(found) == {i: [x for x in v if x[2] == "assign"] for i, v in want.items()}
     assert secrets.scan(empty)[0].count() == 0
+    clash = docs.withColumn("blob", F.lit("b")).withColumn("findings", F.lit(1)).withColumn("rank", F.lit(2)).withColumn("_path", F.lit(3))
+    assert hits(secrets.scan(clash)[0]) == want
+
+
+def test_secrets_query(spark, tmp_path):
+    texts = [t for _, t in ROWS] + ["é😀 ghp_" + "a1B2" * 9 + " xoxb-1234567890-abc -----BEGIN RSA PRIVATE KEY----- eyJabcdefghi.eyJabcdefghi.abcdefghi"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rules = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
+    for r in secrets.op9_secrets(spark, str(tmp_path)).collect():
+        spans = sorted((m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(rules) for m in p.finditer(texts[r.doc_id] or "") if len(m[g]) >= least)
+        line = ",".join(f"{n}:{a}:{b}" for a, _, n, b in spans)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(n == k for _, _, n, _ in spans) for k, *_ in rules)
+        if r.doc_id < len(ROWS):
+            assert r.spans == line
+        else:
+            assert [x.split(":")[0] for x in r.spans.split(",")] == ["code_host", "chat", "key_block", "web_token"]
 
 
 def test_decontaminate(spark, docs, empty):
@@ -307,3 +339,48 @@ def test_lines_by_row(spark):
     got = [(x.doc_id, x.n_dropped, x.kept) for x in lines.apply_bitmaps(d, lines.keep_bitmaps(d)).collect()]
     want = [(i, *(lambda a: (len(t.split("\n")) - len(a), "\n".join(a)))([x for x in t.split("\n") if x.lower() != "often"])) for i, t in rows]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+TWICE = [(3, "a b c d e f"), (5, "a b c d e f"), (5, "own words of five"), (7, "x y z x y z"), (7, "x y z x y z"), (None, "a b c d e f"), (None, "none has this one"), (None, "none has  this one"), (8, None), (9, "")]
+
+
+@pytest.fixture(scope="module")
+def twice(spark):
+    """Repeated ids with the same and with other texts, ids of null, and columns of clashing names."""
+    cols = "doc_id long, text string, row long, _row long, g long, digit string, comp long, id long, item_id long, score double"
+    return spark.createDataFrame([(i, t, k, k, 1, "d", 2, 3, 4, 0.5) for k, (i, t) in enumerate(TWICE)], cols).repartition(3)
+
+
+def test_rows_of_one_id(spark, twice):
+    key = lambda d: sorted(((r.doc_id, r.text) for r in d.collect()), key=repr)
+    out = exact.deduplicate(twice)
+    assert out.columns == twice.columns
+    got = out.collect()
+    assert sorted(((r.doc_id, re.sub(" +", " ", r.text or "")) for r in got), key=repr) == sorted([(3, "a b c d e f"), (5, "own words of five"), (7, "x y z x y z"), (None, "none has this one"), (8, "")], key=repr)
+    assert all(r.row == r._row and TWICE[r.row] == (r.doc_id, r.text) for r in got)
+    out = minhash.deduplicate(twice, 3, 85)
+    assert out.columns == twice.columns
+    assert sorted(((r.doc_id, re.sub(" +", " ", r.text or "")) for r in out.collect()), key=repr) == sorted([(3, "a b c d e f"), (5, "own words of five"), (7, "x y z x y z"), (None, "none has this one"), (8, ""), (9, "")], key=repr)
+    got = sorted((tuple(r) for r in minhash.clusters(twice, 3, 85).collect()), key=repr)
+    assert got == sorted([(3, 4, 3, True), (5, 4, 3, False), (5, 2, 5, True), (7, 3, 7, True), (7, 3, 7, True), (None, 4, 3, False), (None, 2, None, True), (None, 2, None, True), (8, 0, 8, True), (9, 0, 9, True)], key=repr)
+    bench = spark.createDataFrame([(1, "a b c d e f"), (2, "none has this one")], "item_id long, text string")
+    assert key(decontaminate.decontaminate(twice, bench)) == sorted([(5, "own words of five"), (7, "x y z x y z"), (7, "x y z x y z"), (8, None), (9, "")], key=repr)
+    found = sorted(((r.doc_id, r.item_ids) for r in decontaminate.found_in(twice, bench).collect()), key=repr)
+    assert found == sorted([(3, [1]), (5, [1]), (5, []), (7, []), (7, []), (None, [1]), (None, [2]), (None, [2]), (8, []), (9, [])], key=repr)
+
+
+def test_empty_tables(spark, empty):
+    bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    for out in (exact.deduplicate(empty), minhash.deduplicate(empty), decontaminate.decontaminate(empty, bench), decontaminate.found_in(empty, bench)):
+        assert out.count() == 0
+    assert exact.deduplicate(empty).columns == empty.columns
+
+
+def test_sweep_deletes_what_isnt_read(spark):
+    import os
+
+    began = common.mark()
+    a, b = common.table(spark.range(3).toDF("x"), "a"), common.table(spark.range(4).toDF("x"), "b")
+    gone = a.inputFiles()
+    common.sweep(spark, began, (b.filter("x > 1"),))
+    assert b.count() == 4 and not os.path.exists(gone[0].removeprefix("file://"))
