@@ -1,8 +1,12 @@
 """Byte-level BPE encoding and decoding: DuckDB recursive queries over token-position rows.
 
 Every text is cut by the fixed split pattern (vectorised over code points). Words unknown to the task's
-bounded cache become rows (word, position, token) which a recursive query joins with the merge table: each
-step contracts the leftmost pair of least rank of every word, until no pair of it is in the table. Decoding
+bounded cache are cut into pieces wherever no token of the vocabulary has the two bytes side by side, so that none
+reaches across, and become rows (piece, position, token) which a recursive query joins with the merge table: each step
+contracts the leftmost pair of least rank of every piece, and with it those of the same pair that would be the next ones, up
+to the first that may open a pair of lower rank. So the ids are those of single contractions, in words of any length. A query
+holds a bounded number of rows and goes on with the pieces
+that aren't ended; nothing spills to disk. A cached word counts only if its bytes are the same. Decoding
 cuts the ids before tokens that start with a space, and joins distinct pieces with the vocabulary; an ordered
 aggregation puts their bytes together.
 
@@ -23,8 +27,9 @@ from pyspark.sql import types as T
 from tarn.llm import common as C
 
 CACHE_WORDS = 1_000_000  #: bound of a worker's cache of encoded words
+CACHE_BYTES = 64_000_000  #: bound of the bytes of the words that it holds
 CHUNK = 2_000_000  #: bytes of text that a task encodes at a time
-LONG_WORD = 64  #: words of more bytes contract all disjoint pairs of least rank in a step
+SLICE, ROWS, STEPS = 400_000, 4_000_000, 48  #: bytes of words in a query (a longer word is one of its own), rows and steps of its recursion
 _WORKER: dict = {}
 
 
@@ -92,30 +97,24 @@ WITH RECURSIVE state(step, k, t) AS (
   SELECT 0, k, t FROM init
   UNION ALL (
     WITH pairs AS (
-      SELECT step, k, t, CASE WHEN (lead(k) OVER o) // 64 = k // 64 THEN lead(t) OVER o END AS after, lag(k, 1, -1) OVER o AS before
-      FROM state WINDOW o AS (ORDER BY k)),
-    ranked AS MATERIALIZED (SELECT step, k, t, before, m FROM pairs LEFT JOIN merges ON l = t AND r = after),
-    best AS (SELECT k // 64 AS w, min(m * 64::BIGINT + k % 64) AS best FROM ranked WHERE m IS NOT NULL GROUP BY 1)
-    SELECT step + 1, k, CASE WHEN k % 64 = best % 64 THEN best // 64 ELSE t END
-    FROM ranked JOIN best ON k // 64 = w WHERE before <> w * 64 + best % 64))
-SELECT k // 64 AS w, t FROM state JOIN (SELECT k // 64 AS w, max(step) AS last FROM state GROUP BY 1) ends ON k // 64 = ends.w AND step = last
-ORDER BY k
-"""  #: a token's row has the key 64 * word + position
-
-_RECURSE_LONG = """
-WITH RECURSIVE state(step, w, p, t) AS (
-  SELECT 0, w, p, t FROM init
-  UNION ALL (
-    WITH pairs AS (SELECT step, w, p, t, lead(t) OVER o AS after, row_number() OVER o AS n FROM state WHERE step < 32 WINDOW o AS (PARTITION BY w ORDER BY p)),
-    ranked AS (SELECT step, w, p, t, n, m, min(m) OVER (PARTITION BY w) AS best FROM pairs LEFT JOIN merges ON l = t AND r = after),
-    runs AS (
-      SELECT step, w, p, t, m, m IS NOT DISTINCT FROM best AS least,
-             n - max(CASE WHEN m IS NOT DISTINCT FROM best THEN 0 ELSE n END) OVER (PARTITION BY w ORDER BY p) AS k
-      FROM ranked WHERE best IS NOT NULL),
-    marked AS (SELECT *, lag(least AND k % 2 = 1, 1, false) OVER (PARTITION BY w ORDER BY p) AS gone FROM runs)
-    SELECT step + 1, w, p, CASE WHEN least AND k % 2 = 1 THEN m ELSE t END FROM marked WHERE NOT gone))
-SELECT w, p, t, last FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM state) WHERE step = last ORDER BY w, p
-"""
+      SELECT step, k, t, lead(k) OVER o AS next, lead(t) OVER o AS after FROM state WHERE step < {steps} WINDOW o AS (ORDER BY k)),
+    ranked AS MATERIALIZED (
+      SELECT step, k, t, k >> 32 AS w, next, after, m, wild FROM pairs LEFT JOIN merges ON l = t AND r = after AND next >> 32 = k >> 32),
+    best AS (SELECT w, min(m) AS best, arg_min(k, m::BIGINT << 32 | (k & 4294967295)) AS first FROM ranked WHERE m IS NOT NULL GROUP BY w),
+    least AS MATERIALIZED (SELECT k, next, w, m, wild AND k <> first AS waits FROM ranked JOIN best USING (w) WHERE m = best),
+    wilds AS MATERIALIZED (SELECT k, next, w, m FROM least WHERE w IN (SELECT w FROM least WHERE waits)),
+    opened AS (
+      SELECT w, min(k) AS upto FROM (
+        SELECT wilds.k, wilds.w FROM wilds JOIN ranked p ON p.next = wilds.k AND p.w = wilds.w JOIN lower ON l = p.t AND r = wilds.m
+        UNION ALL SELECT wilds.k, wilds.w FROM wilds JOIN ranked p ON p.k = wilds.next AND p.next >> 32 = p.w JOIN lower ON l = wilds.m AND r = p.after
+        UNION ALL SELECT k, w FROM wilds JOIN lower ON l = m AND r = m) GROUP BY w),
+    free AS (SELECT k, next, m, lag(next, 1, -1) OVER (ORDER BY k) <> k AS apart FROM least LEFT JOIN opened USING (w) WHERE NOT waits OR upto IS NULL OR k <= upto),
+    runs AS (SELECT k, next, m, sum(apart::INT) OVER (ORDER BY k) AS run FROM free),
+    done AS MATERIALIZED (SELECT k, next, m FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY k) AS i FROM runs) WHERE i % 2 = 1)
+    SELECT step + 1, ranked.k, coalesce(done.m, t)
+    FROM ranked JOIN best USING (w) LEFT JOIN done ON done.k = ranked.k WHERE ranked.k NOT IN (SELECT next FROM done)))
+SELECT w, k & 4294967295 AS p, t, last FROM state JOIN (SELECT k >> 32 AS w, max(step) AS last FROM state GROUP BY 1) ends ON k >> 32 = w AND step = last ORDER BY k
+"""  #: a token's row has the key (number of its piece, position of its first byte in it)
 
 
 class Coder:
@@ -132,9 +131,15 @@ class Coder:
                 a, b = ranks.get(t[:k]), ranks.get(t[k:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(r)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": True})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": "", "preserve_insertion_order": True})
         self._put("merges_in", l=np.array(left, np.int32), r=np.array(right, np.int32), m=np.array(merged, np.int32))
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
+        # wild: a token that some pair of lower rank than its own has; lower: those pairs
+        self.db.execute("CREATE TABLE merges AS SELECT *, m IN (SELECT r FROM merges_in WHERE m < r UNION SELECT l FROM merges_in WHERE m < l) AS wild FROM merges_in")
+        self.db.execute("CREATE TABLE lower AS SELECT l, r FROM merges WHERE m < greatest(l, r)")
+        self.joint = np.zeros((256, 256), dtype=bool)  # bytes that some token has side by side
+        for t in ranks:
+            own = np.frombuffer(t, np.uint8)
+            self.joint[own[:-1], own[1:]] = True
         ids = np.array(list(ranks.values()), np.int32)
         self.db.register("vocab_in", pa.table({"id": ids, "s": [t.decode("latin-1") for t in ranks]}))
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab_in")
@@ -147,59 +152,82 @@ class Coder:
         self.db.register(name, pa.table(columns))
 
     def forget(self, which: int) -> None:
-        """Of cache 0 (words to ids) or 1 (pieces of ids to bytes): sorted hashes, place and length of each, values."""
-        kind = np.int32 if which == 0 else np.uint8
+        """Of cache 0 (words to ids) or 1 (pieces of ids to bytes): sorted hashes; place and length of the word and of its
+        values; words; values."""
+        words, values = (np.uint32, np.int32) if which == 0 else (np.int32, np.uint8)
         if not hasattr(self, "cache"):
             self.cache = [None, None]
-        self.cache[which] = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind))
-
-    def _known(self, which: int, distinct: np.ndarray, make) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place and length in the values of each distinct (sorted) hash; make(missing) gives (lengths, values)."""
-        keys, at, size, values = self.cache[which]
+        self.cache[which] = (np.zeros(0, np.uint64), np.zeros((4, 0), np.int64), np.zeros(0, words), np.zeros(0, values))
+
+    def _known(self, which: int, symbols: np.ndarray, s: np.ndarray, e: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the spans s to e of symbols, and where each span's end. make(which spans) gives (lengths, values).
+        Spans count as known words only if their symbols are the same, whatever their hashes."""
+        hashes = C.span_hash(symbols, s, e)
+        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        keys, table, held, values = self.cache[which]
         k = np.searchsorted(keys, distinct)
         found = (k < len(keys)) & (keys[np.minimum(k, max(len(keys) - 1, 0))] == distinct) if len(keys) else np.zeros(len(distinct), bool)
         missing = np.flatnonzero(~found)
         if len(missing):
-            if len(keys) + len(missing) > CACHE_WORDS and len(keys):
+            if len(keys) and (len(keys) + len(missing) > CACHE_WORDS or held.nbytes > CACHE_BYTES):
                 self.forget(which)
-                return self._known(which, distinct, make)
-            lengths, new = make(missing)
+                return self._known(which, symbols, s, e, make)
+            lengths, new = make(at[missing])
+            size = (e - s)[at[missing]]
+            more = np.stack([len(held) + np.cumsum(size) - size, size, len(values) + np.cumsum(lengths) - lengths, lengths])
             keys = np.concatenate([keys, distinct[missing]])
-            at = np.concatenate([at, len(values) + np.cumsum(lengths) - lengths])
-            size = np.concatenate([size, lengths])
             order = np.argsort(keys, kind="stable")
-            self.cache[which] = keys, at, size, values = keys[order], at[order], size[order], np.concatenate([values, new])
+            held = np.concatenate([held, _gather(symbols, s[at[missing]], size)[0].astype(held.dtype)])
+            self.cache[which] = keys, table, held, values = keys[order], np.concatenate([table, more], axis=1)[:, order], held, np.concatenate([values, new])
             k = np.searchsorted(keys, distinct)
-        return at[k], size[k], values
+        own, size = k[back], e - s
+        same = table[1][own] == size
+        if same.all():
+            there = held[np.arange(size.sum()) + np.repeat(table[0][own] - np.cumsum(size) + size, size)]
+            equal = there == _gather(symbols, s, size)[0]
+            if not equal.all():
+                same &= np.logical_and.reduceat(equal, np.cumsum(size) - size)
+        if same.all():
+            return _gather(values, table[2][own], table[3][own])
+        # two words of one hash: those that aren't the cached one are made by themselves
+        other = np.flatnonzero(~same) if (table[1][own] == size).all() else np.arange(len(s))
+        lengths, new = make(other)
+        place, width = table[2][own] + 0, table[3][own] + 0
+        place[other], width[other] = len(values) + np.cumsum(lengths) - lengths, lengths
+        return _gather(np.concatenate([values, new]), place, width)
 
     def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words: how many of each, and all in a row."""
         size = np.fromiter(map(len, found), np.int64, len(found))
-        counts = np.zeros(len(found), np.int64)
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for long in (False, True):
-            own = np.flatnonzero((size > LONG_WORD) == long)
-            if not len(own):
-                continue
-            raw = np.frombuffer(b"".join(found[i] for i in own.tolist()), np.uint8)
-            w = np.repeat(own, size[own]).astype(np.int32)
-            p = (np.arange(len(raw)) - np.repeat(np.cumsum(size[own]) - size[own], size[own])).astype(np.int32)
-            t = self.byte[raw]
-            if not long:
-                self._put("init", k=w.astype(np.int64) * 64 + p, t=t)
-                got = self.db.sql(_RECURSE).fetchnumpy()
-                parts.append((np.asarray(got["w"]), np.asarray(got["t"])))
-                continue
-            while len(w):
-                self._put("init", w=w, p=p, t=t)
-                got = {k: np.asarray(v) for k, v in self.db.sql(_RECURSE_LONG).fetchnumpy().items()}
-                done = got["last"] < 32
-                parts.append((got["w"][done], got["t"][done]))
-                w, p, t = (got[c][~done] for c in "wpt")
-        w, t = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+        ends = np.cumsum(size)
+        out, at = [], 0
+        while at < len(found):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+            out.append(self._merge(b"".join(found[at:upto]), size[at:upto]))
+            at = upto
+        return np.concatenate([n for n, _ in out]), np.concatenate([t for _, t in out])
+
+    def _merge(self, joined: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(joined, np.uint8)
+        first = np.cumsum(size) - size
+        cut = np.ones(len(raw), dtype=bool)
+        cut[1:] = ~self.joint[raw[:-1], raw[1:]]
+        cut[first] = True
+        start = np.flatnonzero(cut)
+        k = (np.cumsum(cut) - 1) << 32 | (np.arange(len(raw)) - np.repeat(start, np.diff(np.append(start, len(raw)))))
+        t, pieces, ids = self.byte[raw], [], []
+        while len(k):
+            steps = int(min(STEPS, max(1, ROWS // len(k))))
+            self._put("init", k=k, t=t)
+            w, p, new, last = (np.asarray(v) for v in self.db.sql(_RECURSE.format(steps=steps)).fetchnumpy().values())
+            done = last < steps
+            pieces.append(w[done]), ids.append(new[done])
+            k, t = w[~done] << 32 | p[~done], new[~done].astype(np.int32)
+        w, ids = np.concatenate(pieces), np.concatenate(ids)
         order = np.argsort(w, kind="stable")
-        np.add.at(counts, w, 1)
-        return counts, t[order].astype(np.int32)
+        per_piece = np.bincount(w, minlength=len(start))
+        counts = np.add.reduceat(per_piece, np.searchsorted(start, first)) if len(size) else np.zeros(0, np.int64)
+        return counts, ids[order].astype(np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's start (one more at the end)."""
@@ -211,9 +239,7 @@ class Coder:
         if not len(s):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         e = np.append(s[1:], len(cp))
-        distinct, at, back = np.unique(C.span_hash(cp, s, e), return_index=True, return_inverse=True)
-        place, size, values = self._known(0, distinct, lambda missing: self.merge([whole[a:b].encode() for a, b in zip(s[at[missing]].tolist(), e[at[missing]].tolist(), strict=True)]))
-        ids, ends = _gather(values, place[back], size[back])
+        ids, ends = self._known(0, cp, s, e, lambda which: self.merge([whole[a:b].encode() for a, b in zip(s[which].tolist(), e[which].tolist(), strict=True)]))
         return ids, np.concatenate([[0], ends])[np.searchsorted(s, off)]
 
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
@@ -225,10 +251,9 @@ class Coder:
         cut[off[off < len(ids)]] = True
         s = np.flatnonzero(cut)
         e = np.append(s[1:], len(ids))
-        distinct, at, back = np.unique(C.span_hash(ids, s, e), return_index=True, return_inverse=True)
 
-        def make(missing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            a, n = s[at[missing]], (e - s)[at[missing]]
+        def make(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            a, n = s[which], (e - s)[which]
             row = np.repeat(np.arange(len(a)), n)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             self._put("tokens", w=row.astype(np.int32), p=pos.astype(np.int32), id=ids[np.repeat(a, n) + pos])
@@ -236,8 +261,7 @@ class Coder:
             out = [x.encode("latin-1") for x in got.column("s").to_pylist()]
             return np.fromiter(map(len, out), np.int64, len(out)), np.frombuffer(b"".join(out), np.uint8)
 
-        place, size, values = self._known(1, distinct, make)
-        raw, ends = _gather(values, place[back], size[back])
+        raw, ends = self._known(1, ids, s, e, make)
         ends = np.concatenate([[0], ends])[np.searchsorted(s, off)]
         return [raw[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 

@@ -12,6 +12,7 @@ A segment is MAGIC, a header (counts, CRC), the compressed index of its document
 range-partitioned and sorted by doc_id; a task streams its partition into segments of bounded size, and
 segments are stored as rows of binary values in a Parquet table, which any store that Spark reaches can hold.
 
+Texts are encoded as the library encodes them: the text of an added token, also of a special one, has that token's id.
 Null and empty texts have the end id alone. Null doc_ids come first. Repeated rows are stored each. Ids must be
 below 65536. A table without rows makes a file without segments. Extra columns are ignored."""
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 
@@ -301,24 +303,41 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _WORKER[path] = t
+        _WORKER[path] = Tokenizer.from_file(path)
     return _WORKER[path]
 
 
 class _Words(bpe.Coder):
     """Ids of texts by the tokenizers library: it encodes each word of the split pattern that is not in the worker's
-    bounded cache. The library cuts texts by that same pattern and never merges across words, so ids are those of whole texts."""
+    bounded cache. The library cuts texts at its added tokens (which keep their own id, also special ones), then by that same
+    pattern, and never merges across words, so ids are those of whole texts."""
 
     def __init__(self, path: str):
         self.library = _tokenizer(path)
+        self.marks = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.marks, key=len, reverse=True))) or "(?!)")
         self.forget(0)
 
     def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.library.encode_batch([w.decode() for w in found], add_special_tokens=False)]
         return np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.int32)
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not any(m in t for m in self.marks for t in texts):
+            return super().encode(texts)
+        parts, ends, marked = [], [0], []  # texts without marks, the part after each text's last, and (part, id) of marks before it
+        for t in texts:
+            at = 0
+            for m in self.cut.finditer(t):
+                parts.append(t[at : m.start()])
+                marked.append((len(parts), self.marks[m[0]]))
+                at = m.end()
+            parts.append(t[at:])
+            ends.append(len(parts))
+        ids, off = super().encode(parts)
+        before, own = (np.array(x, np.int64) for x in zip(*marked, strict=True))
+        return np.insert(ids, off[before], own), off[ends] + np.searchsorted(before, ends, side="right") - (np.searchsorted(before, ends, side="right") - np.searchsorted(before, ends, side="left"))
+
 
 def _words(path: str) -> _Words:
     if ("words", path) not in _WORKER:
@@ -391,9 +410,7 @@ def _read(spark, path: str, column: str, make) -> DataFrame:
 
 
 def op6_token_file(spark, sf_dir: str) -> DataFrame:
-    import uuid
-
-    path = f"{C.shared_dir(spark)}/tarn-tokens-{uuid.uuid4().hex}"
+    path = C.new_path(spark, "tokens")
     write(C.load(spark, sf_dir, "documents"), path)
 
     def crcs(flat: np.ndarray, off: np.ndarray) -> pa.Array:

@@ -65,6 +65,41 @@ def test_bpe_matches_library(docs, empty):
     assert bpe.round_trip(empty).count() == 0
 
 
+def test_bpe_of_long_words():
+    import time
+
+    import public_tokenizers as P
+    import tiktoken
+
+    with open(bpe.default_ranks(), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r, c = random.Random(6), bpe.coder(bpe.default_ranks())
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(r.choice(letters) for _ in range(100_000)), "a" * 100_000, "aab" * 20_000, "漢字" * 5000, "".join(r.choice("ab") for _ in range(20_000))]
+    texts += ["".join(r.choice(p) for _ in range(r.randint(1, 300))) for p in ("ab", "abc", "the", "=-", "0oO", letters, "éa") for _ in range(40)]
+    began = time.time()
+    ids, off = c.encode(texts)
+    assert time.time() - began < 60
+    for t, a, b in zip(texts, off[:-1], off[1:], strict=True):
+        assert ids[a:b].tolist() == enc.encode_ordinary(t)
+    assert c.decode(ids, off) == [t.encode() for t in texts]
+
+
+def test_cached_words_count_by_their_bytes(monkeypatch):
+    c = bpe.Coder(bpe.default_ranks())
+    words = ["alpha", "beta", " gamma", "delta", "alpha", "zeta", " of"]
+    ids, off = c.encode(words)
+    want = [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)]
+    monkeypatch.setattr(common, "span_hash", lambda symbols, s, e, values=None: (e - s).astype(np.uint64) // np.uint64(2))  # words of like length collide
+    c = bpe.Coder(bpe.default_ranks())
+    for _ in range(2):
+        ids, off = c.encode(words)
+        assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == want
+        assert c.decode(ids, off) == [w.encode() for w in words]
+        words, want = words[::-1], want[::-1]
+
+
 def test_split_of_all_spaces_and_marks():
     import public_tokenizers as P
     import regex
@@ -153,16 +188,42 @@ def test_token_coder(monkeypatch):
 def test_words_by_library():
     texts = ["", "\n\n  x 's 'll''s  \u00a0\u3000 <|endoftext|> \u00e9t\u00e9 123\uff14\u00bd \r\n\t", " ", "'ve'", "  a", "it's we'RE !!'s ?'llama", "x" * 3000, "\U0001f600\u200d e\u0301", "tail \n "]
     path = tokenfile.default_tokenizer()
-    want = [[*e.ids, 0] for e in tokenfile._tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    want = [[*e.ids, 0] for e in untouched().encode_batch(texts, add_special_tokens=False)]
     for _ in range(2):  # unknown words, then cached ones
         ids, size = tokenfile._ended(*tokenfile._words(path).encode(texts), 0)
         assert np.array_equal(ids, np.concatenate(want)) and size.tolist() == list(map(len, want))
 
 
+def untouched():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenfile.default_tokenizer())
+
+
+def test_added_tokens_as_the_library_has_them():
+    r, mark, t = random.Random(5), "<|endoftext|>", untouched()
+    texts = ["".join(r.choice([mark, "a", "it's", " ", "\n", "<|", "endoftext", "|>", "é"]) for _ in range(r.randint(0, 12))) for _ in range(500)] + [mark, mark * 3, "", f"x{mark}"]
+    assert any(50256 in e.ids for e in t.encode_batch(texts, add_special_tokens=False))
+    ids, off = tokenfile._words(tokenfile.default_tokenizer()).encode(texts)
+    for a, b, e in zip(off[:-1], off[1:], t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids[a:b].tolist() == e.ids
+
+
+def test_token_file_query(spark, tmp_path):
+    rows = [(5, "one two"), (2, None), (9, ""), (1, "a<|endoftext|>b"), (7, "x" * 4000), (5, "one two")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    t, at, want = untouched(), 0, []
+    for i, x in sorted(rows, key=lambda v: v[0]):
+        ids = [*t.encode(x or "", add_special_tokens=False).ids, 0]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokenfile.op6_token_file(spark, str(tmp_path)).collect()) == want
+
+
 def test_token_file(docs, empty, tmp_path):
     tokenfile.write(docs, f"file://{tmp_path}/t")
     got = tokenfile.read(docs.sparkSession, f"file://{tmp_path}/t").collect()
-    t = tokenfile._tokenizer(tokenfile.default_tokenizer())
+    t = untouched()
     assert len(got) == len(ROWS)
     at = 0
     for r in sorted(got, key=lambda r: r.start):
