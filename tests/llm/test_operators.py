@@ -144,6 +144,42 @@ def test_html(spark):
         assert pages_.main_text(p.html) == want
 
 
+def test_html_of_other_sites():
+    """Pages of templates that the labelled table doesn't have."""
+    long = lambda k: " ".join(f"word{k}x{i}" for i in range(45))
+    plain = f"<ul><li><a>Home</a><li><a>About us</a></ul><div>{long(1)}</div><div>So.</div><div>{long(2)} <a>see here</a></div><div>{long(3)}</div><ul><li><a>One story</a></li><li><a>Another of them</a></li></ul>"
+    assert pages_.main_text(plain) == f"{long(1)} So. {long(2)} see here {long(3)}"
+    marked = f"<main><header><h2>Town paper</h2></header><article><h1>On it</h1><p>{long(1)}</p><p>No.</p><div class='pull-quote'><p>{long(2)}</p></div><aside><p>{long(3)}</p></aside><form><label>Your mail</label></form></article><section class='comments'><article class='comment'><p>{long(4)}</p></article></section><div class=cookie-banner><p>{long(5)}</p></div></main>"
+    assert pages_.main_text(marked) == f"On it {long(1)} No. {long(2)}"
+    named = f"<article><div class='widget-text'><p>Body</p></div><div class='story-social-history'><p>{long(1)}</p></div></article>"
+    assert pages_.main_text(named) == f"Body {long(1)}"  # a name alone is no veto
+    assert pages_.main_text(f"<div class='story-social-history'><p>{long(1)}</p></div>") == long(1)
+
+    def columns(tree):
+        return set() if isinstance(tree, int) else {tree[0]} | columns(tree[2]) | columns(tree[3])
+
+    assert {pages_.COLUMNS[c] for c in columns(pages_.TREE)} & {"words_before", "link_density_before", "words_after", "link_density_after"}
+
+
+def test_html_markup():
+    assert [b[0] for b in pages_.blocks("a < b <3 &lt;i&gt;<br/>c<!-- x --><![CDATA[<d>]]><p title='>'>e<p class=\"it's\">f<script>g</script><style>h</style><b>i</p><td>j</b>k")] == ["a < b <3 <i>", "c<d>", "e", "f", "i", "jk"]
+    for tail in ("<!-- never ends", "<script>var x", "<a href='x", '<p class="', "<p"):
+        assert [b[0] for b in pages_.blocks(f"<p>kept</p>{tail}" + " word" * 9)] == ["kept"]
+
+
+def test_html_takes_time_in_proportion():
+    import time
+
+    for junk in ("<a ", '<a x="', "<div>", "<b>", "<!--", "</", "<", "<p><b>", "<li>"):
+        began = time.time()
+        pages_.main_text("<p>hello there</p>" + junk * (1_000_000 // len(junk)))
+        assert time.time() - began < 8, junk  # 1 to 2 seconds where nothing else runs
+
+
+def test_html_table_without_rows(spark):
+    assert pages_.extract(spark.createDataFrame([], "page_id long, url string, html string, text int")).count() == 0
+
+
 def test_lines(docs, empty):
     key = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s.strip(" \t\n\x0b\f\r"))
     seen = {}
