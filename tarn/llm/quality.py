@@ -5,8 +5,8 @@ shrunk towards the pooled covariance and its diagonal; their Cholesky factors ar
 sent with the scoring function. The score is the logistic of the difference of the classes' log densities
 (Mahalanobis distance and log determinant) plus log prior.
 
-The model is fitted on at most `max_rows` labelled rows (those of smallest hash of doc_id), labels of null are not
-used, and held-out rows (crc32 of doc_id mod 3 is 1) never. Scoring covers all rows and whole texts in one pass
+The model is fitted on at most `max_rows` labelled rows (those of smallest hash of doc_id, also where doc_ids or labels are
+repeated), labels of null are not used, and held-out rows (crc32 of doc_id mod 3 is 1) never. Scoring covers all rows and whole texts in one pass
 without a shuffle. Null and empty texts have a score too (all counts zero). Repeated rows are scored each, a null
 doc_id is not held out. If a class has no labelled row, every score is the prior of 0.5. Extra columns are
 ignored by `scores` and passed through by `keep_good`."""
@@ -92,7 +92,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict
                 f = features(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(list(f), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    got = rows.mapInArrow(run, "doc_id long, y int, x array<double>").orderBy("doc_id", "y").toPandas()
+    got = rows.mapInArrow(run, "doc_id long, y int, x array<double>").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(max_rows).toPandas()
     return fit(np.array(got["x"].tolist(), dtype=float).reshape(-1, len(FEATURES)), got["y"].to_numpy())
 
 

@@ -2,10 +2,10 @@
 
 Linked documents are those of equal text. Members of a group that lie in the same shard are alike to the
 propagation, so its state is a row (group, shard, members) and not a row for each document. A round lets each
-group move its members to the shard where most of their neighbours are; what may move into a shard is limited to
-the capacity that it has left, and of larger demands the same share of each is let in. Groups larger
-than a shard move in the first round only. Afterwards documents without links and members of groups take their shards,
-and rows beyond a shard's quota, those without links first, go to shards with room. Slots come from
+group move its members to the shard with room where most of their neighbours are, if that has more of them than their own;
+what may move into a shard is limited to the capacity that it has left, and of larger demands the same share of each is
+let in. Afterwards documents without links take the shard they began in, members of groups are
+numbered and fill their group's counts exactly, and rows beyond a shard's quota, those without links first, go to shards with room. Slots come from
 distributed numbering, so neither a shard nor a group is gathered in a task.
 
 Null texts count as empty with 0 bytes, and equal the empty text. Rows repeated under one doc_id, and null
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm import common as C
 
-ROUNDS = 6
+ROUNDS = 12
 
 
 def _unit(*cols) -> F.col:
@@ -27,7 +27,7 @@ def _unit(*cols) -> F.col:
 
 def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row."""
-    spark = docs.sparkSession
+    spark, began = docs.sparkSession, C.mark()
     text = F.coalesce("text", F.lit(""))
     base = C.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("g")).withColumn("row", F.monotonically_increasing_id()), "documents")
     total = base.count()
@@ -39,9 +39,10 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
         there = {r.shard: r.n for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # one row a shard
         free = [max(0, quota[s] - there.get(s, 0)) for s in range(shards)]
         full = [s for s in range(shards) if not free[s]]
-        weight = F.col("n") + _unit("g", "shard") * 0.5 - (F.when(F.col("shard").isin(full), F.lit(1e18)).otherwise(F.lit(0.0)) if full else F.lit(0.0))
-        want = cells.withColumn("_w", weight).groupBy("g").agg(F.max_by("shard", "_w").alias("target"), F.count("*").alias("_c"))
-        moving = cells.join(want, "g").withColumn("moves", (F.col("_c") > 1) & (F.col("shard") != F.col("target")) & (F.lit(k == 0) | (F.col("members") <= min(quota) if total else F.lit(True))))
+        near = F.col("n") + _unit("g", "shard") * 0.5
+        room = F.when(F.col("shard").isin(full), F.lit(-1e18)).otherwise(F.lit(0.0)) if full else F.lit(0.0)
+        want = cells.withColumn("_w", near + room).groupBy("g").agg(F.max_by("shard", "_w").alias("target"), F.max_by(near, "_w").alias("_there"))
+        moving = cells.join(want, "g").withColumn("moves", near < F.col("_there"))  # only to more neighbours than here
         moving = C.table(moving, "moving")
         demand = {r.target: r.n for r in moving.filter("moves").groupBy("target").agg(F.sum("n").alias("n")).collect()}
         if not demand:
@@ -53,12 +54,13 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
         moved = moving.withColumn("_gone", gone)
         parts = moved.select("g", "shard", "members", (F.col("n") - F.col("_gone")).alias("n")).unionByName(moved.filter("_gone > 0").select("g", F.col("target").alias("shard"), "members", F.col("_gone").alias("n")))
         cells = C.table(parts.filter("n > 0").groupBy("g", "shard").agg(F.first("members").alias("members"), F.sum("n").alias("n")), "cells")
-    # shares of a group's shards, as upper bounds of a number in [0, 1) that each member draws
-    plan = cells.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("cell"), F.sum("n").alias("all"))
-    linked = base.join(plan, "g", "left")
-    u = _unit("row", F.lit("member")) * F.col("all")
-    pick = F.aggregate("cell", F.struct(F.lit(0).cast("double").alias("upto"), F.lit(-1).alias("shard")), lambda a, x: F.struct((a["upto"] + x["n"]).alias("upto"), F.when((a["shard"] < 0) & (u < a["upto"] + x["n"]), x["shard"]).otherwise(a["shard"]).alias("shard")))["shard"]
-    placed = linked.select("doc_id", "size", "text_crc32", "row", F.col("cell").isNull().cast("int").alias("alone"), F.when(F.col("cell").isNull(), start).otherwise(pick).cast("int").alias("_to"))
+    # members of a group are numbered and fill its shards' counts in order
+    plan = C.table(cells.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("cell")), "plan")  # at most a cell for each shard
+    both = C.table(base.join(plan.hint("merge"), "g", "left").select("doc_id", "size", "text_crc32", "row", "g", "cell"), "linked")
+    linked = C.numbered(both.filter("cell IS NOT NULL"), ["g"], ["doc_id", "row"], "_m")
+    pick = F.aggregate("cell", F.struct(F.lit(0).cast("long").alias("upto"), F.lit(-1).alias("shard")), lambda a, x: F.struct((a["upto"] + x["n"]).alias("upto"), F.when((a["shard"] < 0) & (F.col("_m") < a["upto"] + x["n"]), x["shard"]).otherwise(a["shard"]).alias("shard")))["shard"]
+    own = ["doc_id", "size", "text_crc32", "row"]
+    placed = linked.select(*own, F.lit(0).alias("alone"), pick.cast("int").alias("_to")).unionByName(both.filter("cell IS NULL").select(*own, F.lit(1).alias("alone"), start.alias("_to")))
     num = C.table(C.numbered(placed, ["_to"], ["alone", "doc_id", "row"], "_slot"), "placed")
     have = {r._to: r.n for r in num.groupBy("_to").agg(F.count("*").alias("n")).collect()}
     limit = F.element_at(F.array(*[F.lit(q) for q in quota]), F.col("_to") + 1)
@@ -71,7 +73,9 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
         inside = (F.col("_k") >= upto) & (F.col("_k") < upto + room)
         shard, slot = F.when(inside, F.lit(s)).otherwise(shard), F.when(inside, F.col("_k") - upto + kept).otherwise(slot)
         upto += room
-    return stay.unionByName(over.select("doc_id", "size", "text_crc32", shard.alias("shard"), slot.cast("long").alias("slot")))
+    out = C.table(stay.unionByName(over.select("doc_id", "size", "text_crc32", shard.alias("shard"), slot.cast("long").alias("slot"))), "shards")
+    C.sweep(spark, began, (out,))
+    return out
 
 
 def op2_shards(spark, sf_dir: str) -> DataFrame:

@@ -131,6 +131,24 @@ def test_shards(docs, empty):
     assert shards.assign(empty, 8).count() == 0
 
 
+def test_shards_keep_groups_together(spark):
+    r = random.Random(8)
+    rows = [(f"group {g}",) for g in range(120) for _ in range(r.randint(2, 6))] + [(f"single {k}",) for k in range(400)]
+    rows += [("hot",)] * (len(rows) // 2)  # a third of all
+    r.shuffle(rows)
+    d = spark.createDataFrame([(k, t) for k, (t,) in enumerate(rows)], "doc_id long, text string").repartition(6)
+    out = {x.doc_id: x.shard for x in shards.assign(d, 8).collect()}
+    where = {}
+    for k, (t,) in enumerate(rows):
+        where.setdefault(t, []).append(out[k])
+    quota = len(rows) // 8
+    assert len(set(where["hot"])) <= -(-len(where["hot"]) // quota) + 1
+    split = sum(len(set(v)) > 1 for t, v in where.items() if t.startswith("group"))
+    assert split <= 15  # of 120; at random nearly all would be
+    counts = np.bincount(list(out.values()), minlength=8)
+    assert counts.max() - counts.min() <= 1
+
+
 def test_html(spark):
     page = "<html><head><title>t</title><script>if(a<b){'</p>'}</script></head><body><nav><a>Home</a></nav><article><h1>A &amp; B</h1><p>One<b>two</b>\n three.<br>Four</p><aside>no</aside><p>End.</p></article><section class='comments'><p>I say so too, as a reader of this page.</p></section><footer>&copy; x</footer>"
     assert pages_.main_text(page) == "A & B Onetwo three. Four End."
@@ -314,6 +332,34 @@ def test_quality(spark, docs, empty):
     assert quality.train(empty, labels) is None and quality.scores(docs, None).count() == len(ROWS)
 
 
+def test_quality_is_the_discriminant():
+    """Scores against densities computed directly, with inverses and determinants instead of factors."""
+    r = np.random.default_rng(5)
+    x = np.concatenate([r.normal(size=(40, 4)), r.normal(size=(25, 4)) @ r.normal(size=(4, 4)) + 1])
+    y = np.r_[np.zeros(40), np.ones(25)]
+    got = quality.predict(quality.fit(x, y, 0.3, 0.05), x)
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9)
+    means = [z[y == c].mean(axis=0) for c in (0, 1)]
+    pooled = sum((z[y == c] - means[c]).T @ (z[y == c] - means[c]) for c in (0, 1)) / (len(y) - 2)
+    density = []
+    for c in (0, 1):
+        s = 0.7 * np.cov(z[y == c].T) + 0.3 * pooled + 0.05 * np.eye(4)
+        density.append([np.exp(-0.5 * (v - means[c]) @ np.linalg.inv(s) @ (v - means[c])) / np.sqrt(np.linalg.det(s)) * (y == c).mean() for v in z])
+    assert np.allclose(got, np.array(density[1]) / (np.array(density[0]) + density[1]))
+
+
+def test_quality_bounds_rows_of_repeated_ids(spark):
+    d = spark.createDataFrame([(k % 7, f"text {k} of some words") for k in range(700)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, quality int")
+    taken = []
+    whole, quality.fit = quality.fit, lambda x, y: taken.append(len(y))
+    try:
+        quality.train(d, labels, max_rows=50)
+    finally:
+        quality.fit = whole
+    assert taken == [50]
+
+
 def test_secrets(docs, empty, tmp_path):
     rules = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
     want = {}

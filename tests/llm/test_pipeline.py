@@ -42,3 +42,26 @@ def test_stages(spark):
     bad = {i for i, t in zip(before["decontaminate"].doc_id, before["decontaminate"].text, strict=True) for w in items if decontaminate.align(ids(w), ids(words(t))) >= 0.5 * 2 * len(w)}
     assert kept["decontaminate"] == set(before["decontaminate"].doc_id) - bad
     assert kept["bpe"] == kept["decontaminate"] and bpe.default_ranks()
+
+
+def test_odd_tables(spark, tmp_path):
+    """Nulls, repeated ids with the same and other texts, an empty table, and columns of clashing names."""
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    good = [r.text for r in source.limit(40).collect()]
+    item = "a passage of the test set with words of its own that nobody else would write in this order ever again"
+    rows = [(k, t, 1, "x") for k, t in enumerate(good)] + [(None, good[0], 2, "x"), (None, None, 3, None), (3, good[3], 4, "x"), (3, good[4] + " and more", 5, "x"), (90, "", 6, "x"), (None, good[1] + " " + item, 7, "x"), (91, good[1] + " " + item, 8, None)]
+    cols = "doc_id long, text string, _row long, row string"
+    spark.createDataFrame(rows, cols).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        before, docs = docs, spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), cols)
+        assert set(docs.collect()) <= set(before.collect()), name
+    out = P.run(spark, str(tmp_path)).collect()
+    assert len(out) == docs.count() and not {r.text for r in docs.collect()} & {good[1] + " " + item}
+    assert len({re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "") for r in docs.collect()}) == docs.count()
+    spark.createDataFrame([], cols).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert P.run(spark, f"{tmp_path}/none").count() == 0
