@@ -5,10 +5,7 @@ and read again by run(). All but the last return the columns of documents."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarn.llm import bpe, common, decontaminate, exact, minhash, quality
 
@@ -19,12 +16,12 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of equal texts."""
+    """A row of each group of equal texts: that of the smallest doc_id."""
     return exact.deduplicate(docs)
 
 
 def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each component of near-duplicates (five words, similarity 0.8)."""
+    """A row of each component of near-duplicates (five words, similarity 0.8): that of the smallest doc_id."""
     return minhash.deduplicate(docs, 5, 80)
 
 
@@ -45,10 +42,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.load(spark, sf_dir, "documents")
+    """The last stage's rows. What earlier stages wrote is deleted once the next one is stored."""
+    docs, began = common.load(spark, sf_dir, "documents"), common.mark()
     for name, stage in STAGES:
         out = stage(spark, docs, sf_dir)
-        path = f"{common.shared_dir(spark)}/tarn-pipeline-{name}-{uuid.uuid4().hex}"
+        path = common.new_path(spark, f"pipeline-{name}")
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        common.sweep(spark, began, (docs,))
     return docs
