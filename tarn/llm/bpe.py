@@ -19,6 +19,7 @@ import base64
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tarn.llm import common as C
 
 CACHE_WORDS = 1_000_000  #: bound of a worker's cache of encoded words
 CACHE_BYTES = 64_000_000  #: bound of the bytes of the words that it holds
-CHUNK = 2_000_000  #: bytes of text that a task encodes at a time
+CHUNK = 1_000_000  #: bytes of text that a task encodes at a time
 SLICE, ROWS, STEPS = 400_000, 4_000_000, 48  #: bytes of words in a query (a longer word is one of its own), rows and steps of its recursion
 _WORKER: dict = {}
 
@@ -117,6 +118,94 @@ SELECT w, k & 4294967295 AS p, t, last FROM state JOIN (SELECT k >> 32 AS w, max
 """  #: a token's row has the key (number of its piece, position of its first byte in it)
 
 
+_MASK = np.array([(1 << 8 * min(k, 8)) - 1 for k in range(9)], dtype=np.uint64)
+_SHORT = 32  #: bytes of a span that are compared as numbers of eight bytes
+_WORD = np.dtype([("part", "u8", _SHORT // 8), ("n", "i4"), ("size", "i4"), ("place", "i8")])
+
+
+class _Cache:
+    """Values of spans of bytes. Spans of up to _SHORT bytes are told apart by those bytes, taken as numbers, and their length, so a
+    hash only says where to look; longer ones are keys of a dictionary. New spans lie in a small table beside the great one."""
+
+    def __init__(self, kind):
+        self.values = np.zeros(0, kind)
+        self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]  # sorted: great, small
+        self.rows = [np.zeros(0, _WORD), np.zeros(0, _WORD)]
+        self.long: dict[bytes, np.ndarray] = {}
+        self.held = 0  # bytes of the long spans and their values
+
+    @property
+    def words(self) -> int:
+        return len(self.keys[0]) + len(self.keys[1]) + len(self.long)
+
+    @property
+    def bytes(self) -> int:
+        return self.values.nbytes + self.held
+
+    def _add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        for level in (1, 0):
+            keys, rows = np.concatenate([self.keys[level], keys]), np.concatenate([self.rows[level], rows])
+            order = np.argsort(keys, kind="stable")
+            self.keys[level], self.rows[level] = keys[order], rows[order]
+            if level == 0 or len(keys) < 65536:
+                break
+            keys, rows = self.keys[1], self.rows[1]
+            self.keys[1], self.rows[1] = keys[:0], rows[:0]
+
+    def values_of(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        n = e - s
+        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(raw) + 1,), "<u8", padded, 0, (1,)).copy()  # the eight bytes from each place on
+        parts = np.zeros((_SHORT // 8, len(s)), np.uint64)
+        parts[0] = eight[s] & _MASK[np.minimum(n, 8)]
+        hashes, more = C.mix(parts[0] + n.astype(np.uint64)), np.arange(len(s))
+        for k in range(1, _SHORT // 8):
+            more = more[n[more] > 8 * k]
+            parts[k, more] = eight[s[more] + 8 * k] & _MASK[np.minimum(n[more] - 8 * k, 8)]
+            hashes[more] = C.mix(hashes[more] ^ parts[k, more])
+        codes, distinct = pd.factorize(hashes)
+        rep = np.empty(len(distinct), np.int64)
+        rep[codes[::-1]] = np.arange(len(s) - 1, -1, -1)
+        row = np.zeros(len(distinct), _WORD)
+        missing = np.arange(len(distinct))
+        for keys, rows in zip(self.keys, self.rows, strict=True):
+            if len(keys) and len(missing):
+                k = np.minimum(np.searchsorted(keys, distinct[missing]), len(keys) - 1)
+                found = keys[k] == distinct[missing]
+                row[missing[found]] = rows[k[found]]
+                missing = missing[~found]
+        missing = missing[n[rep[missing]] <= _SHORT]
+        if len(missing):
+            at = rep[missing]
+            size, new = make(at)
+            own = np.zeros(len(at), _WORD)
+            own["part"], own["n"], own["size"], own["place"] = parts[:, at].T, n[at], size, len(self.values) + np.cumsum(size) - size
+            self.values = np.concatenate([self.values, new])
+            row[missing] = own
+            self._add(distinct[missing], own)
+        place, size, values = row["place"][codes], row["size"].astype(np.int64)[codes], self.values
+        unlike = (n > _SHORT) | (row["n"][codes] != n)
+        for k in range(_SHORT // 8):
+            unlike |= np.ascontiguousarray(row["part"][:, k])[codes] != parts[k]
+        other = np.flatnonzero(unlike)
+        if len(other):  # long ones, and short ones of a hash that another one has
+            names = [raw[a:b].tobytes() for a, b in zip(s[other].tolist(), e[other].tolist(), strict=True)]
+            unknown = {w: i for w, i in zip(names, other.tolist(), strict=True) if w not in self.long}
+            if unknown:
+                lengths, new = make(np.array(list(unknown.values())))
+                for w, v in zip(unknown, np.split(new, np.cumsum(lengths)[:-1]), strict=True):
+                    self.long[w] = v
+                    self.held += len(w) + v.nbytes + 200
+            number = {w: k for k, w in enumerate(dict.fromkeys(names))}
+            found = [self.long[w] for w in number]
+            width = np.array([len(v) for v in found])
+            start = len(values) + np.cumsum(width) - width
+            which = np.array([number[w] for w in names])
+            place[other], size[other] = start[which], width[which]
+            values = np.concatenate([values, *found])
+        return _gather(values, place, size)
+
+
 class Coder:
     """Encodes and decodes; one for a vocabulary and worker process."""
 
@@ -152,49 +241,18 @@ class Coder:
         self.db.register(name, pa.table(columns))
 
     def forget(self, which: int) -> None:
-        """Of cache 0 (words to ids) or 1 (pieces of ids to bytes): sorted hashes; place and length of the word and of its
-        values; words; values."""
-        words, values = (np.uint32, np.int32) if which == 0 else (np.int32, np.uint8)
+        """Empties cache 0 (words to ids) or 1 (pieces of ids to bytes)."""
         if not hasattr(self, "cache"):
-            self.cache = [None, None]
-        self.cache[which] = (np.zeros(0, np.uint64), np.zeros((4, 0), np.int64), np.zeros(0, words), np.zeros(0, values))
-
-    def _known(self, which: int, symbols: np.ndarray, s: np.ndarray, e: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
-        """The values of the spans s to e of symbols, and where each span's end. make(which spans) gives (lengths, values).
-        Spans count as known words only if their symbols are the same, whatever their hashes."""
-        hashes = C.span_hash(symbols, s, e)
-        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys, table, held, values = self.cache[which]
-        k = np.searchsorted(keys, distinct)
-        found = (k < len(keys)) & (keys[np.minimum(k, max(len(keys) - 1, 0))] == distinct) if len(keys) else np.zeros(len(distinct), bool)
-        missing = np.flatnonzero(~found)
-        if len(missing):
-            if len(keys) and (len(keys) + len(missing) > CACHE_WORDS or held.nbytes > CACHE_BYTES):
-                self.forget(which)
-                return self._known(which, symbols, s, e, make)
-            lengths, new = make(at[missing])
-            size = (e - s)[at[missing]]
-            more = np.stack([len(held) + np.cumsum(size) - size, size, len(values) + np.cumsum(lengths) - lengths, lengths])
-            keys = np.concatenate([keys, distinct[missing]])
-            order = np.argsort(keys, kind="stable")
-            held = np.concatenate([held, _gather(symbols, s[at[missing]], size)[0].astype(held.dtype)])
-            self.cache[which] = keys, table, held, values = keys[order], np.concatenate([table, more], axis=1)[:, order], held, np.concatenate([values, new])
-            k = np.searchsorted(keys, distinct)
-        own, size = k[back], e - s
-        same = table[1][own] == size
-        if same.all():
-            there = held[np.arange(size.sum()) + np.repeat(table[0][own] - np.cumsum(size) + size, size)]
-            equal = there == _gather(symbols, s, size)[0]
-            if not equal.all():
-                same &= np.logical_and.reduceat(equal, np.cumsum(size) - size)
-        if same.all():
-            return _gather(values, table[2][own], table[3][own])
-        # two words of one hash: those that aren't the cached one are made by themselves
-        other = np.flatnonzero(~same) if (table[1][own] == size).all() else np.arange(len(s))
-        lengths, new = make(other)
-        place, width = table[2][own] + 0, table[3][own] + 0
-        place[other], width[other] = len(values) + np.cumsum(lengths) - lengths, lengths
-        return _gather(np.concatenate([values, new]), place, width)
+            self.cache = [_Cache(np.int32), _Cache(np.uint8)]
+        self.cache[which] = _Cache(np.int32 if which == 0 else np.uint8)
+
+    def _known(self, which: int, raw: np.ndarray, s: np.ndarray, e: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the spans s to e of raw (bytes), and where each span's end. make(which spans) gives (lengths, values)."""
+        c = self.cache[which]
+        if c.words > CACHE_WORDS or c.bytes > CACHE_BYTES:
+            self.forget(which)
+            c = self.cache[which]
+        return c.values_of(raw, s, e, make)
 
     def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words: how many of each, and all in a row."""
@@ -239,11 +297,14 @@ class Coder:
         if not len(s):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         e = np.append(s[1:], len(cp))
-        ids, ends = self._known(0, cp, s, e, lambda which: self.merge([whole[a:b].encode() for a, b in zip(s[which].tolist(), e[which].tolist(), strict=True)]))
+        raw = np.frombuffer(whole.encode(), np.uint8)
+        bs, be = (s, e) if len(raw) == len(cp) else (lambda at: (at[s], at[e]))(np.concatenate([[0], np.cumsum(1 + (cp >= 0x80) + (cp >= 0x800) + (cp >= 0x10000))]))
+        ids, ends = self._known(0, raw, bs, be, lambda which: self.merge([raw[a:b].tobytes() for a, b in zip(bs[which].tolist(), be[which].tolist(), strict=True)]))
         return ids, np.concatenate([[0], ends])[np.searchsorted(s, off)]
 
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
         """Bytes of each run of ids."""
+        ids = np.ascontiguousarray(ids, dtype=np.int32)
         if not len(ids):
             return [b""] * (len(off) - 1)
         cut = self.leads[ids]
@@ -261,14 +322,16 @@ class Coder:
             out = [x.encode("latin-1") for x in got.column("s").to_pylist()]
             return np.fromiter(map(len, out), np.int64, len(out)), np.frombuffer(b"".join(out), np.uint8)
 
-        raw, ends = self._known(1, ids, s, e, make)
+        raw, ends = self._known(1, ids.view(np.uint8), 4 * s, 4 * e, make)
         ends = np.concatenate([[0], ends])[np.searchsorted(s, off)]
         return [raw[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def _gather(values: np.ndarray, place: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(size)
-    return values[np.arange(ends[-1]) + np.repeat(place - ends + size, size)], ends
+    at = np.repeat(place - ends + size, size)
+    at += np.arange(ends[-1])
+    return values[at], ends
 
 
 def coder(path: str) -> Coder:
