@@ -73,12 +73,45 @@ def to_numeric(x): return _cast(x, "double", lambda e, t: e.cast("double"))  # n
 def to_logical(x): return _cast(x, "boolean", lambda e, t: e.cast("boolean"))  # noqa: E704
 def to_date(x, fmt=None): return _cast(x, "date", lambda e, t: F.to_date(e, fmt) if fmt else e.cast("date"))  # noqa: E704
 def to_timestamp(x): return _cast(x, "timestamp", lambda e, t: e.cast("timestamp_ntz"))  # noqa: E704
-def to_interval(x, unit="DAY"): return _cast(x, "interval", lambda e, t: F.make_dt_interval(days=e) if unit == "DAY" else F.make_dt_interval(secs=e))  # noqa: E704
+
+
+# Units of interval texts.
+_UNITS = {"y": r"years?|yrs?|y", "mon": r"months?|mons?", "w": r"weeks?|w", "d": r"days?|d", "h": r"hours?|hrs?|h", "m": r"minutes?|mins?|m", "s": r"seconds?|secs?|s"}
+
+
+def to_interval(x: Frame, unit: str = "DAY") -> Frame:
+    """Numbers of days (or of seconds), or text such as "3 days 04:05:06", "1 week -2 hours" or "1 year 2 mons" as an interval. Text
+    of years and months alone gives one of months when unit is MONTH, else null; text that isn't an interval gives null."""
+
+    def amount(e, u):
+        found = F.regexp_extract_all(e, F.lit(rf"(?i)([-+]?\d+(?:\.\d+)?)\s*(?:{_UNITS[u]})(?![a-z])"), 1)
+        return F.aggregate(F.transform(found, lambda v: v.cast("double")), F.lit(0.0), lambda a, v: a + v)
+
+    def text(e):
+        every = "|".join(_UNITS.values())
+        fits = e.rlike(rf"(?i)^\s*(?:[-+]?\d+(?:\.\d+)?\s*(?:{every})(?![a-z])\s*)*(?:-?\d+:\d\d(?::\d\d(?:\.\d+)?)?)?\s*$") & e.rlike(r"\d")
+        months = 12 * amount(e, "y") + amount(e, "mon")
+        if unit == "MONTH":
+            return F.when(fits, F.make_ym_interval(F.lit(0), F.round(months).cast("int")))
+        clock = F.regexp_extract(e, r"(-?)(\d+):(\d\d)(?::(\d\d(?:\.\d+)?))?", 0)
+        part = lambda k: F.coalesce(F.nullif(F.regexp_extract(clock, r"(-?)(\d+):(\d\d)(?::(\d\d(?:\.\d+)?))?", k), F.lit("")).cast("double"), F.lit(0.0))
+        sign = F.when(F.startswith(clock, F.lit("-")), -1.0).otherwise(1.0)
+        secs = 86400 * (7 * amount(e, "w") + amount(e, "d")) + 3600 * amount(e, "h") + 60 * amount(e, "m") + amount(e, "s") + sign * (3600 * part(2) + 60 * part(3) + part(4))
+        return F.when(fits & (months == 0), F.make_dt_interval(secs=secs.cast("decimal(18,6)")))
+
+    def one(e, t):
+        if isinstance(t, T.StringType):
+            return text(e)
+        if unit == "MONTH":
+            return F.make_ym_interval(F.lit(0), e.cast("int"))
+        return F.make_dt_interval(secs=(e.cast("double") * (86400 if unit == "DAY" else 1)).cast("decimal(18,6)"))
+
+    return _cast(x, "interval", one)
 
 
 def to_time(x: Frame) -> Frame:
     x.base.sparkSession.conf.set("spark.sql.timeType.enabled", "true")
-    return _cast(x, "time", lambda e, t: e.cast("time"))
+    return _cast(x, "time", lambda e, t: (F.date_format(e, "HH:mm:ss.SSSSSS") if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else e).cast("time"))
 
 
 def to_factor(x: Frame, reference: str | None = None) -> Frame:
@@ -95,10 +128,17 @@ def relevel(x: Frame, reference: str) -> Frame:
     return to_factor(x, str(reference))
 
 
+MAX_LEVELS = 10_000  #: of a factor; each becomes a column
+
+
 def levels(x: Frame) -> list[str]:
-    """Levels of a factor in descending order of text; the last is the reference unless another was chosen."""
+    """Levels of a factor in descending order of text; the last is the reference unless another was chosen. More than
+    MAX_LEVELS are an error."""
     c = x.cols[0]
-    return [r[0] for r in x.source.select(c.expr.cast("string").alias("v")).distinct().filter("v IS NOT NULL").orderBy(F.desc("v")).toLocalIterator()]
+    found = [r[0] for r in x.source.select(c.expr.cast("string").alias("v")).distinct().filter("v IS NOT NULL").orderBy(F.desc("v")).limit(MAX_LEVELS + 1).toLocalIterator()]
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{c.name} has more than {MAX_LEVELS} levels")
+    return found
 
 
 def dummies(x: Frame, full: bool = False, na_as_level: bool = False) -> Frame:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 
 from tarn.frame import Frame
+from tarn.sources.catalog import ship
 
 
 @dataclass
@@ -98,6 +99,7 @@ def arima_by_key(x: Frame, key: str, ts: str, value: str, order=(1, 1, 1), inclu
         m = fit(g.sort_values("t")["v"].to_numpy(), order, include_mean)
         return pd.DataFrame({"key": [g["key"].iloc[0]], "names": [list(m.coef)], "coef": [list(m.coef.values())], "sigma2": [m.sigma2]})
 
+    ship(x.base.sparkSession)
     rows = x.source.select(x.col(key).cols[0].expr.cast("string").alias("key"), x.col(ts).cols[0].expr.alias("t"), x.col(value).cols[0].expr.cast("double").alias("v")).dropna()
     return Frame(rows.groupBy("key").applyInPandas(one, "key string, names array<string>, coef array<double>, sigma2 double").withColumnRenamed("key", key).select(key, "names", "coef", "sigma2"))
 

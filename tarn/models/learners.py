@@ -12,7 +12,18 @@ from pyspark.sql import functions as F
 from tarn.frame import Frame
 from tarn.operators.arrays import expand
 from tarn.plans.formula import design
-from tarn.sources.catalog import keep
+from tarn.sources.catalog import keep, ship
+
+
+MAX_CLASSES = 1000  #: of a response
+MAX_GROUPS = 1000  #: models of a grouped fit that takes a job for each; more are an error
+
+
+def _group_keys(data: Frame, d) -> list[tuple]:
+    found = data.source.select(*[d.cols[g].alias(g) for g in d.groups]).distinct().limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    return sorted(map(tuple, found), key=lambda k: [(v is not None, str(v)) for v in k])
 
 
 # ------------------------------------------------------------------ k-means
@@ -32,19 +43,57 @@ class KMeans:
 
 
 _DISTANCES = {
-    "squared_dist_norm2": lambda v, c: F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, a: s + a),
-    "dist_norm2": lambda v, c: F.sqrt(_DISTANCES["squared_dist_norm2"](v, c)),
-    "dist_norm1": lambda v, c: F.aggregate(F.zip_with(v, c, lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, a: s + a),
+    "squared_dist_norm2": lambda v, c: ((v - c) ** 2).sum(axis=1),
+    "dist_norm2": lambda v, c: np.sqrt(((v - c) ** 2).sum(axis=1)),
+    "dist_norm1": lambda v, c: np.abs(v - c).sum(axis=1),
 }
 
 
+def _nearest(v: np.ndarray, centers: np.ndarray, distance: str) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the nearest centre (of equal ones the first) and the distance to it; a centre at a time."""
+    near, best = np.zeros(len(v), np.int64), np.full(len(v), np.inf)
+    for k, c in enumerate(centers):
+        d = _DISTANCES[distance](v, c)
+        near, best = np.where(d < best, k, near), np.minimum(d, best)
+    return near, best
+
+
 def kmeans(x: Frame, centers, key: str, max_iter: int = 10, nstart: int = 1, distance: str = "squared_dist_norm2", kmeanspp: bool = False, min_frac: float = 0.001, seed: int = 0) -> KMeans:
     """centers: a number (random or ++ seeds), a matrix, or a frame of one row a center. Clusters are numbered from 1.
     The best of nstart runs by objective is returned."""
     cols = [c for c in expand(x).cols if c.name != key]
-    dist = _DISTANCES[distance]
-    rows = x.source.select(next(c.expr for c in x.cols if c.name == key).alias("key"), F.array(*[c.expr.cast("double") for c in cols]).alias("v")).dropna()
+    if distance not in _DISTANCES:
+        raise ValueError(f"no distance {distance}")
+    p = len(cols)
+    rows = x.source.select(next(c.expr for c in x.cols if c.name == key).alias("key"), F.array(*[c.expr.cast("double") for c in cols]).alias("v")).filter(F.col("key").isNotNull() & ~F.exists("v", lambda e: e.isNull()))
+    rows = keep(rows)  # the arrays, once for all rounds
     best = None
+
+    def sums(c: np.ndarray) -> np.ndarray:
+        """A row for each centre: sums of the rows nearest to it, their number, their distances."""
+
+        def part(batches):
+            total = np.zeros((len(c), p + 2))
+            for b in batches:
+                v = np.stack(b["v"].to_numpy()) if len(b) else np.zeros((0, p))
+                near, d = _nearest(v, c, distance)
+                np.add.at(total, near, np.c_[v, np.ones(len(v)), d])
+            yield pd.DataFrame({"cluster": range(len(c)), "s": list(total)})
+
+        got = rows.select("v").mapInPandas(part, "cluster int, s array<double>").select("cluster", F.posexplode("s").alias("j", "s")).groupBy("cluster", "j").agg(F.sum("s").alias("s"))
+        out = np.zeros((len(c), p + 2))
+        for r in got.toLocalIterator():  # centres times columns
+            out[r.cluster, r.j] = r.s
+        return out
+
+    def assign(c: np.ndarray):
+        @F.pandas_udf("int")
+        def near(v: pd.Series) -> pd.Series:
+            return pd.Series(_nearest(np.stack(v.to_numpy()), c, distance)[0] + 1) if len(v) else pd.Series([], dtype="int32")
+
+        return near
+
+    ship(x.base.sparkSession)
     for run in range(nstart if isinstance(centers, int) else 1):
         if isinstance(centers, int):
             if kmeanspp:
@@ -59,21 +108,15 @@ def kmeans(x: Frame, centers, key: str, max_iter: int = 10, nstart: int = 1, dis
             c = expand(centers).df.toPandas().to_numpy(dtype=float)
         else:
             c = np.asarray(centers, dtype=float)
-        n_rows = None
-        for it in range(1, max_iter + 2):
-            assigned = rows.withColumn("_d", F.array(*[dist(F.col("v"), F.array(*[F.lit(float(a)) for a in row])) for row in c]))
-            assigned = assigned.withColumn("_m", F.array_min("_d")).withColumn("cluster", F.array_position("_d", F.col("_m")).cast("int"))
-            got = {r.cluster: r for r in assigned.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("_m").alias("w"), *[F.avg(F.col("v")[k]).alias(f"m{k}") for k in range(len(cols))]).collect()}  # k rows
-            if it > max_iter:
-                break
-            new = np.array([[got[k + 1][f"m{j}"] for j in range(len(cols))] if k + 1 in got else c[k] for k in range(len(c))])
-            sizes = sum(r.n for r in got.values())
-            if n_rows is not None and np.allclose(new, c) or (n_rows is not None and np.abs(new - c).max() < min_frac * 1e-6):
-                break
-            n_rows, c = sizes, new
-        w = np.array([got[k + 1].w if k + 1 in got else 0.0 for k in range(len(c))])
-        size = np.array([got[k + 1].n if k + 1 in got else 0 for k in range(len(c))])
-        model = KMeans(c, w, size, it - 1, Frame(assigned.select(F.col("key").alias(key), "cluster")))
+        moved, it = True, 0
+        got = sums(c)
+        while moved and it < max_iter:
+            new = np.where(got[:, p : p + 1] > 0, got[:, :p] / np.maximum(got[:, p : p + 1], 1), c)
+            moved, c, it = not np.allclose(new, c, rtol=1e-9, atol=1e-12), new, it + 1
+            if moved:
+                got = sums(c)
+
+        model = KMeans(c, got[:, p + 1], got[:, p].astype(np.int64), it, Frame(rows.select(F.col("key").alias(key), assign(c)("v").alias("cluster"))))
         if best is None or model.tot_withinss < best.tot_withinss:
             best = model
     return best
@@ -199,9 +242,11 @@ def _trees(formula: str, data: Frame, id: str, make, weights: str | None = None)
     d = design(f"{left}~{rhs}-1" + (f"|{by}" if by else ""), data)
     kind = data.source.select(d.dep.alias("y")).schema[0].dataType
     classes = isinstance(kind, (T.StringType, T.BooleanType)) or any(c.meta.factor for c in data.cols if c.name == left.strip())
-    labels = sorted(r[0] for r in data.source.select(d.dep.cast("string").alias("y")).distinct().dropna().collect()) if classes else None
+    labels = sorted(r[0] for r in data.source.select(d.dep.cast("string").alias("y")).distinct().dropna().limit(MAX_CLASSES + 1).collect()) if classes else None
+    if labels and len(labels) > MAX_CLASSES:
+        raise ValueError(f"the response has more than {MAX_CLASSES} classes")
     label = (lambda o: F.array_position(F.array(*[F.lit(v) for v in labels]), o.dep.cast("string")) - 1) if classes else (lambda o: o.dep)
-    keys = [tuple(r) for r in data.source.select(*[d.cols[g].alias(g) for g in d.groups]).distinct().collect()] if d.groups else [()]
+    keys = _group_keys(data, d) if d.groups else [()]
     models = {}
     for k in keys:
         models[k] = make(classes).fit(_features(d, data, id, k, label, weights))
@@ -287,6 +332,8 @@ def _svm_rows(d, features, frame: Frame, id_: str | None, label=None, group: tup
     if features is None:
         return src.withColumnRenamed("x", "f")
 
+    ship(src.sparkSession)
+
     @F.pandas_udf("array<double>")
     def lift(x: pd.Series) -> pd.Series:
         return pd.Series(list(_lifted(np.stack(x.to_numpy()), features))) if len(x) else pd.Series([], dtype=object)
@@ -308,7 +355,7 @@ def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "
         features = ("polynomial", w, np.sqrt(coef0) * rng.choice([-1.0, 1.0], size=(degree, 1, n_components)))
     labels, y = None, d.dep
     if type == "classification":
-        found = sorted(r[0] for r in data.source.select(d.dep.alias("y")).distinct().dropna().collect())
+        found = sorted(r[0] for r in data.source.select(d.dep.alias("y")).distinct().dropna().limit(3).collect())
         if len(found) != 2:
             raise ValueError("two classes are needed")
         labels = found
@@ -343,5 +390,4 @@ def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "
 
     if not d.groups:
         return fit(())
-    keys = data.source.select(*[d.cols[g].alias(g) for g in d.groups]).distinct().collect()  # one model each
-    return SvmGroups(fit(k) for k in sorted(map(tuple, keys), key=lambda k: [(v is not None, str(v)) for v in k]))
+    return SvmGroups(fit(k) for k in _group_keys(data, d))

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import math
+import warnings
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.frame import Col, Frame
 from tarn.models import dist
-from tarn.operators.linalg import gram, pinv
+from tarn.operators.linalg import gram, key_text, pinv
 from tarn.plans.formula import Design, design
 
 
@@ -148,6 +152,41 @@ class _Cols:
         return F.when(z >= 0, 1 - erfc / 2).otherwise(erfc / 2)
 
 
+def _lgamma(x: Column) -> Column:
+    """The logarithm of the gamma function, for x of 1 or more."""
+    # Coefficients of the published Lanczos approximation with g = 7 and nine terms.
+    c = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
+    z = x - 1
+    series = sum((F.lit(v) / (z + k) for k, v in enumerate(c[1:], 1)), F.lit(c[0]))
+    t = z + 7.5
+    return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.ln(t) - t + F.ln(series)
+
+
+def _likelihood(family: str, y: Column, u: Column) -> list[Column]:
+    """Terms whose sums over the rows give the log likelihood."""
+    if family == "binomial":
+        return [y * F.ln(u) + (1 - y) * F.ln(1 - u)]
+    if family == "poisson":
+        return [y * F.ln(u) - u - _lgamma(y + 1)]
+    if family == "gaussian":
+        return [(y - u) * (y - u)]
+    if family == "gamma":
+        return [F.ln(y / u), y / u, F.ln(y)]
+    return [(y - u) * (y - u) / (y * u * u), F.ln(y)]
+
+
+def _log_likelihood(family: str, s: list[float], n: int) -> float:
+    """From the sums; the dispersion of families that have one is the mean deviance."""
+    if family in ("binomial", "poisson"):
+        return s[0]
+    if family == "gaussian":
+        return -0.5 * n * (math.log(2 * math.pi * s[0] / n) + 1)
+    if family == "gamma":
+        a = n / max(2 * (s[1] - n - s[0]), 1e-300)
+        return a * (s[0] - s[1]) - s[2] + n * (a * math.log(a) - math.lgamma(a))
+    return -0.5 * (n * (math.log(2 * math.pi * s[0] / n) + 1) + 3 * s[1])
+
+
 def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None = None, na_action=None, max_iter: int = 100, tolerance: float = 1e-8):
     """Iteratively reweighted least squares; one grouped aggregate an iteration for all groups that haven't converged."""
     family = family.lower().replace("inverse.gaussian", "inverse_gaussian")
@@ -163,23 +202,25 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
     src = d.frame.source.select(*[k.alias(f"g{i}") for i, k in enumerate(keys)], *[c.alias(f"x{i}") for i, c in enumerate(x)], y.alias("y"))
     src = src.dropna(subset=[f"x{i}" for i in range(p)] + ["y"])
     xs, gs = [F.col(f"x{i}") for i in range(p)], [F.col(f"g{i}") for i in range(len(keys))]
+    spark = src.sparkSession
+    kinds = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(src.schema.fields[: len(keys)])] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
+    whole = {tuple(r[: len(keys)]): r["n"] for r in d.frame.source.groupBy(*[k.alias(f"g{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("n")).toLocalIterator()}
     beta: dict[tuple, np.ndarray] = {}
     state: dict[tuple, dict] = {}
     open_: set | None = None
     for it in range(1, max_iter + 2):
+        rows = src
         if it == 1:  # start from means moved away from the edge of the family
             u = {"binomial": (F.col("y") + 0.5) / 2, "poisson": F.col("y") + 0.1, "gamma": F.greatest("y", F.lit(1e-6)), "inverse_gaussian": F.greatest("y", F.lit(1e-6))}.get(family, F.greatest("y", F.lit(1e-6)) if link in ("log", "inverse") else F.col("y"))
             eta = forward(u, _Cols)
-        else:
-            eta = F.lit(None).cast("double")
-            for k, b in beta.items():  # one branch for each group, of driver size
-                own = sum((xs[i] * float(b[i]) for i in range(1, p)), xs[0] * float(b[0]))
-                cond = F.lit(True)
-                for g, v in zip(gs, k, strict=True):
-                    cond = cond & g.eqNullSafe(F.lit(v))
-                eta = own if not keys else F.when(cond, own).otherwise(eta)
-            u = inverse(eta, _Cols)
-        rows = src.withColumn("_eta", eta).withColumn("_u", inverse(F.col("_eta"), _Cols))
+        elif not keys:
+            eta = sum((xs[i] * float(beta[()][i]) for i in range(1, p)), xs[0] * float(beta[()][0]))
+        else:  # a table of coefficients; groups that have converged drop out. Spark broadcasts it only if it is small
+            table = spark.createDataFrame([(*k, b.tolist()) for k, b in beta.items() if open_ is None or k in open_], kinds)
+            on = [c.eqNullSafe(F.col(f"k{i}")) for i, c in enumerate(gs)]
+            rows = src.join(table, on).drop(*[f"k{i}" for i in range(len(keys))])
+            eta = sum((xs[i] * F.col("_b")[i] for i in range(1, p)), xs[0] * F.col("_b")[0])
+        rows = rows.withColumn("_eta", eta).withColumn("_u", inverse(F.col("_eta"), _Cols))
         if family == "binomial":
             rows = rows.withColumn("_u", F.least(F.greatest("_u", F.lit(1e-12)), F.lit(1 - 1e-12)))
         du = slope(F.col("_eta"), _Cols)
@@ -187,8 +228,8 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
         rows = rows.withColumn("_w", du * du / v).withColumn("_z", F.col("_eta") + (F.col("y") - F.col("_u")) / du)
         sums = [F.sum(F.col("_w") * xs[i] * xs[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)] + [F.sum(F.col("_w") * xs[i] * F.col("_z")).alias(f"t{i}") for i in range(p)]
         u_, y_ = F.col("_u"), F.col("y")
-        ll = {"binomial": y_ * F.ln("_u") + (1 - y_) * F.ln(1 - u_), "poisson": y_ * F.ln("_u") - u_ - F.lgamma(y_ + 1) if hasattr(F, "lgamma") else y_ * F.ln("_u") - u_, "gamma": -y_ / u_ - F.ln("_u"), "inverse_gaussian": -((y_ - u_) * (y_ - u_)) / (2 * y_ * u_ * u_)}.get(family, -(y_ - u_) * (y_ - u_) / 2)
-        got = rows.groupBy(*[f"g{i}" for i in range(len(keys))]).agg(F.count("*").alias("n"), F.sum((y_ - u_) * (y_ - u_) / v).alias("pearson"), F.sum(ll).alias("ll"), *sums)
+        terms = _likelihood(family, y_, u_)
+        got = rows.groupBy(*[f"g{i}" for i in range(len(keys))]).agg(F.count("*").alias("n"), F.sum((y_ - u_) * (y_ - u_) / v).alias("pearson"), *[F.sum(t).alias(f"l{i}") for i, t in enumerate(terms)], *sums)
         moved = 0.0
         for r in got.toLocalIterator():
             key = tuple(r[f"g{i}"] for i in range(len(keys)))
@@ -200,7 +241,7 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
                     m[i, j] = m[j, i] = r[f"s{i}_{j}"]
             old = beta.get(key)
             if old is not None:
-                state[key] = {"m": m, "n": r["n"], "pearson": r["pearson"], "ll": r["ll"], "it": it - 1}
+                state[key] = {"m": m, "n": r["n"], "pearson": r["pearson"], "ll": _log_likelihood(family, [r[f"l{i}"] for i in range(len(terms))], r["n"]), "it": it - 1}
             new = np.linalg.lstsq(m, t, rcond=None)[0]
             done = old is not None and np.max(np.abs(new - old) / (np.abs(old) + 1e-8)) < tolerance
             if done:
@@ -210,6 +251,8 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
                 moved = 1.0
         if not moved:
             break
+    else:
+        warnings.warn(f"{len(open_ if open_ is not None else beta)} model(s) did not converge in {max_iter} iterations", stacklevel=2)
     fits = []
     for key, s in state.items():
         b, inv = beta[key], pinv(s["m"])
@@ -218,7 +261,7 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
         z = b / np.where(se == 0, np.nan, se)
         pv = [dist.t_two_sided(v, s["n"] - p) if family in _DISPERSED else dist.normal_two_sided(v) for v in z]
         ev = np.linalg.eigvalsh(s["m"])
-        fits.append(Fit(d, key, b, se, z, np.array(pv), s["n"], 0, {"log_likelihood": s["ll"], "num_iterations": s["it"], "dispersion": disp, "condition_no": math.sqrt(max(ev) / max(min(ev), 1e-300)), "odds_ratios": np.exp(b) if family == "binomial" else None, "z_stats": z, "vcov": inv * disp}, family, link))
+        fits.append(Fit(d, key, b, se, z, np.array(pv), s["n"], whole.get(key, s["n"]) - s["n"], {"log_likelihood": s["ll"], "num_iterations": s["it"], "dispersion": disp, "condition_no": math.sqrt(max(ev) / max(min(ev), 1e-300)), "odds_ratios": np.exp(b) if family == "binomial" else None, "z_stats": z, "vcov": inv * disp}, family, link))
     return _result(fits, d)
 
 
@@ -227,22 +270,36 @@ def linear_score(f: Fit, frame: Frame) -> Column:
     return sum((c * float(b) for c, b in zip(x[1:], f.coef[1:], strict=True)), x[0] * float(f.coef[0]))
 
 
+def _coefficients(fits: list[Fit], frame: Frame) -> Column:
+    """The coefficients of a row's group as an array, null for a group that has none. They are one constant of the plan, in buckets by
+    the checksum of the key, so that a row looks at a few keys whatever the number of groups."""
+    keys = [dict(zip(frame.names, (c.expr for c in frame.cols), strict=True))[g] for g in fits[0].design.groups]
+    kinds = T.StructType([T.StructField(f"g{i}", f.dataType) for i, f in enumerate(frame.source.select(*keys).schema.fields)])
+    spark = frame.base.sparkSession
+    texts = [r[0] for r in spark.createDataFrame([(*f.group, k) for k, f in enumerate(fits)], T.StructType([*kinds.fields, T.StructField("k", T.LongType())])).orderBy("k").select(key_text([F.col(f"g{i}") for i in range(len(keys))])).toLocalIterator()]
+    size = max(1, len(fits) // 4)
+    buckets: list[dict] = [{} for _ in range(size)]
+    for t, f in zip(texts, fits, strict=True):
+        buckets[zlib.crc32(t.encode()) % size][t] = [None if math.isnan(b) else b for b in f.coef.tolist()]
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,array<double>>>")
+    text = key_text(keys)
+    return table[F.pmod(F.crc32(text.cast("binary")), F.lit(size)).cast("int")][text]
+
+
 def predict(model, newdata: Frame | None = None, type: str = "response") -> Frame:  # noqa: A002
     """Fitted values as a column of newdata. Binomial: "response" is score > 0 (true or false), "prob" the probability.
     Poisson responses are rounded. Rows of no training group are null."""
     fits = model.fits if isinstance(model, Grouped) else [model]
-    frame = newdata if newdata is not None else fits[0].design.frame
-    out = F.lit(None)
-    for f in fits:
+    f = fits[0]
+    frame = newdata if newdata is not None else f.design.frame
+    if f.design.groups:
+        x, b = f.design.over(frame).matrix, _coefficients(fits, frame)
+        eta = F.aggregate(F.zip_with(F.array(*x), b, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+    else:
         eta = linear_score(f, frame)
-        mean = _LINKS[f.link][0](eta, _Cols)
-        value = (mean if type == "prob" else mean >= 0.5) if f.family == "binomial" else F.round(mean) if f.family == "poisson" and type == "response" else mean
-        cond = F.lit(True)
-        cols = {c.name: c.expr for c in frame.cols}
-        for g, v in zip(f.design.groups, f.group, strict=True):
-            cond = cond & cols[g].eqNullSafe(F.lit(v))
-        out = value if not f.design.groups else F.when(cond, value).otherwise(out)
-    return frame._with([Col("predict", out)], order=())
+    mean = _LINKS[f.link][0](eta, _Cols)
+    value = (mean if type == "prob" else mean >= 0.5) if f.family == "binomial" else F.round(mean) if f.family == "poisson" and type == "response" else mean
+    return frame._with([Col("predict", value)], order=())
 
 
 def residuals(model) -> Frame:

@@ -36,17 +36,29 @@ def sample(x: Frame, size: int, replace: bool = False, seed: int = 0) -> Frame:
         if out.count() < size:
             raise ValueError("the sample is larger than the frame")
         return Frame(out, key=x.key)
-    rows = keep(df.withColumn("_at", F.monotonically_increasing_id()))
-    parts = [(r.p, r.n) for r in rows.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()]  # one row a partition
-    total, first, starts = sum(n for _, n in parts), 0, []
-    for p, n in parts:
-        starts.append((p, first))
-        first += n
+    numbered, total = _numbered(df)
     if not total:
         raise ValueError("the frame has no rows")
     spark = df.sparkSession
     draws = spark.range(size).select(F.floor(F.rand(seed) * total).cast("long").alias("_row")).groupBy("_row").agg(F.count("*").alias("_times"))
-    at = rows.join(F.broadcast(spark.createDataFrame(starts, "p long, f long")), F.shiftright("_at", 33) == F.col("p"))
-    at = at.withColumn("_row", F.col("f") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("p", "f", "_at")
-    out = at.join(draws, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).drop("_row", "_times", "_copy")
+    out = numbered.join(draws, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).drop("_row", "_times", "_copy")
     return Frame(keep(out.select(*df.columns)), key=x.key)
+
+
+def _numbered(df):
+    """(df stored with the gapless number `_row` from 0, rows): numbers are those within a partition and the counts of those before."""
+    rows = keep(df.withColumn("_at", F.monotonically_increasing_id()))
+    parts = [(r.p, r.n) for r in rows.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()]  # one row a partition
+    first, starts = 0, []
+    for p, n in parts:
+        starts.append((p, first))
+        first += n
+    at = rows.join(F.broadcast(df.sparkSession.createDataFrame(starts or [(0, 0)], "p long, f long")), F.shiftright("_at", 33) == F.col("p"))
+    return at.withColumn("_row", F.col("f") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("p", "f", "_at"), first
+
+
+def indexed(x: Frame, random: bool = True, seed: int = 0, name: str = "row_num") -> Frame:
+    """The rows with a gapless number from 1, in random order or that of the frame. The order comes from a distributed sort."""
+    df = x.df.orderBy(F.rand(seed)) if random else x.df
+    out, _ = _numbered(df)
+    return Frame(out.withColumn(name, F.col("_row") + 1).drop("_row"), key=x.key)

@@ -165,9 +165,10 @@ class Design:
         return self.dep.cast("double")
 
     def over(self, frame: Frame) -> Design:
-        """The same design on another frame."""
+        """The same design on another frame, which needs the response only where its values are asked for."""
         cols = {c.name: c.expr for c in frame.cols}
-        return Design(frame, column_of(self.dep_tree, cols | _dummies(cols, self.factors)), self.dep_tree, self.names, self.trees, self.groups, self.intercept, cols | _dummies(cols, self.factors), self.factors)
+        dep = column_of(self.dep_tree, cols | _dummies(cols, self.factors)) if variables(self.dep_tree) <= set(cols) else None
+        return Design(frame, dep, self.dep_tree, self.names, self.trees, self.groups, self.intercept, cols | _dummies(cols, self.factors), self.factors)
 
 
 def _dummies(cols, factors) -> dict[str, Column]:

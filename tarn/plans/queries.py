@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from tarn.frame import Frame
+from tarn.frame import Col, Frame
 from tarn.functions import aggregates as A
 from tarn.functions import scalar as S
 from tarn.operators import arrays as R
@@ -167,6 +167,17 @@ simple("array_agg_mean", "embeddings", "SELECT round(avg(CAST(embedding[1] AS DO
 simple("array_expand", "embeddings", 'SELECT vec_id, embedding[64] AS v FROM embeddings', lambda x: x[["vec_id"]].cbind(R.expand(x["embedding"])["embedding[64]"].alias("v")))
 simple("unnest", "embeddings", "SELECT count(*) AS n FROM embeddings, unnest(embedding)", lambda x: A.count(R.unnest(x["embedding"])["pos"]).alias("n"))
 simple("factor_dummies", "lineitem", "SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS l_returnflag_R, CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS l_returnflag_N FROM lineitem", lambda x: x[["l_orderkey"]].cbind(S.dummies(S.to_factor(x["l_returnflag"]))))
+simple("col_by_query", "nation", "SELECT n_name FROM nation", lambda x: x[A.smallest(x["n_nationkey"]) + 2])
+simple("as_list", "nation", "SELECT n_name, n_nationkey FROM nation", lambda x: (lambda a: a[1].cbind(a[0]))(x.as_list()))
+simple("array_columns", "embeddings", "SELECT vec_id, embedding[64] AS v, 65 AS width FROM embeddings", lambda x: (lambda y: x[["vec_id"]].cbind(y.as_list(True)[64].alias("v")).assign(width=R.width(y)))(x[["vec_id", "embedding"]]))
+simple("collate", "lineitem", "SELECT l_orderkey, l_linenumber, l_tax AS v FROM lineitem", lambda x: (lambda y: y[["l_orderkey", "l_linenumber"]].cbind(y["both"].element(2).alias("v")))(R.collate(x, ["l_quantity", "l_tax"], "both")))
+query("by_object", "SELECT l_returnflag AS g, count(*) AS n FROM lineitem GROUP BY 1")(lambda t: (lambda x: x.base.sparkSession.createDataFrame([(k[0], int(n)) for k, n in A.by(x, "l_returnflag", lambda g: g.dim()[0])], "g string, n long"))(t("lineitem")))
+simple("by_none", "part", "SELECT max(p_size) AS v FROM part", lambda x: A.by(x, None, lambda g: A.largest(g["p_size"]).alias("v")))
+simple("isnull_array", "embeddings", "SELECT vec_id, vec_id % 3 = 0 AS v FROM embeddings", lambda x: x[["vec_id"]].cbind(R.array_of(x.assign(n=S.if_else(x["vec_id"] % 3 == 0, None, x["label"]))["n"], 1).is_na().alias("v")))
+simple("factor_relevel", "orders", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS s_P, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS s_F FROM orders", lambda x: x[["o_orderkey"]].cbind(S.dummies(S.relevel(S.to_factor(x["o_orderstatus"].alias("s")), "O"))))
+simple("cast_time", "events", "SELECT event_id, hour(CAST(ts AS TIME)) * 3600 + minute(CAST(ts AS TIME)) * 60 + second(CAST(ts AS TIME)) AS v FROM events", lambda x: (lambda y: x[["event_id"]].cbind(y._with([Col("v", (F.hour(y.cols[0].expr) * 3600 + F.minute(y.cols[0].expr) * 60 + F.second(y.cols[0].expr)).cast("long"))])))(S.to_time(x["ts"])))
+simple("cast_interval", "orders", "SELECT o_orderkey, o_orderdate + INTERVAL 26 HOUR AS v FROM orders", lambda x: (lambda y: x[["o_orderkey"]].cbind(y._with([Col("v", x["o_orderdate"].cols[0].expr + y.cols[0].expr)])))(S.to_interval(x.assign(t="1 day 02:00:00")["t"])))
+simple("interval_days", "lineitem", "SELECT l_orderkey, l_linenumber, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS v FROM lineitem", lambda x: (lambda y: x[["l_orderkey", "l_linenumber"]].cbind(y._with([Col("v", x["l_shipdate"].cols[0].expr + y.cols[0].expr)])))(S.to_interval(x["l_quantity"])))
 query("table_sizes", "SELECT 'orders' AS t, count(*) AS n FROM orders UNION ALL SELECT 'part', count(*) FROM part")(lambda t: t("orders").df.groupBy(F.lit("orders").alias("t")).agg(F.count("*").alias("n")).unionByName(t("part").df.groupBy(F.lit("part").alias("t")).agg(F.count("*").alias("n"))))
 
-from tarn.plans import model_queries  # noqa: E402, F401  registers the models' queries
+from tarn.plans import model_queries, source_queries  # noqa: E402, F401  register more queries

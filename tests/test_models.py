@@ -123,3 +123,54 @@ def test_svm_groups_and_polynomials(data):
     lifted = np.c_[(x @ w[0] + b[0]) * (x @ w[1] + b[1]) / np.sqrt(8), np.ones(len(p))]
     got = s.predict(f, "id").df.toPandas().set_index("id").decision_function
     assert np.allclose(got[p.id], lifted @ s.coef)
+
+
+def test_grouped_models_of_many_columns_and_groups(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 50))
+    p = pd.DataFrame(x, columns=[f"c{i}" for i in range(50)])
+    p["day"] = pd.to_datetime(rng.choice(["2024-01-01", "2024-02-01", "2024-03-01"], 3000)).date
+    p["h"] = rng.choice([1.5, 2.0], 3000)
+    p.loc[::7, "h"] = None
+    p["y"] = x @ np.arange(50) + rng.normal(size=3000)
+    f = Frame(spark.createDataFrame(p.astype({"h": object}).where(p.notna(), None), ",".join(f"c{i} double" for i in range(50)) + ", day date, h double, y double"))
+    m = regression.lm("y ~ " + " + ".join(f"c{i}" for i in range(50)) + " | day + h", f)
+    assert len(m) == 9 and {type(k.group[0]).__name__ for k in m} == {"date"} and {k.group[1] for k in m} == {1.5, 2.0, None}
+    for k in m:
+        own = p[(p.day == k.group[0]) & (p.h.isna() if k.group[1] is None else p.h == k.group[1])]
+        assert np.allclose(k.coef, np.linalg.lstsq(np.c_[np.ones(len(own)), own[[f"c{i}" for i in range(50)]]], own.y, rcond=None)[0])
+    many = Frame(spark.range(20_000).selectExpr("cast(id % 5000 as int) AS g", "cast(id div 5000 as double) AS x", "cast((id % 5000) * (id div 5000) + id % 5000 as double) AS y"))
+    m = regression.lm("y ~ x | g", many)
+    assert len(m) == 5000
+    new = Frame(spark.createDataFrame([(3, 10.0), (4999, 2.0), (None, 1.0), (77, None), (9000, 1.0)], "g int, x double"))
+    got = {r.g: r.v for r in new.cbind(regression.predict(m, new).alias("v")).df.collect()}
+    assert np.allclose([got[3], got[4999]], [33, 4999 * 3]) and got[None] is got[77] is got[9000] is None
+    few = Frame(many.base.filter("g < 40").withColumn("z", (many.base.y % 3 > 0).cast("int")))
+    assert len(regression.glm("y ~ x | g", Frame(few.base.filter("g > 0").withColumn("y", few.base.y.cast("int"))), "poisson")) == 39
+
+
+def test_likelihoods(data):
+    import math
+
+    p, f = data
+    m = regression.glm("c ~ a", f, "poisson")
+    mu = np.exp(m.coef[0] + m.coef[1] * p.a)
+    assert np.isclose(regression.log_lik(m)[0], sum(y * math.log(u) - u - math.lgamma(y + 1) for y, u in zip(p.c, mu, strict=True)))
+    q = p.assign(w=np.exp(0.5 + 0.3 * p.a) * np.random.default_rng(1).gamma(4, 0.25, len(p)))
+    g = Frame(f.base.sparkSession.createDataFrame(q[["a", "w"]]))
+    m = regression.glm("w ~ a", g, "gamma", "log")
+    mu = np.exp(m.coef[0] + m.coef[1] * q.a)
+    d = (2 * ((q.w - mu) / mu - np.log(q.w / mu))).mean()
+    assert np.isclose(regression.log_lik(m)[0], sum((1 / d - 1) * math.log(y) - y / (u * d) - math.log(u * d) / d - math.lgamma(1 / d) for y, u in zip(q.w, mu, strict=True)))
+    m = regression.glm("w ~ a", g, "inverse_gaussian", "log")
+    mu = np.exp(m.coef[0] + m.coef[1] * q.a)
+    d = ((q.w - mu) ** 2 / (q.w * mu * mu)).mean()
+    assert np.isclose(regression.log_lik(m)[0], sum(-0.5 * math.log(2 * math.pi * d * y**3) - (y - u) ** 2 / (2 * d * y * u * u) for y, u in zip(q.w, mu, strict=True)))
+    m = regression.glm("w ~ a", g, "gaussian", "log")
+    r = (q.w - np.exp(m.coef[0] + m.coef[1] * q.a)) ** 2
+    assert np.isclose(regression.log_lik(m)[0], -0.5 * len(q) * (math.log(2 * math.pi * r.mean()) + 1))
+    with pytest.warns(UserWarning, match="did not converge"):
+        regression.glm("c ~ a", f, "poisson", max_iter=1)
+    holes = Frame(g.base.withColumn("a", g.base.a * 1).selectExpr("CASE WHEN a > 0.5 THEN NULL ELSE a END AS a", "w"))
+    m = regression.glm("w ~ a", holes, "gamma", "log")
+    assert m.skipped == int((q.a > 0.5).sum()) and m.n + m.skipped == len(q)
