@@ -75,10 +75,10 @@ class _Model:
         """The mixed distribution of events."""
         first = self.one * _K1
         self.h1, self.h2 = self.hash_base + (first >> _KEEP), self.hash_base + ((first + self.two * _K2) >> _KEEP)
-        self.e1, self.e2 = self.tables[0][self.h1], self.tables[1][self.h2]
+        self.e1, self.e2 = self.tables[0].take(self.h1), self.tables[1].take(self.h2)
         self.c1, self.c2, self.k1, self.k2 = self.e1 & _ID, self.e2 & _ID, self.e1 >> _SIXTEEN, self.e2 >> _SIXTEEN
         self.at = (self.state_base + self.last, self.state_base + self.k1, self.state_base + self.k2)
-        self.own = [t[a] for t, a in zip(self.events, self.at, strict=True)]
+        self.own = [t.take(a) for t, a in zip(self.events, self.at, strict=True)]
         mixed = self.own[0] * self.weight[0]
         mixed += self.own[1] * self.weight[1]
         mixed += self.own[2] * self.weight[2]
@@ -88,7 +88,11 @@ class _Model:
         """field: 16 times the event; weigh: whether scores and weights are to follow this id."""
         gain = _GAIN << field
         for t, a, p in zip(self.events, self.at, self.own, strict=True):
-            t[a] = p - ((p >> 5) & _FIFTHS) + gain
+            q = p >> 5
+            q &= _FIFTHS
+            np.subtract(gain, q, out=q)
+            q += p
+            t[a] = q
         if weigh:
             for k, p in enumerate(self.own):
                 s = self.score[k]
@@ -178,7 +182,7 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
             low += first[t] * miss * r
             rng = (more[t] * miss + 1) * r
             _settled(low, rng, move)
-            model.learn(event, field, sym, hit1, hit2, t % 4 == 0)
+            model.learn(event, field, sym, hit1, hit2, t % 8 == 0)
             if t % 32 == 0 and pos.max() + 32 * 4 > out.shape[1]:
                 out = np.concatenate([out, np.zeros((n, length // 2 + 256), np.uint32)], axis=1)
     for k in range(2):
@@ -239,7 +243,7 @@ def decode_blocks(codes: list[bytes], length: int) -> np.ndarray:
             np.copyto(sym, model.c1, where=event == 1)
             np.copyto(sym, model.c2, where=event == 0)
             _settled(low, rng, move)
-            model.learn(event, field, sym, model.c1 == sym, model.c2 == sym, t % 4 == 0)
+            model.learn(event, field, sym, model.c1 == sym, model.c2 == sym, t % 8 == 0)
             own[t] = sym
         ids[:, start:end] = own.T
     return ids
@@ -307,6 +311,11 @@ def _tokenizer(path: str):
     return _WORKER[path]
 
 
+# The characters that byte-level tokenizers put for bytes: printable ones for themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARACTERS = {b: b if b in _PRINTABLE else 256 + b - sum(p < b for p in _PRINTABLE) for b in range(256)}
+
+
 class _Words(bpe.Coder):
     """Ids of texts by the tokenizers library: it encodes each word of the split pattern that is not in the worker's
     bounded cache. The library cuts texts at its added tokens (which keep their own id, also special ones), then by that same
@@ -316,10 +325,16 @@ class _Words(bpe.Coder):
         self.library = _tokenizer(path)
         self.marks = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = re.compile("|".join(map(re.escape, sorted(self.marks, key=len, reverse=True))) or "(?!)")
+        if type(self.library.pre_tokenizer).__name__ != "ByteLevel" or self.library.normalizer is not None:
+            raise ValueError("the tokenizer must be byte-level and without a normalizer")
+        self.tokens = self.library.model.tokenize
         self.forget(0)
 
     def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.library.encode_batch([w.decode() for w in found], add_special_tokens=False)]
+        """Words by the library's model, whose pre-tokenizer would give it each as one piece, a character for each byte."""
+        mapped = b"".join(found).decode("latin-1").translate(_CHARACTERS)
+        ends = np.cumsum([0, *map(len, found)]).tolist()
+        ids = [[t.id for t in self.tokens(mapped[a:b])] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
