@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarn.frame import Frame
 from tarn.operators.arrays import expand
+from tarn.operators.order import number_rows
 from tarn.plans.formula import design
 from tarn.sources.catalog import keep, ship
 
@@ -139,7 +140,30 @@ class Lda:
 
     def predict(self, data: Frame, docid: str, words: str) -> Frame:
         rows = _term_counts(data, docid, words, self.vocabulary)[0]
-        return Frame(self.model.transform(rows).select(docid, F.expr("topicDistribution").alias("topics")))
+        return Frame(self.model.transform(rows).select(docid, F.col("topicDistribution").alias("topics")))
+
+    def assignments(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> Frame:
+        """The most probable topic (from 1) of each distinct word of each document, and how often the word is there: share of the topic in
+        the document times share of the word in the topic, of ties the smaller."""
+        from pyspark.ml.functions import vector_to_array
+
+        rows, name = (self.counts, self.docid) if data is None else (_term_counts(data, docid, words, self.vocabulary)[0], docid)
+        spark = rows.sparkSession
+        m = self.model.topicsMatrix().toArray()
+        shares = spark.createDataFrame([(w, v.tolist()) for w, v in zip(self.vocabulary, m / m.sum(axis=0), strict=True)], "word string, _w array<double>")
+
+        tokens = self.model.transform(rows).select(F.col(name), vector_to_array("topicDistribution").alias("_t"), F.explode("_words").alias("word"))
+        fit = F.zip_with("_t", "_w", lambda a, b: a * b)
+        named = tokens.join(shares, "word").select(name, "word", F.array_position(fit, F.array_max(fit)).cast("int").alias("topic"))
+        return Frame(named.groupBy(name, "word", "topic").agg(F.count("*").alias("n")))
+
+    def document_sums(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> Frame:
+        """Words of each document by topic."""
+        name = self.docid if data is None else docid
+        return Frame(self.assignments(data, docid, words).df.groupBy(name, "topic").agg(F.sum("n").alias("n")))
+
+    def topic_sums(self) -> Frame:
+        return Frame(self.assignments().df.groupBy("topic").agg(F.sum("n").alias("n")))
 
     def perplexity(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> float:
         rows = self.counts if data is None else _term_counts(data, docid, words, self.vocabulary)[0]
@@ -151,7 +175,7 @@ def _term_counts(data: Frame, docid: str, words: str, vocabulary=None):
 
     rows = data.df.select(docid, words)
     cv = CountVectorizerModel.from_vocabulary(vocabulary, words, "features") if vocabulary else CountVectorizer(inputCol=words, outputCol="features", vocabSize=2**31 - 1).fit(rows)  # every word
-    return cv.transform(rows).select(docid, "features"), cv.vocabulary
+    return cv.transform(rows).select(docid, F.col(words).alias("_words"), "features"), cv.vocabulary
 
 
 def lda(data: Frame, docid: str, words: str, topic_num: int, alpha: float, beta: float, iter_num: int = 20, nstart: int = 1, best: bool = True, seed: int = 0):
@@ -167,6 +191,104 @@ def lda(data: Frame, docid: str, words: str, topic_num: int, alpha: float, beta:
 # ------------------------------------------------------------------ trees
 
 
+@dataclass
+class Pruned:
+    """A tree cut back by cost complexity. Node k (0 is the root) has children left[k] and right[k] (0: a leaf), a column and a
+    threshold (up to it: left), and stats: counts of classes, or number, sum and sum of squares."""
+
+    left: list[int]
+    right: list[int]
+    var: list[int]
+    at: list[float]
+    stats: list[list[float]]
+    classes: bool
+    importance: np.ndarray
+
+    def values(self) -> np.ndarray:
+        """The prediction of every node."""
+        return np.array([np.argmax(s) if self.classes else s[1] / s[0] for s in self.stats], dtype=float)
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+
+        left, right, var, at, values = (np.array(v) for v in (self.left, self.right, self.var, self.at, self.values()))
+
+        @F.pandas_udf("int")
+        def leaf(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype="int32")
+            m, node = np.stack(x.to_numpy()), np.zeros(len(x), np.int64)
+            while (inner := left[node] > 0).any():
+                node = np.where(inner, np.where(m[np.arange(len(m)), var[node]] <= at[node], left[node], right[node]), node)
+            return pd.Series(node.astype(np.int32))
+
+        out = rows.withColumn("_leaf", leaf("_x")).withColumn("prediction", F.array(*[F.lit(float(v)) for v in values])[F.col("_leaf")])
+        if self.classes:
+            shares = [F.array(*[F.lit(float(v)) for v in np.array(s) / sum(s)]) for s in self.stats]
+            out = out.withColumn("probability", array_to_vector(F.array(*shares)[F.col("_leaf")]))
+        return out.drop("_leaf")
+
+    @property
+    def toDebugString(self) -> str:  # noqa: N802  as Spark's models have it
+        def lines(k: int, depth: int) -> list[str]:
+            pad = " " * depth
+            if not self.left[k]:
+                return [f"{pad}Predict: {self.values()[k]:g}"]
+            return [f"{pad}If (feature {self.var[k]} <= {self.at[k]:g})", *lines(self.left[k], depth + 1), f"{pad}Else", *lines(self.right[k], depth + 1)]
+
+        return "\n".join(lines(0, 0))
+
+
+def _nodes(model, classes: bool) -> Pruned:
+    """The nodes of a tree of Spark's."""
+    out = Pruned([], [], [], [], [], classes, model.featureImportances.toArray() if hasattr(model, "featureImportances") else np.zeros(0))
+
+    def walk(n) -> int:
+        k = len(out.left)
+        leaf = n.getClass().getSimpleName() == "LeafNode"
+        out.left.append(0), out.right.append(0), out.stats.append(list(n.impurityStats().stats()))
+        out.var.append(-1 if leaf else n.split().featureIndex()), out.at.append(0.0 if leaf else n.split().threshold())
+        if not leaf:
+            out.left[k], out.right[k] = walk(n.leftChild()), walk(n.rightChild())
+        return k
+
+    walk(model._call_java("rootNode"))
+    return out
+
+
+def prune(tree: Pruned, cp: float, minsplit: int = 0) -> Pruned:
+    """The smallest subtree of least risk plus cp times the root's risk for each leaf; the risk is the number of rows of other classes, or
+    the sum of squares about the mean. Nodes of fewer than minsplit rows are leaves."""
+
+    def count(k: int) -> float:
+        return sum(tree.stats[k]) if tree.classes else tree.stats[k][0]
+
+    def risk(k: int) -> float:
+        s = tree.stats[k]
+        return sum(s) - max(s) if tree.classes else max(s[2] - s[1] * s[1] / s[0], 0.0)
+
+    price = cp * risk(0)
+    out = Pruned([], [], [], [], [], tree.classes, tree.importance)
+
+    def cost(k: int) -> tuple[float, bool]:
+        """Of the best subtree below k, and whether k stays inner."""
+        own = risk(k) + price
+        if not tree.left[k] or count(k) < minsplit:
+            return own, False
+        below = cost(tree.left[k])[0] + cost(tree.right[k])[0]
+        return (own, False) if own < below or (price > 0 and own <= below * (1 + 1e-12)) else (below, True)
+
+    def copy(k: int) -> int:
+        at, inner = len(out.left), cost(k)[1]
+        out.left.append(0), out.right.append(0), out.stats.append(tree.stats[k]), out.var.append(tree.var[k] if inner else -1), out.at.append(tree.at[k] if inner else 0.0)
+        if inner:
+            out.left[at], out.right[at] = copy(tree.left[k]), copy(tree.right[k])
+        return at
+
+    copy(0)
+    return out
+
+
 @dataclass
 class Trees:
     """Models by group key; labels of classes in order of their index."""
@@ -176,6 +298,7 @@ class Trees:
     id: str
     labels: list[str] | None
     importance: dict = field(default_factory=dict)
+    permuted: dict = field(default_factory=dict)
 
     def predict(self, newdata: Frame | None = None, type: str = "response") -> Frame:  # noqa: A002
         frame = newdata if newdata is not None else self.design.frame
@@ -199,21 +322,8 @@ class Trees:
     def get_tree(self, k: int = 1, group: tuple = ()) -> pd.DataFrame:
         """Tree k of a forest: a row for each node, children by row number (from 1, 0: none), variable, threshold, status, prediction."""
         m = self.models[group]
-        node = (m.trees[k - 1] if hasattr(m, "trees") else m)._call_java("rootNode")
-        rows: list[list] = []
-
-        def walk(n) -> int:
-            at = len(rows)
-            leaf = n.getClass().getSimpleName() == "LeafNode"
-            rows.append([0, 0, None, None, -1 if leaf else 1, n.prediction()])
-            if not leaf:
-                s = n.split()
-                rows[at][2] = self.design.names[s.featureIndex()]
-                rows[at][3] = s.threshold() if s.getClass().getSimpleName() == "ContinuousSplit" else None
-                rows[at][0], rows[at][1] = walk(n.leftChild()) + 1, walk(n.rightChild()) + 1
-            return at
-
-        walk(node)
+        t = m if isinstance(m, Pruned) else _nodes(m.trees[k - 1] if hasattr(m, "trees") else m, self.labels is not None)
+        rows = [[le + 1 if le else 0, r + 1 if r else 0, self.design.names[v] if v >= 0 else None, at if v >= 0 else None, 1 if le else -1, p] for le, r, v, at, p in zip(t.left, t.right, t.var, t.at, t.values().tolist(), strict=True)]
         return pd.DataFrame(rows, columns=["left daughter", "right daughter", "split var", "split point", "status", "prediction"])
 
 
@@ -233,7 +343,7 @@ def _features(d, frame: Frame, id_: str, key: tuple = (), label=None, weights: s
     return rows.filter(~F.exists("_x", lambda v: v.isNull()) & (F.col("label").isNotNull() if label is not None else F.lit(True))).withColumn("features", array_to_vector("_x"))
 
 
-def _trees(formula: str, data: Frame, id: str, make, weights: str | None = None) -> Trees:  # noqa: A002
+def _trees(formula: str, data: Frame, id: str, make, weights: str | None = None, after=None) -> Trees:  # noqa: A002
     from pyspark.sql import types as T
 
     left, _, right = formula.partition("~")
@@ -249,26 +359,29 @@ def _trees(formula: str, data: Frame, id: str, make, weights: str | None = None)
     keys = _group_keys(data, d) if d.groups else [()]
     models = {}
     for k in keys:
-        models[k] = make(classes).fit(_features(d, data, id, k, label, weights))
-    imp = {k: dict(zip(d.names, m.featureImportances.toArray().tolist(), strict=True)) for k, m in models.items()}
+        fitted = make(classes).fit(_features(d, data, id, k, label, weights))
+        models[k] = after(fitted, classes) if after else fitted
+    imp = {k: dict(zip(d.names, (m.importance if after else m.featureImportances.toArray()).tolist(), strict=True)) for k, m in models.items()}
     return Trees(models, d, id, labels, imp)
 
 
 def rpart(formula: str, data: Frame, id: str, weights: str | None = None, split: str = "gini", minsplit: int = 20, minbucket: int | None = None, maxdepth: int = 30, cp: float = 0.01, nbins: int = 100) -> Trees:  # noqa: A002
-    """Decision tree. Spark has no cost-complexity pruning: cp is the least gain of a split; surrogates don't exist."""
+    """Decision tree of Spark's, cut back by cost complexity (cp) and minsplit; surrogates don't exist."""
 
     def make(classes: bool):
         from pyspark.ml.classification import DecisionTreeClassifier
         from pyspark.ml.regression import DecisionTreeRegressor
 
-        own = {"maxDepth": min(maxdepth, 30), "maxBins": nbins, "minInstancesPerNode": minbucket or max(1, round(minsplit / 3)), "minInfoGain": cp if classes else 0.0} | ({"weightCol": "_w"} if weights else {})
+        own = {"maxDepth": min(maxdepth, 30), "maxBins": nbins, "minInstancesPerNode": minbucket or max(1, round(minsplit / 3))} | ({"weightCol": "_w"} if weights else {})
         return DecisionTreeClassifier(impurity={"gini": "gini", "entropy": "entropy", "information": "entropy"}[split], **own) if classes else DecisionTreeRegressor(**own)
 
-    return _trees(formula, data, id, make, weights)
+    ship(data.base.sparkSession)
+    return _trees(formula, data, id, make, weights, lambda m, classes: prune(_nodes(m, classes), cp, minsplit))
 
 
-def random_forest(formula: str, data: Frame, id: str, ntree: int = 100, mtry: int | None = None, maxdepth: int = 3, minsplit: int = 20, minbucket: int | None = None, nbins: int = 100, seed: int = 0) -> Trees:  # noqa: A002
-    """Random forest; importance is the decrease of impurity (Spark keeps no out-of-bag rows)."""
+def random_forest(formula: str, data: Frame, id: str, ntree: int = 100, mtry: int | None = None, maxdepth: int = 3, minsplit: int = 20, minbucket: int | None = None, nbins: int = 100, seed: int = 0, importance: bool = False, nperm: int = 1) -> Trees:  # noqa: A002
+    """Random forest. Its importance is the decrease of impurity; with importance=True also, as `permuted`, by how much the error grows when a
+    column's values change places: Spark keeps no out-of-bag rows, so a second forest is fitted without a fifth of the rows, which judge."""
 
     def make(classes: bool):
         from pyspark.ml.classification import RandomForestClassifier
@@ -277,7 +390,35 @@ def random_forest(formula: str, data: Frame, id: str, ntree: int = 100, mtry: in
         kind = RandomForestClassifier if classes else RandomForestRegressor
         return kind(numTrees=ntree, maxDepth=maxdepth, maxBins=nbins, minInstancesPerNode=minbucket or max(1, round(minsplit / 3)), featureSubsetStrategy=str(mtry) if mtry else "auto", seed=seed)
 
-    return _trees(formula, data, id, make)
+    out = _trees(formula, data, id, make)
+    if importance:
+        out.permuted = {k: _permuted(out, data, k, make, nperm, seed) for k in out.models}
+    return out
+
+
+def _permuted(t: Trees, data: Frame, key: tuple, make, nperm: int, seed: int) -> dict[str, float]:
+    from pyspark.ml.functions import array_to_vector
+
+    classes = t.labels is not None
+    label = (lambda o: F.array_position(F.array(*[F.lit(v) for v in t.labels]), o.dep.cast("string")) - 1) if classes else (lambda o: o.dep)
+    rows = _features(t.design, data, t.id, key, label).drop("features")
+    fifth = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(5)) == 0
+    held, _ = number_rows(rows.filter(fifth))
+    model = make(classes).fit(rows.filter(~fifth).withColumn("features", array_to_vector("_x")))
+
+    def error(d: DataFrame) -> float:
+        wrong = (F.col("prediction") != F.col("label")).cast("double") if classes else (F.col("prediction") - F.col("label")) ** 2
+        return model.transform(d.withColumn("features", array_to_vector("_x"))).agg(F.avg(wrong)).first()[0] or 0.0
+
+    base, out = error(held), {}
+    for j, name in enumerate(t.design.names):
+        more = []
+        for r in range(nperm):
+            other, _ = number_rows(held.select(F.col("_x")[j].alias("_v")).orderBy(F.rand(seed + r)))
+            x = F.transform("_x", lambda v, i, j=j: F.when(i == j, F.col("_v")).otherwise(v))
+            more.append(error(held.join(other, "_row").withColumn("_x", x)) - base)
+        out[name] = float(np.mean(more))
+    return out
 
 
 # ------------------------------------------------------------------ support vectors
@@ -294,6 +435,7 @@ class Svm:
     features: object
     labels: list | None
     group: tuple = ()
+    tuning: pd.DataFrame | None = None  #: mean and deviation of the error of each setting tried
 
     def predict(self, newdata: Frame | None = None, id: str | None = None) -> Frame:  # noqa: A002
         """Of the rows of this model's group."""
@@ -341,9 +483,40 @@ def _svm_rows(d, features, frame: Frame, id_: str | None, label=None, group: tup
     return src.withColumn("f", lift("x")).drop("x")
 
 
-def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "linear", degree: int = 3, gamma: float | None = None, coef0: float = 1.0, lambda_: float = 0.01, epsilon: float = 0.1, class_weight: dict | None = None, max_iter: int = 100, init_stepsize: float = 1.0, decay: float = 0.9, tolerance: float = 1e-6, n_components: int = 100, seed: int = 0) -> Svm | SvmGroups:  # noqa: A002
+def _tuned(formula: str, data: Frame, tried: dict[str, list], cross: int, seed: int, given: dict) -> Svm:
+    from tarn.models.resample import folds
+
+    n = max(map(len, tried.values()))
+    grid = [{k: v[i % len(v)] for k, v in tried.items()} for i in range(n)]
+    parts, errors = folds(data, cross, True, seed), np.zeros((n, cross))
+    for j, (a, b) in enumerate(parts):
+        for i, g in enumerate(grid):
+            m = svm(formula, a, **given, **g)
+            if isinstance(m, SvmGroups):
+                raise ValueError("settings are tried without groups")
+            dep = m.design.over(b).dep
+            y = dep.cast("double") if m.type == "regression" else F.lit(1.0) if m.labels is None else F.when(dep == F.lit(m.labels[1]), 1.0).otherwise(-1.0)
+            rows = _svm_rows(m.design.over(b), m.features, b, None, y).filter("y IS NOT NULL")
+            score = F.aggregate(F.zip_with("f", F.array(*[F.lit(float(v)) for v in m.coef]), lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+            wrong = (score - F.col("y")) ** 2 if m.type == "regression" else ((score >= 0) != (F.col("y") > 0)).cast("double")
+            errors[i, j] = rows.agg(F.avg(wrong)).first()[0] or 0.0
+    best = grid[int(errors.mean(axis=1).argmin())]
+    out = svm(formula, data, **given, **best)
+    out.tuning = pd.DataFrame(grid).assign(avg=errors.mean(axis=1), std=errors.std(axis=1, ddof=1) if cross > 1 else 0.0)
+    return out
+
+
+def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "linear", degree: int = 3, gamma: float | None = None, coef0: float = 1.0, lambda_: float = 0.01, epsilon: float = 0.1, class_weight: dict | None = None, max_iter: int = 100, init_stepsize: float = 1.0, decay: float = 0.9, tolerance: float = 1e-6, n_components: int = 100, seed: int = 0, norm: str = "L2", cross: int = 10) -> Svm | SvmGroups:  # noqa: A002
     """Hinge loss, epsilon-insensitive loss, or novelty detection, by subgradient steps: each is one aggregate over the rows.
-    Gaussian kernels use random Fourier features, polynomial ones random products. With groups: a model for each."""
+    Gaussian kernels use random Fourier features, polynomial ones random products. With groups: a model for each. norm: the penalty, L2 or L1.
+    Lists for lambda_, epsilon, max_iter, init_stepsize or decay (recycled to the longest) are tried by cross-validation over
+    `cross` folds; the model is that of the best, by the share of wrong classes or the mean square."""
+    if norm not in ("L1", "L2"):
+        raise ValueError("norm is L1 or L2")
+    tried = {k: list(v) for k, v in {"lambda_": lambda_, "epsilon": epsilon, "max_iter": max_iter, "init_stepsize": init_stepsize, "decay": decay}.items() if isinstance(v, (list, tuple))}
+    if tried:
+        fixed = {k: v for k, v in {"lambda_": lambda_, "epsilon": epsilon, "max_iter": max_iter, "init_stepsize": init_stepsize, "decay": decay}.items() if k not in tried}
+        return _tuned(formula, data, tried, cross, seed, {"type": type, "kernel": kernel, "degree": degree, "gamma": gamma, "coef0": coef0, "class_weight": class_weight, "tolerance": tolerance, "n_components": n_components, "seed": seed, "norm": norm} | fixed)
     d = design(formula if type != "one-class" else f"1{formula}" if formula.strip().startswith("~") else formula, data)
     rng, p = np.random.default_rng(seed), len(d.names)
     features = None
@@ -366,7 +539,7 @@ def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "
     def fit(group: tuple) -> Svm:
         rows = keep(_svm_rows(d, features, data, None, y, group).filter("y IS NOT NULL"))
         size = p if features is None else n_components + 1
-        w, step, last, loss, norm = np.zeros(size), init_stepsize, None, 0.0, 0.0
+        w, step, last, loss, length = np.zeros(size), init_stepsize, None, 0.0, 0.0
         weight = F.when(F.col("y") > 0, float((class_weight or {}).get(1, 1))).otherwise(float((class_weight or {}).get(-1, 1)))
         for it in range(1, max_iter + 1):
             score = F.aggregate(F.zip_with("f", F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a)
@@ -378,15 +551,15 @@ def svm(formula: str, data: Frame, type: str = "classification", kernel: str = "
                 m = F.col("y") * F.col("_s")
                 g, lo = F.when(m < 1, -F.col("y") * weight).otherwise(0.0), F.greatest(1 - m, F.lit(0.0)) * weight
             got = r.withColumn("_g", g).withColumn("_l", lo).agg(F.avg("_l"), *[F.avg(F.col("f")[k] * F.col("_g")) for k in range(size)]).first()
-            grad = np.array(got[1:], dtype=float) + lambda_ * w
-            loss, norm = got[0] + lambda_ / 2 * float(w @ w), float(np.linalg.norm(grad))
+            grad = np.array(got[1:], dtype=float) + lambda_ * (w if norm == "L2" else np.sign(w))
+            loss, length = got[0] + lambda_ * (float(w @ w) / 2 if norm == "L2" else float(np.abs(w).sum())), float(np.linalg.norm(grad))
             if last is not None and abs(last - loss) < tolerance * max(abs(last), 1e-12):
                 break
             if last is not None and loss > last:
                 step *= decay
             last = loss
-            w = w - step * grad / max(norm, 1.0)
-        return Svm(w, loss, norm, it, d, type, features, labels, group)
+            w = w - step * grad / max(length, 1.0)
+        return Svm(w, loss, length, it, d, type, features, labels, group)
 
     if not d.groups:
         return fit(())

@@ -36,7 +36,7 @@ def sample(x: Frame, size: int, replace: bool = False, seed: int = 0) -> Frame:
         if out.count() < size:
             raise ValueError("the sample is larger than the frame")
         return Frame(out, key=x.key)
-    numbered, total = _numbered(df)
+    numbered, total = number_rows(df)
     if not total:
         raise ValueError("the frame has no rows")
     spark = df.sparkSession
@@ -45,7 +45,7 @@ def sample(x: Frame, size: int, replace: bool = False, seed: int = 0) -> Frame:
     return Frame(keep(out.select(*df.columns)), key=x.key)
 
 
-def _numbered(df):
+def number_rows(df):
     """(df stored with the gapless number `_row` from 0, rows): numbers are those within a partition and the counts of those before."""
     rows = keep(df.withColumn("_at", F.monotonically_increasing_id()))
     parts = [(r.p, r.n) for r in rows.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()]  # one row a partition
@@ -60,5 +60,5 @@ def _numbered(df):
 def indexed(x: Frame, random: bool = True, seed: int = 0, name: str = "row_num") -> Frame:
     """The rows with a gapless number from 1, in random order or that of the frame. The order comes from a distributed sort."""
     df = x.df.orderBy(F.rand(seed)) if random else x.df
-    out, _ = _numbered(df)
+    out, _ = number_rows(df)
     return Frame(out.withColumn(name, F.col("_row") + 1).drop("_row"), key=x.key)

@@ -106,7 +106,24 @@ def _(t):
     return table(x, [(ref, p(b["(Intercept)"]))] + [(o, p(b["(Intercept)"] + b[f"l_linestatus{o}"])) for o in others], "level string, p double")
 
 
-@query("logit_coef")
+# Newton's steps for three coefficients, each system solved by Cramer's rule
+_NEWTON = """
+WITH RECURSIVE d AS (SELECT l_discount AS u, l_tax AS v, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END AS y FROM lineitem),
+it(i, a, b, c) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1,
+    a + (r * (suu * svv - suv * suv) - su * (ru * svv - suv * rv) + sv * (ru * suv - suu * rv)) / det,
+    b + (s * (ru * svv - suv * rv) - r * (su * svv - suv * sv) + sv * (su * rv - ru * sv)) / det,
+    c + (s * (suu * rv - ru * suv) - su * (su * rv - ru * sv) + r * (su * suv - suu * sv)) / det
+  FROM (SELECT *, s * (suu * svv - suv * suv) - su * (su * svv - suv * sv) + sv * (su * suv - suu * sv) AS det FROM (
+    SELECT i, a, b, c, sum(w) AS s, sum(w * u) AS su, sum(w * v) AS sv, sum(w * u * u) AS suu, sum(w * u * v) AS suv, sum(w * v * v) AS svv, sum(y - p) AS r, sum((y - p) * u) AS ru, sum((y - p) * v) AS rv
+    FROM (SELECT *, p * (1 - p) AS w FROM (SELECT i, a, b, c, u, v, y, 1 / (1 + exp(-a - b * u - c * v)) AS p FROM it, d WHERE i < 12)) GROUP BY i, a, b, c)))
+SELECT '(Intercept)' AS name, round(a, 6) + 0 AS value FROM it WHERE i = 12 UNION ALL SELECT 'l_discount', round(b, 6) + 0 FROM it WHERE i = 12 UNION ALL SELECT 'l_tax', round(c, 6) + 0 FROM it WHERE i = 12
+"""
+
+
+@query("logit_coef", _NEWTON)
 def _(t):
     x = t("lineitem")
     return coefs(x, regression.glm("l_quantity > 25 ~ l_discount + l_tax", x, "binomial"))
@@ -120,7 +137,13 @@ def _(t):
     return table(x, [(ref, round(float(np.exp(b["(Intercept)"])), 6))] + [(o, round(float(np.exp(b["(Intercept)"] + b[f"l_returnflag{o}"])), 6)) for o in others], "level string, mean double")
 
 
-@query("gamma_coef")
+@query("gamma_coef", """
+WITH RECURSIVE it(i, a, b) AS (
+  SELECT 0, ln(avg(p_retailprice)), 0.0::DOUBLE FROM part
+  UNION ALL
+  SELECT i + 1, regr_intercept(z, x), regr_slope(z, x) FROM (SELECT i, p_size AS x, a + b * p_size + p_retailprice / exp(a + b * p_size) - 1 AS z FROM it, part WHERE i < 25) GROUP BY i)
+SELECT '(Intercept)' AS name, round(a, 6) + 0 AS value FROM it WHERE i = 25 UNION ALL SELECT 'p_size', round(b, 6) + 0 FROM it WHERE i = 25
+""")
 def _(t):
     x = t("part")
     return coefs(x, regression.glm("p_retailprice ~ p_size", x, "gamma", "log"))
@@ -169,6 +192,24 @@ def _(t):
     return summary(t("lineitem"), ["l_linestatus"], ["l_returnflag"]).df.select("group_by_value", "target_column", "row_count", "distinct_values")
 
 
+@query("summary_text", "SELECT 'c_mktsegment' AS target_column, 2 AS column_number, count(*) AS row_count, count(DISTINCT c_mktsegment) AS distinct_values, 0 AS missing_values, CAST(min(length(c_mktsegment)) AS DOUBLE) AS min, CAST(max(length(c_mktsegment)) AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean FROM customer UNION ALL SELECT 'c_acctbal', 1, count(*), count(DISTINCT c_acctbal), count(*) FILTER (c_acctbal IS NULL), min(c_acctbal), max(c_acctbal), round(avg(c_acctbal), 6) FROM customer")
+def _(t):
+    d = summary(t("customer"), ["c_acctbal", "c_mktsegment"]).df
+    return d.select("target_column", "column_number", "row_count", "distinct_values", "missing_values", "min", "max", F.round("mean", 6).alias("mean"))
+
+
+@query("summary_quantiles", "SELECT l_returnflag AS group_by_value, quantile_cont(l_extendedprice, 0.25) AS first_quartile, quantile_cont(l_extendedprice, 0.75) AS third_quartile, quantile_cont(l_extendedprice, 0.1) AS tenth FROM lineitem GROUP BY 1")
+def _(t):
+    d = summary(t("lineitem"), ["l_extendedprice"], ["l_returnflag"], ntile=[0.1, 0.9]).df
+    return d.select("group_by_value", "first_quartile", "third_quartile", F.col("quantile_array")[0].alias("tenth"))
+
+
+@query("summary_frequent", "SELECT l_returnflag AS group_by_value, (SELECT string_agg(concat(v, ':', n), ',' ORDER BY n DESC, v) FROM (SELECT CAST(l_linenumber AS VARCHAR) AS v, count(*) AS n FROM lineitem b WHERE b.l_returnflag = a.l_returnflag GROUP BY 1 ORDER BY n DESC, v LIMIT 3)) AS top FROM lineitem a GROUP BY 1")
+def _(t):
+    d = summary(t("lineitem"), ["l_linenumber"], ["l_returnflag"], n_mfv=3).df
+    return d.select("group_by_value", F.array_join(F.zip_with("most_frequent_values", "mfv_frequencies", lambda v, n: F.concat_ws(":", v, n.cast("string"))), ",").alias("top"))
+
+
 @query("lda_topics")
 def _(t):
     x = t("documents")
@@ -197,7 +238,11 @@ def _(t):
     return table(x, [(n, round(float(v), 6)) for n, v in zip(m.design.names, m.coef, strict=True)], "name string, value double")
 
 
-@query("arima_daily")
+@query("arima_daily", """
+WITH y AS (SELECT CAST(ts AS DATE) AS d, sum(value) AS v FROM events GROUP BY 1),
+f AS (SELECT regr_slope(v, b) AS p, regr_intercept(v, b) / (1 - regr_slope(v, b)) AS m FROM (SELECT v, lag(v) OVER (ORDER BY d) AS b FROM y) WHERE b IS NOT NULL)
+SELECT CAST(h AS INTEGER) AS step, round(m + p ** h * (arg_max(v, d) - m), 4) AS value FROM y, f, range(1, 6) r(h) GROUP BY h, p, m
+""")
 def _(t):
     x = t("events")
     y = x.assign(day=S.to_date(x["ts"]))

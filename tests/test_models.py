@@ -174,3 +174,50 @@ def test_likelihoods(data):
     holes = Frame(g.base.withColumn("a", g.base.a * 1).selectExpr("CASE WHEN a > 0.5 THEN NULL ELSE a END AS a", "w"))
     m = regression.glm("w ~ a", holes, "gamma", "log")
     assert m.skipped == int((q.a > 0.5).sum()) and m.n + m.skipped == len(q)
+
+
+@pytest.mark.parametrize("order", [(1, 0, 0), (2, 0, 1), (0, 1, 2), (1, 1, 1)])
+def test_arima_in_chunks_is_that_of_the_whole(spark, monkeypatch, order):
+    rng = np.random.default_rng(2)
+    e = rng.normal(size=400)
+    x = np.zeros(400)
+    for t in range(1, 400):
+        x[t] = 0.5 * x[t - 1] + e[t] + 0.3 * e[t - 1]
+    x = (np.cumsum(x) if order[1] else x) + 4
+    whole = arima.fit(x, order)
+    f = Frame(spark.createDataFrame([(int(t), float(v)) for t, v in rng.permutation(list(enumerate(x)))], "t long, v double").repartition(4))
+    monkeypatch.setattr(arima, "CHUNK", 50)
+    m = arima.arima(f["v"], f["t"], order)
+    assert m.chunks is not None and np.allclose(list(m.coef.values()), list(whole.coef.values()), atol=1e-5) and np.isclose(m.sigma2, whole.sigma2)
+    assert np.allclose(m.forecast(5).forecast_value, whole.forecast(5).forecast_value, atol=1e-4)
+    got = m.residuals().df.orderBy("point").toPandas()
+    assert got.point.tolist() == list(range(order[0] + order[1], 400)) and np.allclose(got.residual, whole.residuals(), atol=1e-3)
+
+
+def test_svm_tries_settings_and_norms(data):
+    p, f = data
+    m = learners.svm("z ~ a", f, lambda_=[0.01, 50.0], max_iter=8, cross=3)
+    assert m.tuning.shape == (2, 3) and m.tuning.avg[0] == m.tuning.avg.min()
+    sparse = learners.svm("y ~ a + b", f, type="regression", norm="L1", lambda_=5.0, max_iter=30)
+    dense = learners.svm("y ~ a + b", f, type="regression", norm="L1", lambda_=0.001, max_iter=30)
+    assert np.abs(sparse.coef).sum() < np.abs(dense.coef).sum()
+    with pytest.raises(ValueError, match="norm"):
+        learners.svm("z ~ a", f, norm="L3")
+    with pytest.raises(TypeError):
+        learners.svm("z ~ a", f, step=1)
+
+
+def test_permuted_importance(data):
+    p, f = data
+    t = learners.random_forest("y ~ a + b + id", f, "id", ntree=10, maxdepth=5, importance=True)
+    assert set(t.permuted[()]) == set(t.design.names) and t.permuted[()]["a"] == max(t.permuted[()].values())
+
+
+def test_lda_assignments(spark):
+    rows = [(i, (["sea", "ship", "wave", "sail"] if i % 2 else ["bread", "oven", "flour", "salt"]) * 6) for i in range(20)]
+    m = learners.lda(Frame(spark.createDataFrame(rows, "id long, words array<string>")), "id", "words", 2, 0.5, 0.5, iter_num=30)
+    a = m.assignments().df.toPandas()
+    assert len(a) == 80 and a.n.sum() == 480 and a.groupby("word").topic.nunique().max() == 1
+    assert a.topic[a.word == "sea"].iloc[0] == a.topic[a.word == "ship"].iloc[0] != a.topic[a.word == "oven"].iloc[0]
+    assert m.topic_sums().df.agg({"n": "sum"}).first()[0] == 480 and m.document_sums().df.count() == 20
+    assert m.perplexity() < 8.5
