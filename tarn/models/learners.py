@@ -415,7 +415,7 @@ def _permuted(t: Trees, data: Frame, key: tuple, make, nperm: int, seed: int) ->
         more = []
         for r in range(nperm):
             other, _ = number_rows(held.select(F.col("_x")[j].alias("_v")).orderBy(F.rand(seed + r)))
-            x = F.transform("_x", lambda v, i, j=j: F.when(i == j, F.col("_v")).otherwise(v))
+            x = F.concat(F.slice("_x", 1, j), F.array("_v"), F.slice("_x", j + 2, len(t.design.names)))
             more.append(error(held.join(other, "_row").withColumn("_x", x)) - base)
         out[name] = float(np.mean(more))
     return out
