@@ -30,7 +30,7 @@ from tarn.llm import common as C
 CACHE_WORDS = 1_000_000  #: bound of a worker's cache of encoded words
 CACHE_BYTES = 64_000_000  #: bound of the bytes of the words that it holds
 CHUNK = 1_000_000  #: bytes of text that a task encodes at a time
-SLICE, ROWS, STEPS = 400_000, 4_000_000, 48  #: bytes of words in a query (a longer word is one of its own), rows and steps of its recursion
+SLICE, ROWS, STEPS = 200_000, 2_000_000, 48  #: bytes of words in a query (a longer word is one of its own), rows and steps of its recursion
 _WORKER: dict = {}
 
 
@@ -143,14 +143,15 @@ class _Cache:
         return self.values.nbytes + self.held
 
     def _add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        order = np.argsort(keys, kind="stable")
+        keys, rows = keys[order], rows[order]
         for level in (1, 0):
-            keys, rows = np.concatenate([self.keys[level], keys]), np.concatenate([self.rows[level], rows])
-            order = np.argsort(keys, kind="stable")
-            self.keys[level], self.rows[level] = keys[order], rows[order]
+            at = np.searchsorted(self.keys[level], keys)
+            keys, rows = np.insert(self.keys[level], at, keys), np.insert(self.rows[level], at, rows)
+            self.keys[level], self.rows[level] = keys, rows
             if level == 0 or len(keys) < 65536:
                 break
-            keys, rows = self.keys[1], self.rows[1]
-            self.keys[1], self.rows[1] = keys[:0], rows[:0]
+            self.keys[1], self.rows[1] = keys[:0].copy(), rows[:0].copy()
 
     def values_of(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
         n = e - s
