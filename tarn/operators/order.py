@@ -62,3 +62,28 @@ def indexed(x: Frame, random: bool = True, seed: int = 0, name: str = "row_num")
     df = x.df.orderBy(F.rand(seed)) if random else x.df
     out, _ = number_rows(df)
     return Frame(out.withColumn(name, F.col("_row") + 1).drop("_row"), key=x.key)
+
+
+def in_order(x: Frame) -> bool:
+    """Whether the values of the first column, nulls aside, never fall over the rows as the frame has them. Tasks compare the rows
+    they hold; the driver gets a row from each."""
+    df = x.df.select(F.col(f"`{x.names[0]}`").alias("v"))
+
+    def part(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        rising, first, last = True, None, None
+        for b in batches:
+            v = b.column(0).drop_null()
+            if len(v):
+                over = pa.concat_arrays([last, v]) if last is not None else v
+                rising = rising and pc.all(pc.greater_equal(over[1:], over[:-1]), min_count=0).as_py()
+                first, last = v[:1] if first is None else first, v[-1:]
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), first, last, pa.array([rising])], ["part", "first", "last", "rising"])
+
+    kind = df.schema[0].dataType.simpleString()
+    parts = sorted(df.mapInArrow(part, f"part int, first {kind}, last {kind}, rising boolean").collect(), key=lambda r: r.part)
+    return all(r.rising for r in parts) and all(a.last <= b.first for a, b in zip(parts, parts[1:], strict=False))

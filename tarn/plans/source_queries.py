@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tarn.frame import Frame
 from tarn.functions import aggregates as A
 from tarn.functions import scalar as S
-from tarn.operators.order import indexed, sample, sort
+from tarn.operators.order import in_order, indexed, sample, sort
 from tarn.plans.queries import QUERIES, SQL
 from tarn.sources import catalog as K
 
@@ -137,8 +137,9 @@ def _(c, d):
 @trip("sort_random", "SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS shuffled FROM orders")
 def _(c, d):
     x = K.wrap(f"{d}/orders.parquet", c)["o_orderkey"]
-    got = K.lookat(sort(x, False, None, seed=3), "all").tolist()
-    return [(len(got), sum(got), got != sorted(got))], "n long, keys long, shuffled boolean"
+    got = indexed(sort(x, False, None, seed=3), random=False)  # stored, with the place of each row
+    n, keys = got.df.agg(F.count("*"), F.sum("o_orderkey")).first()
+    return [(n, keys, not in_order(sort(got, False, "row_num")))], "n long, keys long, shuffled boolean"
 
 
 @trip("limit_rows", "SELECT 9 AS n, 9 AS known, (SELECT count(*) FROM part) AS every")

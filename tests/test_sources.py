@@ -10,7 +10,8 @@ from tarn.frame import Frame
 from tarn.functions import scalar as S
 from tarn.models import learners
 from tarn.operators.linalg import pca
-from tarn.operators.order import sample
+from tarn.operators.order import in_order, sample, sort
+from tarn.plans.queries import QUERIES
 from tarn.sources import catalog as K
 
 
@@ -88,3 +89,17 @@ def test_pca_is_numpys(spark):
     assert np.allclose(got["sdev"] ** 2, np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1])
     assert np.allclose(np.abs(np.linalg.det(got["rotation"])), 1)
     assert np.allclose(pca(f, scaled=False)["sdev"] ** 2, np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1])
+
+
+def test_random_order_stays_on_the_executors(spark, monkeypatch):
+    import tarn.plans.source_queries  # noqa: F401  registers the query
+
+    def refuse(*a):
+        raise AssertionError("the rows of a table came to the driver")
+
+    monkeypatch.setattr(K, "lookat", refuse)
+    assert QUERIES["sort_random"](spark, "/root/testdata/sf0.001").collect()[0].shuffled
+    up = Frame(spark.range(1000).selectExpr("IF(id % 7 = 0, NULL, id) AS v", "id % 10 AS k", "CAST(id AS STRING) AS t", "id"))
+    assert in_order(sort(up, False, "id")[["v"]]) and in_order(sort(up, False, "t")[["t"]]) and in_order(up[up["id"] < 0][["v"]])
+    assert in_order(sort(up, False, "k")[["k"]]) and not in_order(sort(up, True, "id")[["v"]]) and not in_order(sort(up, False, "id")[["k"]])
+    assert not in_order(Frame(spark.createDataFrame([(5,), (6,), (1,), (2,)], "v int").coalesce(1).unionByName(spark.createDataFrame([(7,)], "v int")))[["v"]])
