@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.frame import Frame
+from tarn.models import topics
 from tarn.operators.arrays import expand
 from tarn.operators.order import number_rows
 from tarn.plans.formula import design
@@ -126,66 +127,17 @@ def kmeans(x: Frame, centers, key: str, max_iter: int = 10, nstart: int = 1, dis
 # ------------------------------------------------------------------ topics
 
 
-@dataclass
-class Lda:
-    model: object
-    vocabulary: list[str]
-    counts: DataFrame
-    docid: str
-
-    def topics(self, words: int = 10) -> pd.DataFrame:
-        t = self.model.describeTopics(words).toPandas()
-        t["words"] = [[self.vocabulary[i] for i in r] for r in t.termIndices]
-        return t
-
-    def predict(self, data: Frame, docid: str, words: str) -> Frame:
-        rows = _term_counts(data, docid, words, self.vocabulary)[0]
-        return Frame(self.model.transform(rows).select(docid, F.col("topicDistribution").alias("topics")))
-
-    def assignments(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> Frame:
-        """The most probable topic (from 1) of each distinct word of each document, and how often the word is there: share of the topic in
-        the document times share of the word in the topic, of ties the smaller."""
-        from pyspark.ml.functions import vector_to_array
-
-        rows, name = (self.counts, self.docid) if data is None else (_term_counts(data, docid, words, self.vocabulary)[0], docid)
-        spark = rows.sparkSession
-        m = self.model.topicsMatrix().toArray()
-        shares = spark.createDataFrame([(w, v.tolist()) for w, v in zip(self.vocabulary, m / m.sum(axis=0), strict=True)], "word string, _w array<double>")
-
-        tokens = self.model.transform(rows).select(F.col(name), vector_to_array("topicDistribution").alias("_t"), F.explode("_words").alias("word"))
-        fit = F.zip_with("_t", "_w", lambda a, b: a * b)
-        named = tokens.join(shares, "word").select(name, "word", F.array_position(fit, F.array_max(fit)).cast("int").alias("topic"))
-        return Frame(named.groupBy(name, "word", "topic").agg(F.count("*").alias("n")))
-
-    def document_sums(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> Frame:
-        """Words of each document by topic."""
-        name = self.docid if data is None else docid
-        return Frame(self.assignments(data, docid, words).df.groupBy(name, "topic").agg(F.sum("n").alias("n")))
-
-    def topic_sums(self) -> Frame:
-        return Frame(self.assignments().df.groupBy("topic").agg(F.sum("n").alias("n")))
-
-    def perplexity(self, data: Frame | None = None, docid: str | None = None, words: str | None = None) -> float:
-        rows = self.counts if data is None else _term_counts(data, docid, words, self.vocabulary)[0]
-        return float(np.exp(self.model.logPerplexity(rows)))
-
-
-def _term_counts(data: Frame, docid: str, words: str, vocabulary=None):
-    from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-
-    rows = data.df.select(docid, words)
-    cv = CountVectorizerModel.from_vocabulary(vocabulary, words, "features") if vocabulary else CountVectorizer(inputCol=words, outputCol="features", vocabSize=2**31 - 1).fit(rows)  # every word
-    return cv.transform(rows).select(docid, F.col(words).alias("_words"), "features"), cv.vocabulary
+def _term_counts(data: Frame, docid: str, words: str):
+    """Stored counts of words by document, in blocks, and the vocabulary: every word."""
+    blocks = topics.blocks_of(data, docid, words)
+    return blocks, topics.vocabulary_of(blocks)
 
 
 def lda(data: Frame, docid: str, words: str, topic_num: int, alpha: float, beta: float, iter_num: int = 20, nstart: int = 1, best: bool = True, seed: int = 0):
-    """Topic model by variational inference (no assignments of single tokens). The best of nstart by perplexity, or all."""
-    from pyspark.ml.clustering import LDA
-
-    rows, vocabulary = _term_counts(data, docid, words)
-    rows = keep(rows)
-    fits = [Lda(LDA(k=topic_num, docConcentration=[alpha], topicConcentration=beta, maxIter=iter_num, optimizer="em" if alpha > 1 and beta > 1 else "online", subsamplingRate=1.0, seed=seed + r).fit(rows), vocabulary, rows, docid) for r in range(nstart)]
-    return min(fits, key=lambda f: f.perplexity()) if best else fits
+    """Topic model by expectation maximisation (no assignments of single tokens). The best of nstart by perplexity, or all."""
+    blocks, vocabulary = _term_counts(data, docid, words)
+    fits = [topics.fit(blocks, vocabulary, docid, topic_num, alpha, beta, iter_num, seed + r) for r in range(nstart)]
+    return (fits[0] if nstart == 1 else min(fits, key=lambda f: f.perplexity())) if best else fits
 
 
 # ------------------------------------------------------------------ trees

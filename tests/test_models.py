@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from tarn.frame import Frame
-from tarn.models import arima, dist, inference, learners, regression
+from tarn.models import arima, dist, inference, learners, regression, topics
 from tarn.operators.linalg import crossprod
 from tarn.plans import queries as Q
 
@@ -221,3 +221,37 @@ def test_lda_assignments(spark):
     assert a.topic[a.word == "sea"].iloc[0] == a.topic[a.word == "ship"].iloc[0] != a.topic[a.word == "oven"].iloc[0]
     assert m.topic_sums().df.agg({"n": "sum"}).first()[0] == 480 and m.document_sums().df.count() == 20
     assert m.perplexity() < 8.5
+
+
+def test_lda_in_blocks_and_chunks(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizer
+
+    def refuse(*a):
+        raise AssertionError("a vocabulary came to the driver")
+
+    monkeypatch.setattr(CountVectorizer, "fit", refuse)
+    monkeypatch.setattr(topics, "TOKENS", 25)
+    monkeypatch.setattr(topics, "CHUNK", 3)
+    texts = [(["sea", "ship", "wave", "sail"] if i % 2 else ["bread", "oven", "flour", "salt"]) * 3 + ["and"] * (i % 4) for i in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(50, None), (51, []), (52, [None, "and", None]), (52, ["and"])]
+    f = Frame(spark.createDataFrame(rows, "id long, words array<string>"))
+    blocks, vocabulary = learners._term_counts(f, "id", "words")
+    assert len(vocabulary) == 9 and blocks.count() > 4
+    m = learners.lda(f, "id", "words", 2, 1.5, 1.2, iter_num=25)
+    got = {r.word: np.array(r.counts) for r in m.shares.collect()}
+    flat = [w for _, t in rows for w in t or [] if w]
+    assert set(got) == set(flat) and all(np.isclose(c.sum(), flat.count(w)) for w, c in got.items())
+    names = sorted(got)  # a plain step from where the fit ended leads back there
+    c, n = np.array([got[w] for w in names]), np.array([[(t or []).count(w) for w in names] for _, t in rows], dtype=float)
+    phi, theta = (c + 0.2) / (c.sum(axis=0) + 9 * 0.2), np.ones((len(rows), 2))
+    for _ in range(200):
+        g = theta[:, None, :] * phi[None]
+        g = g / g.sum(axis=2, keepdims=True) * n[:, :, None]
+        theta = g.sum(axis=1) + 0.5
+    assert np.allclose(g.sum(axis=0), c, atol=0.02)
+    mix = theta / theta.sum(axis=1, keepdims=True)
+    want = np.exp(-(n * np.log(mix @ phi.T)).sum() / n.sum())
+    assert np.isclose(m.perplexity(), want, rtol=1e-4) and np.isclose(m.perplexity(f, "id", "words"), want, rtol=1e-4)
+    p = m.predict(Frame(spark.createDataFrame([(1, ["sea", "unknown"]), (2, ["oven"] * 3), (3, ["unknown"])], "id long, words array<string>")), "id", "words").df
+    by = {r.id: r.topics.toArray() for r in p.collect()}
+    assert by[1].argmax() != by[2].argmax() and np.allclose(by[3], 0.5)
