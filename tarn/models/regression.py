@@ -9,7 +9,7 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from tarn.frame import Col, Frame
 from tarn.models import dist
 from tarn.operators.linalg import gram, key_text, pinv
 from tarn.plans.formula import Design, design
+from tarn.sources.catalog import drop_kept, keep
 
 
 @dataclass
@@ -132,6 +133,8 @@ _LINKS = {
 }
 _FAMILIES = {"gaussian": ("identity", lambda u: u * 0 + 1), "binomial": ("logit", lambda u: u * (1 - u)), "poisson": ("log", lambda u: u), "gamma": ("inverse", lambda u: u * u), "inverse_gaussian": ("sqr_inverse", lambda u: u * u * u)}
 _DISPERSED = ("gaussian", "gamma", "inverse_gaussian")
+REPEATED = 4  #: equal rows are fitted as one where there are, by estimate, so many of each on average
+SMALL = 1_000_000  #: numbers in a table of coefficients that is broadcast
 
 
 class _Cols:
@@ -187,6 +190,26 @@ def _log_likelihood(family: str, s: list[float], n: int) -> float:
     return -0.5 * (n * (math.log(2 * math.pi * s[0] / n) + 1) + 3 * s[1])
 
 
+def _cases(d: Design) -> tuple[DataFrame, dict[tuple, int]]:
+    """(stored rows g0.., x0.., y, n of the design without nulls; rows of each group with those that have nulls). Where rows repeat,
+    equal ones are one with their number n, so that the steps of a fit don't read the table again."""
+    keys, names = [d.cols[g] for g in d.groups], [f"g{i}" for i in range(len(d.groups))]
+    values = [f"x{i}" for i in range(len(d.names))] + ["y"]
+    rows = d.frame.source.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)], *[c.alias(n) for c, n in zip([*d.matrix, d.y], values, strict=True)])
+    used = F.lit(True)
+    for v in values:
+        used &= F.col(v).isNotNull() & ~F.isnan(v)  # as dropna has it
+    sizes = rows.groupBy(*names).agg(F.count("*").alias("n"), F.count(F.when(used, 1)).alias("used"), F.approx_count_distinct(F.when(used, F.xxhash64(*values))).alias("differ"))
+    whole, n, differ = {}, 0, 0
+    for r in sizes.toLocalIterator():
+        whole[tuple(r[: len(keys)])] = r["n"]
+        n, differ = n + r["used"], differ + r["differ"]
+    rows = rows.filter(used)
+    if REPEATED * differ <= n:
+        return keep(rows.groupBy(*names, *values).agg(F.count("*").alias("n"))), whole
+    return keep(rows.withColumn("n", F.lit(1))), whole
+
+
 def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None = None, na_action=None, max_iter: int = 100, tolerance: float = 1e-8):
     """Iteratively reweighted least squares; one grouped aggregate an iteration for all groups that haven't converged."""
     family = family.lower().replace("inverse.gaussian", "inverse_gaussian")
@@ -199,12 +222,10 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
     variance, (inverse, slope, forward) = _FAMILIES[family][1], _LINKS[link]
     x, y, p = d.matrix, d.y, len(d.names)
     keys = [d.cols[g] for g in d.groups]
-    src = d.frame.source.select(*[k.alias(f"g{i}") for i, k in enumerate(keys)], *[c.alias(f"x{i}") for i, c in enumerate(x)], y.alias("y"))
-    src = src.dropna(subset=[f"x{i}" for i in range(p)] + ["y"])
+    src, whole = _cases(d)
     xs, gs = [F.col(f"x{i}") for i in range(p)], [F.col(f"g{i}") for i in range(len(keys))]
     spark = src.sparkSession
     kinds = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(src.schema.fields[: len(keys)])] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
-    whole = {tuple(r[: len(keys)]): r["n"] for r in d.frame.source.groupBy(*[k.alias(f"g{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("n")).toLocalIterator()}
     beta: dict[tuple, np.ndarray] = {}
     state: dict[tuple, dict] = {}
     open_: set | None = None
@@ -215,8 +236,10 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
             eta = forward(u, _Cols)
         elif not keys:
             eta = sum((xs[i] * float(beta[()][i]) for i in range(1, p)), xs[0] * float(beta[()][0]))
-        else:  # a table of coefficients; groups that have converged drop out. Spark broadcasts it only if it is small
-            table = spark.createDataFrame([(*k, b.tolist()) for k, b in beta.items() if open_ is None or k in open_], kinds)
+        else:  # a table of coefficients; groups that have converged drop out. It is broadcast only if it is small
+            left = [(*k, b.tolist()) for k, b in beta.items() if open_ is None or k in open_]
+            table = spark.createDataFrame(left, kinds)
+            table = F.broadcast(table) if len(left) * (p + len(keys)) <= SMALL else table
             on = [c.eqNullSafe(F.col(f"k{i}")) for i, c in enumerate(gs)]
             rows = src.join(table, on).drop(*[f"k{i}" for i in range(len(keys))])
             eta = sum((xs[i] * F.col("_b")[i] for i in range(1, p)), xs[0] * F.col("_b")[0])
@@ -226,10 +249,11 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
         du = slope(F.col("_eta"), _Cols)
         v = variance(F.col("_u"))
         rows = rows.withColumn("_w", du * du / v).withColumn("_z", F.col("_eta") + (F.col("y") - F.col("_u")) / du)
-        sums = [F.sum(F.col("_w") * xs[i] * xs[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)] + [F.sum(F.col("_w") * xs[i] * F.col("_z")).alias(f"t{i}") for i in range(p)]
+        total = lambda c: F.sum(c * F.col("n"))  # noqa: E731  over equal rows
+        sums = [total(F.col("_w") * xs[i] * xs[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)] + [total(F.col("_w") * xs[i] * F.col("_z")).alias(f"t{i}") for i in range(p)]
         u_, y_ = F.col("_u"), F.col("y")
         terms = _likelihood(family, y_, u_)
-        got = rows.groupBy(*[f"g{i}" for i in range(len(keys))]).agg(F.count("*").alias("n"), F.sum((y_ - u_) * (y_ - u_) / v).alias("pearson"), *[F.sum(t).alias(f"l{i}") for i, t in enumerate(terms)], *sums)
+        got = rows.groupBy(*[f"g{i}" for i in range(len(keys))]).agg(F.sum("n").alias("n"), total((y_ - u_) * (y_ - u_) / v).alias("pearson"), *[total(t).alias(f"l{i}") for i, t in enumerate(terms)], *sums)
         moved = 0.0
         for r in got.toLocalIterator():
             key = tuple(r[f"g{i}"] for i in range(len(keys)))
@@ -253,6 +277,7 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
             break
     else:
         warnings.warn(f"{len(open_ if open_ is not None else beta)} model(s) did not converge in {max_iter} iterations", stacklevel=2)
+    drop_kept(src)
     fits = []
     for key, s in state.items():
         b, inv = beta[key], pinv(s["m"])

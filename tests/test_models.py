@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -255,3 +257,23 @@ def test_lda_in_blocks_and_chunks(spark, monkeypatch):
     p = m.predict(Frame(spark.createDataFrame([(1, ["sea", "unknown"]), (2, ["oven"] * 3), (3, ["unknown"])], "id long, words array<string>")), "id", "words").df
     by = {r.id: r.topics.toArray() for r in p.collect()}
     assert by[1].argmax() != by[2].argmax() and np.allclose(by[3], 0.5)
+
+
+@pytest.mark.parametrize("repeated", [0, 10**9])
+def test_glm_fits_equal_rows_as_one(spark, monkeypatch, repeated):
+    monkeypatch.setattr(regression, "REPEATED", repeated)
+    monkeypatch.setattr(regression, "SMALL", repeated)
+    rows = [(g, float(x), float(k % 5 + x)) for g in ("u", "v", None) for k in range(200 if g else 50) for x in (0, 1)] + [("u", None, 1.0), (None, 1.0, None), ("v", float("nan"), 2.0), ("w", None, 1.0)]
+    f = Frame(spark.createDataFrame(rows, "g string, x double, y double").repartition(4))
+    kept, whole = regression._cases(regression._prepared("y ~ x | g", f))
+    assert kept.count() == (30 if not repeated else 900) and kept.agg({"n": "sum"}).first()[0] == 900 and whole == {("u",): 401, ("v",): 401, (None,): 102 - 1, ("w",): 1}
+    for family, link in (("poisson", "log"), ("gamma", "log"), ("gaussian", "log")):
+        m = regression.glm("y + 1 ~ x | g", f, family, link)
+        assert [k.group for k in m] == [(None,), ("u",), ("v",)] and [(k.n, k.skipped) for k in m] == [(100, 1), (400, 1), (400, 1)]
+        for k in m:
+            assert np.allclose([np.exp(k.coef[0]), np.exp(k.coef.sum())], [3, 4])
+    one = regression.glm("y + 1 ~ x", f, "poisson")
+    y, u = np.array([r[2] + 1 for r in rows[:900]]), np.array([3 + r[1] for r in rows[:900]])
+    assert np.isclose(regression.log_lik(one)[0], sum(a * np.log(b) - b - math.lgamma(a + 1) for a, b in zip(y, u, strict=True)))
+    se = 1 / np.sqrt(450 * 3)
+    assert np.isclose(one.std_err[0], se)
