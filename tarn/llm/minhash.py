@@ -7,8 +7,8 @@ Documents with the same set become one class. Classes that share a band are cand
 1. each bucket's smallest class is its pivot, and all members are compared with it; then again with the member
    that has most links. Pairs whose sketches differ in too many bits (XOR population count) are left out, the
    others are confirmed on the full sets, and links are merged into components;
-2. larger buckets that still hold several components are dealt out in pairs of blocks of bounded size; a task compares
-   all sketches of its two blocks, confirms on the full sets, and returns a spanning forest only.
+2. larger buckets that still hold several components are dealt out in pairs of blocks of bounded size, where members of the bucket's
+   largest component meet only those outside it; a task compares all sketches of its two blocks, confirms on the full sets, and returns a spanning forest only.
 
 So no group is expanded into rows of pairs and none is gathered in one task. With 30 bands of 4 samples a pair at the limit
 of 0.85 (0.80) shares no band with probability 3e-10 (1.4e-7); the sketch limit lies six deviations of the
@@ -184,6 +184,28 @@ def _by_block(links):
     return run
 
 
+def _open(at: DataFrame) -> DataFrame:
+    """Of the members (id, key, comp): each bucket of several components (of two or three members, the pivots have seen all pairs), its
+    largest component, and how many blocks hold the members outside it (few) and in it (many)."""
+    one = at.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    own = one.groupBy("key").agg(F.sum("n").alias("m"), F.count("*").alias("_comps"), F.max(F.struct("n", "comp")).alias("_most")).filter("_comps > 1 AND m > 3")
+    own = own.select("key", "m", F.col("_most.comp").alias("most"), F.col("_most.n").alias("_n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    few, many, every = blocks(F.col("m") - F.col("_n")), blocks(F.col("_n")), blocks(F.col("m"))
+    apart = F.col("_n") * few + (F.col("m") - F.col("_n")) * (few + many) < F.col("m") * every
+    return own.select("key", "most", F.when(apart, few).otherwise(every).alias("few"), F.when(apart, many).otherwise(0).alias("many"))
+
+
+def _dealt(rest: DataFrame) -> DataFrame:
+    """A row for each pair of blocks (i, j) that a member of a bucket is in. Members of the largest component are linked already: their
+    blocks, numbered after the others, meet those of the others only, unless all of the bucket is dealt alike (many is 0)."""
+    of = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    main = (F.col("comp") == F.col("most")) & (F.col("many") > 0)
+    rest = rest.withColumn("block", F.when(main, F.col("few") + of(F.greatest(F.col("many"), F.lit(1)))).otherwise(of(F.col("few"))))
+    rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.when(main, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1)))
+    return rest.withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other"))
+
+
 def _linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, row, n_shingles, cls (a number of the row's set; null for empty ones) and comp (the least cls of its component)
     of every row of the stored table (doc_id, row, text)."""
@@ -208,10 +230,8 @@ def _linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     comp = C.components(links)
     # the rest, in pairs of blocks
     at = C.table(at.drop("comp", "links", "pivot").join(comp, "id", "left").select("id", "key", F.coalesce("comp", "id").alias("comp")), "members")
-    open_ = at.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("m")).filter("_a <> _b AND m > 3").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rest = at.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("id", "key", "comp", "block", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"))
-    rest = rest.join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
+    rest = at.join(_open(at), "key").join(reps.select("id", "bands", "sketch"), "id").join(sets, "id")
+    rest = _dealt(rest).select("id", "key", "comp", "block", "i", "j", "bands", "sketch", "members")
     found = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInPandas(_by_block(_block_links(percent)), "a long, b long")
     comp = C.components(links.unionByName(found))
     named = sig.select("doc_id", "row", "n_shingles", "set_key").join(reps.select("set_key", F.col("id").alias("cls")), "set_key", "left")

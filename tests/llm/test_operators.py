@@ -6,6 +6,7 @@ import html as _html
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -527,3 +528,21 @@ def test_sweep_deletes_what_isnt_read(spark):
     gone = a.inputFiles()
     common.sweep(spark, began, (b.filter("x > 1"),))
     assert b.count() == 4 and not os.path.exists(gone[0].removeprefix("file://"))
+
+
+def test_members_of_a_linked_group_meet_only_the_others(spark):
+    """Every pair of a bucket that isn't linked meets once, and the rows don't grow with the square of the linked group."""
+    rows = [(i, 1, 7 if i < 30 * minhash.BLOCK else i) for i in range(30 * minhash.BLOCK + 40)] + [(i, 2, i) for i in range(5)] + [(i, 3, 0) for i in range(9)]
+    at = spark.createDataFrame(rows, "id long, key long, comp long")
+    dealt = minhash._dealt(at.join(minhash._open(at), "key")).select("id", "key", "comp", "block", "i", "j").toPandas()
+    assert set(dealt.key) == {1, 2} and len(dealt) < 34 * minhash.BLOCK  # 31 rows a member before
+    met = Counter()
+    for (key, i, j), g in dealt.groupby(["key", "i", "j"]):
+        few, many = g[g.comp != 7], g[g.comp == 7]
+        for x in few.itertuples():
+            for y in few.itertuples():
+                if x.id < y.id and (i == j or x.block != y.block):
+                    met[key, x.id, y.id] += 1
+            for y in many.id[many.block != x.block].tolist() if i != j else many.id.tolist():
+                met[key, x.id, y] += 1
+    assert len(met) == 40 * 39 // 2 + 40 * 30 * minhash.BLOCK + 10 and set(met.values()) == {1}
