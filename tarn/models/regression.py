@@ -210,19 +210,34 @@ def _cases(d: Design) -> tuple[DataFrame, dict[tuple, int]]:
     return keep(rows.withColumn("n", F.lit(1))), whole
 
 
-def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None = None, na_action=None, max_iter: int = 100, tolerance: float = 1e-8):
-    """Iteratively reweighted least squares; one grouped aggregate an iteration for all groups that haven't converged."""
+def _link(family: str, link: str | None) -> tuple[str, str]:
     family = family.lower().replace("inverse.gaussian", "inverse_gaussian")
     if family == "multinomial":
         raise NotImplementedError("multinomial models aren't implemented")
-    link = {"1/mu^2": "sqr_inverse"}.get(link, link) or _FAMILIES[family][0]
-    if family == "gaussian" and link == "identity":
-        return lm(formula, data, na_action)
-    d = _prepared(formula, data, na_action)
+    return family, {"1/mu^2": "sqr_inverse"}.get(link, link) or _FAMILIES[family][0]
+
+
+def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None = None, na_action=None, max_iter: int = 100, tolerance: float = 1e-8):
+    """Iteratively reweighted least squares; one grouped aggregate an iteration for all groups that haven't converged."""
+    return glms(formula, data, [(family, link)], na_action, max_iter, tolerance)[0]
+
+
+def glms(formula: str, data: Frame, kinds: list[tuple[str, str | None]], na_action=None, max_iter: int = 100, tolerance: float = 1e-8) -> list:
+    """A model of the formula for each (family, link). The table is read and its design stored once for all of them."""
+    kinds = [_link(*k) for k in kinds]
+    least = ("gaussian", "identity")
+    d = _prepared(formula, data, na_action) if set(kinds) - {least} else None
+    src, whole = _cases(d) if d else (None, {})
+    out = [lm(formula, data, na_action) if k == least else _reweighted(d, src, whole, *k, max_iter, tolerance) for k in kinds]
+    if d:
+        drop_kept(src)
+    return out
+
+
+def _reweighted(d: Design, src: DataFrame, whole: dict[tuple, int], family: str, link: str, max_iter: int, tolerance: float):
+    """The fit of a family and link over the stored rows of the design."""
     variance, (inverse, slope, forward) = _FAMILIES[family][1], _LINKS[link]
-    x, y, p = d.matrix, d.y, len(d.names)
-    keys = [d.cols[g] for g in d.groups]
-    src, whole = _cases(d)
+    keys, p = d.groups, len(d.names)
     xs, gs = [F.col(f"x{i}") for i in range(p)], [F.col(f"g{i}") for i in range(len(keys))]
     spark = src.sparkSession
     kinds = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(src.schema.fields[: len(keys)])] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
@@ -276,8 +291,7 @@ def glm(formula: str, data: Frame, family: str = "gaussian", link: str | None =
         if not moved:
             break
     else:
-        warnings.warn(f"{len(open_ if open_ is not None else beta)} model(s) did not converge in {max_iter} iterations", stacklevel=2)
-    drop_kept(src)
+        warnings.warn(f"{len(open_ if open_ is not None else beta)} model(s) did not converge in {max_iter} iterations", stacklevel=4)
     fits = []
     for key, s in state.items():
         b, inv = beta[key], pinv(s["m"])

@@ -347,8 +347,9 @@ _MEANS = "(SELECT l_returnflag AS g, count(*) AS n, avg(l_quantity) AS m FROM li
 def _(t):
     x = t("lineitem")
     out = x[["l_orderkey", "l_linenumber"]]
-    for name, family, link in (("gamma", "gamma", "inverse"), ("inverse", "inverse_gaussian", "log"), ("loglinear", "gaussian", "log"), ("poisson", "poisson", "log")):
-        p = regression.predict(regression.glm("l_quantity ~ l_returnflag", x, family, link), x)
+    kinds = {"gamma": ("gamma", "inverse"), "inverse": ("inverse_gaussian", "log"), "loglinear": ("gaussian", "log"), "poisson": ("poisson", "log")}
+    for name, m in zip(kinds, regression.glms("l_quantity ~ l_returnflag", x, list(kinds.values())), strict=True):
+        p = regression.predict(m, x)
         out = out.cbind(p._with([p.cols[0].__class__(name, F.round(p.cols[0].expr, 0 if name == "poisson" else 5))]))
     return out
 

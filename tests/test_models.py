@@ -277,3 +277,20 @@ def test_glm_fits_equal_rows_as_one(spark, monkeypatch, repeated):
     assert np.isclose(regression.log_lik(one)[0], sum(a * np.log(b) - b - math.lgamma(a + 1) for a, b in zip(y, u, strict=True)))
     se = 1 / np.sqrt(450 * 3)
     assert np.isclose(one.std_err[0], se)
+
+
+def test_fits_of_one_formula_share_its_design(spark, data, monkeypatch):
+    stored, cases, drop, gone = [], regression._cases, regression.drop_kept, []
+    monkeypatch.setattr(regression, "_cases", lambda d: stored.append(d) or cases(d))
+    monkeypatch.setattr(regression, "drop_kept", lambda s: gone.append(drop(s)))
+    assert Q.QUERIES["glm_predict"](spark, SF).count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert len(stored) == 1 and gone == [1]
+    _, f = data
+    kinds = [("poisson", None), ("gaussian", None), ("gaussian", "log"), ("inverse.gaussian", "log")]
+    for formula in ("c + 1 ~ a + b", "c + 1 ~ a | g"):
+        for (family, link), m in zip(kinds, regression.glms(formula, f, kinds), strict=True):
+            own = regression.glm(formula, f, family, link)
+            for x, y in zip(m, own, strict=True) if isinstance(own, regression.Grouped) else [(m, own)]:
+                assert (x.group, x.n, x.skipped, x.family, x.link) == (y.group, y.n, y.skipped, y.family, y.link)
+                assert np.allclose(x.coef, y.coef) and np.allclose(x.std_err, y.std_err)
+                assert np.isclose(regression.log_lik(x)[0], regression.log_lik(y)[0])
