@@ -127,15 +127,15 @@ def kmeans(x: Frame, centers, key: str, max_iter: int = 10, nstart: int = 1, dis
 # ------------------------------------------------------------------ topics
 
 
-def _term_counts(data: Frame, docid: str, words: str):
+def _term_counts(data: Frame, docid: str, words: str, topic_num: int = 1):
     """Stored counts of words by document, in blocks, and the vocabulary: every word."""
-    blocks = topics.blocks_of(data, docid, words)
+    blocks = topics.blocks_of(data, docid, words, topic_num)
     return blocks, topics.vocabulary_of(blocks)
 
 
 def lda(data: Frame, docid: str, words: str, topic_num: int, alpha: float, beta: float, iter_num: int = 20, nstart: int = 1, best: bool = True, seed: int = 0):
     """Topic model by expectation maximisation (no assignments of single tokens). The best of nstart by perplexity, or all."""
-    blocks, vocabulary = _term_counts(data, docid, words)
+    blocks, vocabulary = _term_counts(data, docid, words, topic_num)
     fits = [topics.fit(blocks, vocabulary, docid, topic_num, alpha, beta, iter_num, seed + r) for r in range(nstart)]
     return (fits[0] if nstart == 1 else min(fits, key=lambda f: f.perplexity())) if best else fits
 

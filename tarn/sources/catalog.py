@@ -35,10 +35,11 @@ def shared_path(spark: SparkSession) -> str:
     return f"{d.rstrip('/')}/{TEMP}{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder, so that random rows don't change when read again and lost executors cost no recompute."""
+def keep(df: DataFrame, **options) -> DataFrame:
+    """df written once to the shared folder, so that random rows don't change when read again and lost executors cost no recompute.
+    options: of the writer."""
     path = shared_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -294,3 +294,30 @@ def test_fits_of_one_formula_share_its_design(spark, data, monkeypatch):
                 assert (x.group, x.n, x.skipped, x.family, x.link) == (y.group, y.n, y.skipped, y.family, y.link)
                 assert np.allclose(x.coef, y.coef) and np.allclose(x.std_err, y.std_err)
                 assert np.isclose(regression.log_lik(x)[0], regression.log_lik(y)[0])
+
+
+def test_lda_sends_no_pairs_and_no_words_of_one_document(spark, monkeypatch):
+    stored, sent = [], []
+    monkeypatch.setattr(topics, "TOKENS", 400)
+    monkeypatch.setattr(topics, "_dealt", lambda df, f=topics._dealt: (sent.append(df.collect()), f(df))[1])
+    monkeypatch.setattr(topics, "_linked", lambda *a, f=topics._linked: (stored.append(f(*a)), stored[-1])[1])
+    monkeypatch.setattr(topics, "drop_kept", lambda df, f=topics.drop_kept: (stored.append([r.asDict() for r in df.collect()]) if "code" in df.columns else None, f(df))[1])
+    texts = [["sea", "ship"] * 3 + ["wave"] + [f"own{i}x{j}" for j in range(40)] + [f"twice{i}x{j}" for j in range(5)] * 2 for i in range(12)] + [["sea"] * 700, [], None]
+    rows = list(enumerate(texts))
+    m = learners.lda(Frame(spark.createDataFrame(rows, "id long, words array<string>").repartition(2)), "id", "words", 2, 1.5, 1.2, iter_num=8)
+    pairs = next(x for x in stored if isinstance(x, list))
+    assert len(pairs) > 2 and len({r["at"] for r in pairs}) == len(pairs) and not any(t.name in stored[0][1] for t in spark.catalog.listTables("default"))
+    assert all(len(r["numbers"]) <= 3 * 8 for r in pairs)  # the others are in one document each
+    assert sum(len(r["code"]) // 4 for r in pairs) == 12 * (3 + 2) + 3 and sum(sum(r["n"]) for r in pairs) == 12 * 57 + 700
+    assert {r.part for s in sent for r in s} == {1, 2} and all(len(r.a) <= 3 * 4 for s in sent[:-1] for r in s if r.part == 2)
+    own = {r.word: np.array(r.counts) for r in m.shares.collect()}
+    assert len(own) == 3 + 12 * 45 and np.isclose(own["sea"].sum(), 736) and np.isclose(own["own3x7"].sum(), 1) and np.isclose(own["twice3x2"].sum(), 2)
+    assert np.allclose(own["own3x7"], own["own3x8"]) and np.allclose(sum(own.values()), m.totals)
+    theta, phi = {r.id: r.topics.toArray() for r in m.predict(Frame(spark.createDataFrame(rows, "id long, words array<string>")), "id", "words").df.collect()}, {w: (c + 0.2) / (m.totals + len(own) * 0.2) for w, c in own.items()}
+    want = np.exp(-sum(np.log(theta[i] @ phi[w]) for i, t in rows for w in t or []) / (12 * 57 + 700))
+    assert np.isclose(m.perplexity(), want, rtol=1e-6)
+
+
+def test_lda_of_empty_texts(spark):
+    m = learners.lda(Frame(spark.createDataFrame([(1, []), (2, None)], "id long, words array<string>")), "id", "words", 2, 1.5, 1.2, iter_num=2)
+    assert m.totals.tolist() == [0, 0] and m.shares.count() == 0 and len(m.vocabulary) == 0
