@@ -20,14 +20,15 @@ from tarn.frame import Frame
 from tarn.operators.order import number_rows
 from tarn.sources.catalog import drop_kept, keep, shared_path, ship
 
-TOKENS = 2_500_000  #: words of a block's documents, more only in a single longer one; fewer where topics are many
-CHUNK = 50_000  #: words of a chunk
+TOKENS = 3_000_000  #: words of a block's documents, more only in a single longer one; fewer where topics are many
+CHUNK = 50_000  #: words of a chunk, whose places fit 16 bits
 HELD = 200_000  #: numbers of a slice of pairs times topics
 FOLDS = 50  #: rounds in which documents outside the fit find their topics
 SENT = np.float32  #: numbers of messages between steps; the last step's counts go out in full
 BUCKETS = 2_000  #: of the stored pairs, at most
 _MESSAGE = "at long, part int, source long, a binary, b binary"  #: part 1: topics of a block's documents and counts of its own words, 2: messages
-_PAIRS = {"off": np.int64, "code": np.int32, "n": np.uint8, "numbers": np.int64, "places": np.int32, "rank": np.int32, "many": np.int32}
+_PAIRS = {"off": np.int64, "code": np.int32, "n": np.uint8, "words": np.uint16, "cuts": np.int64, "rank": np.int32, "many": np.int32}
+_PLAIN = {"parquet.enable.dictionary": "false"}  #: for rows of a few long binaries
 _SINGLES = {"singles": np.int64, "groups": np.int32}  #: numbers of words of a single document, and of what is one with them
 
 
@@ -42,11 +43,23 @@ class Vocabulary:
         return self.size
 
 
+def _split(texts):
+    """The words of texts, a text's empty first and last word too; none of a null."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(texts)
+    return pc.if_else(pc.is_valid(texts), lists, pa.scalar([], lists.type)) if texts.null_count else lists
+
+
 def blocks_of(data: Frame, docid: str, words: str, topics: int = 1) -> DataFrame:
     """Stored blocks: ids of the documents, where their pairs begin, the pairs' words (places in the block's list) and counts, the list,
-    frequent words first. A null list is empty, null words don't count."""
-    most = min(TOKENS, max(500_000, 7_500_000 // topics))
-    df = data.df.select(F.col(f"`{docid}`").alias("id"), F.coalesce(F.filter(F.col(f"`{words}`"), lambda w: w.isNotNull()), F.array().cast("array<string>")).alias("words"))
+    frequent words first. A null list is empty, null words don't count. Instead of lists, words can be texts, which
+    are cut at white space as Spark's split does by a pattern of it."""
+    most = min(TOKENS, max(500_000, 9_000_000 // topics))
+    column = F.col(f"`{words}`")
+    text = dict(data.df.dtypes)[words] == "string"
+    df = data.df.select(F.col(f"`{docid}`").alias("id"), (column if text else F.coalesce(F.filter(column, lambda w: w.isNotNull()), F.array().cast("array<string>"))).alias("words"))
     ship(df.sparkSession)
 
     def build(batches):
@@ -69,6 +82,8 @@ def blocks_of(data: Frame, docid: str, words: str, topics: int = 1) -> DataFrame
 
         held, tokens, number = [], 0, 0
         for b in batches:
+            if text:
+                b = pa.RecordBatch.from_arrays([b.column(0), _split(b.column(1))], ["id", "words"])
             start, sizes = 0, np.asarray(b.column(1).value_lengths()).tolist()
             for i, n in enumerate(sizes):
                 if tokens and tokens + n > most:
@@ -82,7 +97,7 @@ def blocks_of(data: Frame, docid: str, words: str, topics: int = 1) -> DataFrame
             yield block(held, number)
 
     out = df.mapInArrow(build, f"block long, ids array<{df.schema['id'].dataType.simpleString()}>, off binary, code binary, n binary, words array<string>")
-    return keep(out, maxRecordsPerFile=1, compression="zstd")  # readers take a file's rows together, and other codecs hold them outside the heap
+    return keep(out, maxRecordsPerFile=1, compression="zstd", **_PLAIN)  # readers take a file's rows together, and other codecs hold them outside the heap
 
 
 def vocabulary_of(blocks: DataFrame) -> Vocabulary:
@@ -297,9 +312,10 @@ def _linked(blocks: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, str]:
         doc, most = np.searchsorted(off, alone, "right") - 1, int(n.max(initial=0)) + 1
         same, first, group, many = np.unique(doc * most + n[alone], return_index=True, return_inverse=True, return_counts=True)
         shared, kept = np.flatnonzero(~single), ~single[code]
-        places = np.argsort(number[shared])
+        order = np.argsort(number[shared])
         rank = np.empty(len(shared), np.int64)
-        rank[places] = np.arange(len(shared))
+        rank[order] = np.arange(len(shared))
+        words, cuts = _dealt_words(number[shared][order], CHUNK)
         singles, first = number[code[alone]], alone[first]
         codes, counts, kept[first] = (np.cumsum(~single, dtype=np.int32) - 1)[code], n.astype(np.int64), True
         codes[first], counts[first] = len(shared) + np.arange(len(same)), counts[first] * many
@@ -309,19 +325,25 @@ def _linked(blocks: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, str]:
             ends = np.cumsum(times)
             rest, counts = counts - 255 * (times - 1), np.full(ends[-1], 255)
             codes, counts[ends - 1], off = np.repeat(codes, times), rest, np.r_[0, ends][off]
-        own = {"off": off, "code": codes, "n": counts, "numbers": number[shared][places], "places": places, "rank": rank, "many": many, "singles": singles, "groups": group}
+        own = {"off": off, "code": codes, "n": counts, "words": words, "cuts": cuts, "rank": rank, "many": many, "singles": singles, "groups": group}
         return pa.table([pa.array([keys[block.column("block")[0].as_py()]], pa.int64()), *(pa.array([own[c].astype(t).tobytes()], pa.binary()) for c, t in (_PAIRS | _SINGLES).items())], ["at", *_PAIRS, *_SINGLES])
 
     found = blocks.select("block", "off", "code", "n").groupby("block").cogroup(numbers.groupby("of")).applyInArrow(part, ", ".join(["at long", *(f"{c} binary" for c in _PAIRS | _SINGLES)]))
     name = f"spark_catalog.default.tarn_{uuid.uuid4().hex}"
-    found.write.bucketBy(buckets, "at").option("path", shared_path(blocks.sparkSession)).options(maxRecordsPerFile=1, compression="zstd").format("parquet").saveAsTable(name)
+    found.write.bucketBy(buckets, "at").option("path", shared_path(blocks.sparkSession)).options(maxRecordsPerFile=1, compression="zstd", **_PLAIN).format("parquet").saveAsTable(name)
     return blocks.sparkSession.table(name), name
 
 
-def _cut(numbers, counts, source: int, size: int) -> list[tuple]:
-    """Messages to the chunks of a size: places of words in the chunk, and their counts. Numbers are sorted."""
-    cuts = np.flatnonzero(np.r_[True, np.diff(numbers // size) > 0, True]) if len(numbers) else np.zeros(0, int)
-    return [(int(numbers[s] // size), 2, source, (numbers[s:e] % size).astype(np.int32).tobytes(), counts[s:e].tobytes()) for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+def _dealt_words(numbers, size: int):
+    """Of sorted numbers of words, their places in chunks of a size; the chunks and where each begins."""
+    starts = np.flatnonzero(np.r_[True, np.diff(numbers // size) > 0]) if len(numbers) else np.zeros(0, np.int64)
+    return (numbers % size).astype(np.uint16), np.c_[numbers[starts] // size, starts].ravel()
+
+
+def _cut(words, cuts, counts, source: int) -> list[tuple]:
+    """Messages to the chunks: places of words in the chunk, and their counts."""
+    chunks, starts, ends = cuts[::2].tolist(), cuts[1::2].tolist(), np.r_[cuts[3::2], len(words)].tolist()
+    return [(c, 2, source, words[s:e].tobytes(), counts[s:e].tobytes()) for c, s, e in zip(chunks, starts, ends, strict=False)]
 
 
 def _block_step(k: int, a: float, b: float, low: list[float] | None, seed: int, last: bool):
@@ -332,24 +354,25 @@ def _block_step(k: int, a: float, b: float, low: list[float] | None, seed: int,
         import pyarrow as pa
 
         own = {c: np.frombuffer(pairs.column(c)[0].as_buffer(), t) for c, t in (_PAIRS | _SINGLES).items() if c in pairs.column_names}
-        block, off, code, n, numbers, many = pairs.column("at")[0].as_py(), own["off"], own["code"].astype(np.intp), own["n"], own["numbers"], own["many"]
-        shares = np.ones((len(numbers) + len(many), k))
+        block, off, code, n, many, size = pairs.column("at")[0].as_py(), own["off"], own["code"].astype(np.intp), own["n"], own["many"], len(own["words"])
+        shares = np.ones((size + len(many), k))
         if low is None:
             topics = np.random.default_rng([seed, block]).exponential(size=(len(off) - 1, k)) + 1e-9
         else:
             got = sorted((p, s, i) for i, (p, s) in enumerate(zip(rows.column("part").to_pylist(), rows.column("source").to_pylist(), strict=True)))
             topics = np.frombuffer(rows.column("a")[got[0][2]].as_buffer()).reshape(-1, k) + a
-            shares[len(numbers) :] = np.frombuffer(rows.column("b")[got[0][2]].as_buffer()).reshape(-1, k)
+            shares[size:] = np.frombuffer(rows.column("b")[got[0][2]].as_buffer()).reshape(-1, k)
             if len(got) > 1:
-                np.concatenate([np.frombuffer(rows.column("b")[i].as_buffer(), SENT) for _, _, i in got[1:]]).astype(float).reshape(-1, k).take(own["rank"], axis=0, out=shares[: len(numbers)])
+                np.concatenate([np.frombuffer(rows.column("b")[i].as_buffer(), SENT) for _, _, i in got[1:]]).astype(float).reshape(-1, k).take(own["rank"], axis=0, out=shares[:size])
             shares += b
             shares /= low
         by_doc, by_word, _ = _sums(off, code, n, topics, shares)
-        each = by_word[len(numbers) :] / many[:, None]
-        out = [(-1 - block, 1, 0, by_doc.tobytes(), each.tobytes()), *_cut(numbers, by_word.take(own["places"], axis=0).astype(float if last else SENT), block, CHUNK)]
+        each, counts = by_word[size:] / many[:, None], np.empty((size, k), float if last else SENT)
+        counts[own["rank"]] = by_word[:size]
+        out = [(-1 - block, 1, 0, by_doc.tobytes(), each.tobytes()), *_cut(own["words"], own["cuts"], counts, block)]
         if last:
             order = np.argsort(own["singles"])
-            out += _cut(own["singles"][order], each[own["groups"][order]], block, CHUNK)
+            out += _cut(*_dealt_words(own["singles"][order], CHUNK), each[own["groups"][order]], block)
         return pa.Table.from_batches([_batch(out)]).append_column("sums", pa.array([by_doc.sum(axis=0).tolist(), *([None] * (len(out) - 1))], pa.list_(pa.float64())))
 
     return run
@@ -365,10 +388,10 @@ def _chunk_step(k: int):
                 continue
             total = np.zeros((CHUNK, k))
             for r in rows:
-                total[np.frombuffer(r[2], np.int32)] += np.frombuffer(r[3], SENT).reshape(-1, k)
+                total[np.frombuffer(r[2], np.uint16)] += np.frombuffer(r[3], SENT).reshape(-1, k)
             total = total.astype(SENT)
             for s in range(0, len(rows), 32):
-                yield _batch([(r[1], 2, chunk, None, total[np.frombuffer(r[2], np.int32)].tobytes()) for r in rows[s : s + 32]])
+                yield _batch([(r[1], 2, chunk, None, total[np.frombuffer(r[2], np.uint16)].tobytes()) for r in rows[s : s + 32]])
 
     return run
 
@@ -382,7 +405,7 @@ def _chunk_counts(k: int):
         for chunk, rows in _groups(batches):
             total, there = np.zeros((CHUNK, k)), np.zeros(CHUNK, bool)
             for r in rows:
-                at = np.frombuffer(r[2], np.int32)
+                at = np.frombuffer(r[2], np.uint16)
                 total[at] += np.frombuffer(r[3]).reshape(-1, k)
                 there[at] = True
             at = np.flatnonzero(there)
@@ -408,7 +431,7 @@ def fit(blocks: DataFrame, vocabulary: Vocabulary, docid: str, k: int, alpha: fl
                 back, low = _dealt(state.drop("sums")).mapInArrow(_chunk_step(k), _MESSAGE), (totals + len(vocabulary) * b).tolist()
             last = i == iterations
             step = first.select("at", *_PAIRS, *(_SINGLES if last else [])).groupby("at").cogroup(back.groupby("at")).applyInArrow(_block_step(k, a, b, low, seed, last), f"{_MESSAGE}, sums array<double>")
-            new = keep(step)
+            new = keep(step, **_PLAIN)
             totals = np.array([r.sums for r in sorted(new.select("at", "sums").where("sums IS NOT NULL").collect())]).reshape(-1, k).sum(axis=0)  # a row for each block
             if state is not None:
                 drop_kept(state)

@@ -213,8 +213,7 @@ def _(t):
 @query("lda_topics")
 def _(t):
     x = t("documents")
-    d = Frame(x.base.select("doc_id", F.split("text", r"\s+").alias("words")))
-    m = learners.lda(d, "doc_id", "words", 3, 5.0, 1.1)
+    m = learners.lda(Frame(x.base.select("doc_id", "text")), "doc_id", "text", 3, 5.0, 1.1)
     return table(x, [(int(r.topic), str(w)) for r in m.topics(5).itertuples() for w in r.words], "topic int, word string")
 
 

@@ -307,7 +307,7 @@ def test_lda_sends_no_pairs_and_no_words_of_one_document(spark, monkeypatch):
     m = learners.lda(Frame(spark.createDataFrame(rows, "id long, words array<string>").repartition(2)), "id", "words", 2, 1.5, 1.2, iter_num=8)
     pairs = next(x for x in stored if isinstance(x, list))
     assert len(pairs) > 2 and len({r["at"] for r in pairs}) == len(pairs) and not any(t.name in stored[0][1] for t in spark.catalog.listTables("default"))
-    assert all(len(r["numbers"]) <= 3 * 8 for r in pairs)  # the others are in one document each
+    assert all(len(r["words"]) <= 3 * 2 for r in pairs)  # the others are in one document each
     assert sum(len(r["code"]) // 4 for r in pairs) == 12 * (3 + 2) + 3 and sum(sum(r["n"]) for r in pairs) == 12 * 57 + 700
     assert {r.part for s in sent for r in s} == {1, 2} and all(len(r.a) <= 3 * 4 for s in sent[:-1] for r in s if r.part == 2)
     own = {r.word: np.array(r.counts) for r in m.shares.collect()}
@@ -321,3 +321,11 @@ def test_lda_sends_no_pairs_and_no_words_of_one_document(spark, monkeypatch):
 def test_lda_of_empty_texts(spark):
     m = learners.lda(Frame(spark.createDataFrame([(1, []), (2, None)], "id long, words array<string>")), "id", "words", 2, 1.5, 1.2, iter_num=2)
     assert m.totals.tolist() == [0, 0] and m.shares.count() == 0 and len(m.vocabulary) == 0
+
+
+def test_lda_cuts_texts_as_split_does(spark):
+    texts = ["", " a  b ", "a\x0bb\x0cc\x1cd\x85e", "a\xa0b\u2003c", None, "  ", "x\r\n\ty x", "é\tß"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    cut = [topics.blocks_of(Frame(f), "id", "text") for f in (df.repartition(1), df.repartition(1).selectExpr("id", r"split(text, '\\s+') AS text"))]
+    a, b = ([{k: v for k, v in r.asDict().items() if k != "block"} for r in x.collect()] for x in cut)
+    assert a == b and sorted(a[0]["words"]) == sorted({"", "a", "b", "c\x1cd\x85e", "a\xa0b\u2003c", "x", "y", "é", "ß"})
