@@ -298,7 +298,8 @@ def test_fits_of_one_formula_share_its_design(spark, data, monkeypatch):
 
 def test_lda_sends_no_pairs_and_no_words_of_one_document(spark, monkeypatch):
     stored, sent = [], []
-    monkeypatch.setattr(topics, "TOKENS", 400)
+    monkeypatch.setattr(topics, "TOKENS", 200)
+    monkeypatch.setattr(topics, "BUCKETS", 2)
     monkeypatch.setattr(topics, "_dealt", lambda df, f=topics._dealt: (sent.append(df.collect()), f(df))[1])
     monkeypatch.setattr(topics, "_linked", lambda *a, f=topics._linked: (stored.append(f(*a)), stored[-1])[1])
     monkeypatch.setattr(topics, "drop_kept", lambda df, f=topics.drop_kept: (stored.append([r.asDict() for r in df.collect()]) if "code" in df.columns else None, f(df))[1])
